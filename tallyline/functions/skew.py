@@ -65,6 +65,29 @@ def slice_window(keys: list[str], *order) -> Window:
     return Window.partitionBy(*keys, SLICE).orderBy(*order)
 
 
+def in_pages(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    slice_no: Column,
+    page: str,
+    page_rows: int,
+    *totals: Column,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Aggregate each key's rows, in order, by pages of `page_rows` rows numbered from 0.
+
+    An ordinary key is numbered and grouped after one shuffle. Only rows of hot keys, whose
+    pages may span two slices, are shuffled again.
+    """
+    placed = numbered(df, keys, order, slice_no, "_pos", hot_rows).withColumn(
+        page, F.expr(f"_pos div {int(page_rows)}")
+    )
+    whole = F.col(SLICE) == WHOLE_KEY
+    ordinary = placed.filter(whole).groupBy(*keys, SLICE, page).agg(*totals).drop(SLICE)
+    return ordinary.unionByName(placed.filter(~whole).groupBy(*keys, page).agg(*totals))
+
+
 def numbered(
     df: DataFrame,
     keys: list[str],
@@ -73,14 +96,14 @@ def numbered(
     name: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add `name`: the 0-based position of each row in its key's order."""
+    """Add `name`, the 0-based position of each row in its key's order, and the slice."""
     sliced = with_slices(df, keys, slice_no, hot_keys(df, keys, hot_rows))
     carried = earlier_slices(sliced, keys, _start=(F.count(F.lit(1)), F.sum))
     position = F.row_number().over(slice_window(keys, *order)) - 1
     return (
         sliced.join(carried, [*keys, SLICE], "left")
         .withColumn(name, F.coalesce("_start", F.lit(0)) + position)
-        .drop("_start", HOT, SLICE)
+        .drop("_start", HOT)
     )
 
 

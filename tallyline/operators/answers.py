@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import HOT_ROWS, numbered, sequence_slice
+from tallyline.functions.skew import HOT_ROWS, in_pages, sequence_slice
 from tallyline.functions.text import BROWSER_SPACE, SERVER_SPACE, decode_lenient, trim_all
 
 # Publish batch size, stream line prefix, code fences.
@@ -81,17 +81,10 @@ def chunk_batches(
     slice_events: int = 1_000_000,
 ) -> DataFrame:
     """Pack each request's deltas, in order, into batches of `size`; the last may be shorter."""
-    placed = numbered(
-        deltas, ["request_id"], ["seq"], sequence_slice("seq", slice_events), "_pos", hot_rows
-    )
-    return (
-        placed.withColumn("batch", F.expr(f"_pos div {int(size)}"))
-        .groupBy("request_id", "batch")
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda e: e["text"]
-            ).alias("texts")
-        )
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda e: e["text"])
+    slices = sequence_slice("seq", slice_events)
+    return in_pages(
+        deltas, ["request_id"], ["seq"], slices, "batch", size, texts.alias("texts"), hot_rows=hot_rows
     )
 
 
@@ -111,16 +104,27 @@ def final_usage(requests: DataFrame, model_events: DataFrame) -> DataFrame:
     )
 
 
-def out_events(tokens: DataFrame, errors: DataFrame, done: DataFrame) -> DataFrame:
-    """Token, error and done events as one feed per tenant channel.
+def out_events(deltas: DataFrame, decided: DataFrame) -> DataFrame:
+    """The events sent back: tokens, errors and done events, one feed per tenant channel.
 
-    `tokens` has request_id, user_id, ts, seq, text; `errors` request_id, user_id, ts, code,
-    message; `done` request_id, user_id, ts, tokens_in, tokens_out, cost_usd, remaining.
-    A channel is read in the order ts, request_id, step, seq.
+    `decided` holds one row per request (user_id, request_id, ts, tokens_in, tokens_out,
+    accepted, remaining, code, message, cost_usd) and is read twice, so pass a stored table;
+    `deltas` the text (request_id, seq, text). A rejected request gives one error and no
+    tokens. A channel is read in the order ts, request_id, step, seq.
     """
-    steps = [(tokens, "token", 0), (errors, "error", 1), (done, "done", 2)]
-    feed = None
-    for events, kind, step in steps:
-        typed = events.withColumn("type", F.lit(kind)).withColumn("step", F.lit(step))
-        feed = typed if feed is None else feed.unionByName(typed, allowMissingColumns=True)
-    return feed.withColumn("channel", F.concat(F.lit("/chat/"), "user_id", F.lit("/stream"))).drop("user_id")
+    accepted = F.col("accepted")
+    tokens = deltas.join(decided.filter(accepted).select("request_id", "user_id", "ts"), "request_id").select(
+        "request_id", "user_id", "ts", "seq", "text", F.lit("token").alias("type"), F.lit(0).alias("step")
+    )
+    ends = decided.select(
+        "request_id",
+        "user_id",
+        "ts",
+        F.when(accepted, "done").otherwise("error").alias("type"),
+        F.lit(1).alias("step"),
+        "code",
+        "message",
+        *[F.when(accepted, F.col(c)).alias(c) for c in ("tokens_in", "tokens_out", "cost_usd", "remaining")],
+    )
+    channel = F.concat(F.lit("/chat/"), "user_id", F.lit("/stream"))
+    return tokens.unionByName(ends, allowMissingColumns=True).withColumn("channel", channel).drop("user_id")

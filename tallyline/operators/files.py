@@ -61,15 +61,14 @@ def file_op_status(
     """The status each operation gets when the log is replayed in `seq` order.
 
     Whether a name exists is decided by the last change before the operation. Operations
-    without a name (listings, bad requests) need no replay and are spread by `seq`.
+    without a name (listings, bad requests) need no replay and are spread by `seq`. The
+    file bodies take no part: they are not in the result.
     """
     named = F.col("name").isNotNull()
-    change = F.when(
-        named
-        & (((F.col("method") == "PUT") & F.col("content").isNotNull()) | (F.col("method") == "DELETE")),
-        F.col("method"),
-    )
-    rows = ops.withColumn("_change", change)
+    readable = F.col("size").isNotNull()
+    wrote = (F.col("method") == "PUT") & readable
+    change = F.when(named & (wrote | (F.col("method") == "DELETE")), F.col("method"))
+    rows = ops.drop("content").withColumn("_change", change)
     hot = hot_keys(rows.filter(named), ["name"], hot_rows)
     slices = with_slices(rows, ["name"], sequence_slice("seq", slice_rows), hot).withColumn(
         SLICE, F.when(named, F.col(SLICE)).otherwise(F.col("seq").cast("bigint"))
@@ -85,13 +84,13 @@ def file_op_status(
     status = (
         F.when((F.col("method") == "GET") & ~named, LISTED)
         .when((F.col("method").isin("GET", "DELETE")) & named, hit)
-        .when((F.col("method") == "PUT") & named, F.when(F.col("content").isNull(), FAILED).otherwise(WRITTEN))
+        .when((F.col("method") == "PUT") & named, F.when(readable, WRITTEN).otherwise(FAILED))
         .otherwise(BAD_REQUEST)
     )
     return (
         slices.join(carried, ["name", SLICE], "left")
         .withColumn("status", status)
-        .select(*ops.columns, "status")
+        .select(*[c for c in ops.columns if c != "content"], "status")
     )
 
 

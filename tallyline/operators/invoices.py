@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import HOT_ROWS, numbered, sequence_slice
+from tallyline.functions.skew import HOT_ROWS, in_pages, sequence_slice
 
 # The three tools, their required arguments, and the default list length.
 TOOLS = [
@@ -157,22 +157,16 @@ def customer_statements(
     customer stays small; an ordinary customer has one page.
     """
     rows = filter_invoices(invoices, None, start, end)
-    placed = numbered(
+    listed = F.array_sort(F.collect_list(F.struct("invoice_date", "invoice_id", "amount", "status")))
+    pages = in_pages(
         rows,
         ["customer_name"],
         ["invoice_date", "invoice_id"],
-        sequence_slice("unix_date(invoice_date)", 7),
-        "_pos",
-        hot_rows,
-    )
-    pages = (
-        placed.withColumn("page", F.expr(f"_pos div {int(page_rows)}"))
-        .groupBy("customer_name", "page")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("invoice_date", "invoice_id", "amount", "status"))
-            ).alias("invoices")
-        )
+        sequence_slice("unix_date(invoice_date)", 1),
+        "page",
+        page_rows,
+        listed.alias("invoices"),
+        hot_rows=hot_rows,
     )
     return pages.join(customer_totals(invoices, start, end), "customer_name")
 

@@ -61,20 +61,21 @@ def idle_lifecycle(
     )
 
 
-def session_registry(
+def assignment_epochs(
     assignments: DataFrame,
     failures: DataFrame,
     hot_rows: int = HOT_ROWS,
     slice_seconds: int = 3600,
 ) -> DataFrame:
-    """The resource each session holds, per epoch: the first assignment (session_id, ts,
-    resource) wins until a failure (session_id, ts) drops it and the next one replaces it.
-
-    A failure at the time of an assignment comes before it.
-    """
+    """Assignments (session_id, ts, resource) with `epoch`, the number of failures
+    (session_id, ts) of the session until then. A failure comes before an assignment of the
+    same time."""
     keys = ["session_id"]
+    resource = assignments.schema["resource"].dataType
     events = assignments.select("session_id", "ts", "resource", F.lit(0).alias("_fail")).unionByName(
-        failures.select("session_id", "ts", F.lit(None).cast(assignments.schema["resource"].dataType).alias("resource"), F.lit(1).alias("_fail"))
+        failures.select(
+            "session_id", "ts", F.lit(None).cast(resource).alias("resource"), F.lit(1).alias("_fail")
+        )
     )
     sliced = with_slices(
         events, keys, seconds_slice("ts", slice_seconds), hot_keys(events, keys, hot_rows)
@@ -87,17 +88,28 @@ def session_registry(
         sliced.join(carried, [*keys, SLICE], "left")
         .withColumn("epoch", F.coalesce("_failed", F.lit(0)) + F.sum("_fail").over(until_now))
         .filter("_fail = 0")
-        .groupBy("session_id", "epoch")
-        .agg(F.min(F.struct("ts", "resource")).alias("_first"))
+        .select("session_id", "epoch", "ts", "resource")
+    )
+
+
+def first_of_epoch(offers: DataFrame) -> DataFrame:
+    """The first offer (session_id, epoch, ts, resource) of each session and epoch."""
+    first = F.min(F.struct("ts", "resource")).alias("_first")
+    return (
+        offers.groupBy("session_id", "epoch")
+        .agg(first)
         .select(
-            "session_id",
-            "epoch",
-            F.col("_first.resource").alias("resource"),
-            F.col("_first.ts").alias("since"),
+            "session_id", "epoch", F.col("_first.ts").alias("since"), F.col("_first.resource").alias("resource")
         )
     )
 
 
+def session_registry(assignments: DataFrame, failures: DataFrame, **slicing) -> DataFrame:
+    """The resource each session holds, per epoch: the first assignment wins until a failure
+    drops it and the next one replaces it."""
+    return first_of_epoch(assignment_epochs(assignments, failures, **slicing))
+
+
 def session_rollup(spans: DataFrame) -> DataFrame:
     """Spans or turns (session_id, request_id, actor_id, ts) grouped into conversations."""
     return spans.groupBy("session_id").agg(

@@ -166,7 +166,7 @@ STORED_SQL = f"""{OPS_SQL}, stored AS (
 STATUS_SQL = f"""WITH {OPS_SQL}, replay AS (
   SELECT *, last_value(CASE WHEN method IN ('PUT', 'DELETE') THEN method END IGNORE NULLS)
          OVER (PARTITION BY name ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM ops)
-SELECT seq, ts, method, name, content, length(content) AS size,
+SELECT seq, ts, method, name, length(content) AS size,
        cast(CASE WHEN method = 'GET' AND name IS NULL THEN 200
             WHEN method IN ('GET', 'DELETE') AND name IS NOT NULL THEN CASE WHEN last = 'PUT' THEN 200 ELSE 404 END
             WHEN method = 'PUT' AND name IS NOT NULL THEN 201 ELSE 400 END AS bigint) AS status FROM replay"""

@@ -8,6 +8,7 @@ from tallyline.operators import answers as A
 from tallyline.operators import usage as U
 from tallyline.plans import views as V
 from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain
+from tallyline.session import work_dir
 
 LIMIT = 3000
 AS_OF = "2024-04-15 00:00:00"
@@ -132,41 +133,33 @@ def normalize_rejects(spark, sf):
     return U.normalize_requests(_bodies(spark, sf), "chat")[1]
 
 
-def _feed(spark, sf):
-    """Publishes to prompts, admission, usage records and the events sent back."""
+def _asked(spark, sf):
+    """Routed prompts; the number in a prompt stands for its size, the event id for its answer's."""
     routed = U.route_prompts(V.publishes(spark, sf))[0]
-    # The prompt stands for the answer: its number is the input size, the event id the output.
-    asked = routed.withColumn("tokens_in", F.coalesce(F.get_json_object("prompt", "$.k").cast("int"), F.lit(0)))
-    asked = asked.withColumn("tokens_out", (F.col("event_id") % 50).cast("int")).withColumn(
-        "request_id", F.concat("request_id", F.lit("."), "event_no")
+    return (
+        routed.withColumn("request_id", F.concat("request_id", F.lit("."), "event_no"))
+        .withColumn("tokens_in", F.coalesce(F.get_json_object("prompt", "$.k").cast("int"), F.lit(0)))
+        .withColumn("tokens_out", (F.col("event_id") % 50).cast("int"))
     )
-    decided = U.budget_admission(
-        asked.select("user_id", "request_id", "ts", "prompt", "tokens_in", "tokens_out"), LIMIT
-    )
-    accepted = decided.filter("accepted")
-    tokens = accepted.filter("prompt <> ''").select(
-        "request_id", "user_id", "ts", F.lit(0).cast("bigint").alias("seq"), F.col("prompt").alias("text")
-    )
-    errors = decided.filter("NOT accepted").select("request_id", "user_id", "ts", "code", "message")
-    done = accepted.select(
-        "request_id",
-        "user_id",
-        "ts",
-        "tokens_in",
-        "tokens_out",
-        U.cost_of(F.col("tokens_in"), F.col("tokens_out"), U.PRICE_IN_PER_1K, U.PRICE_OUT_PER_1K).alias("cost_usd"),
-        "remaining",
-    )
-    return decided, A.out_events(tokens, errors, done)
+
+
+def _decided(spark, sf):
+    asked = _asked(spark, sf).select("user_id", "request_id", "ts", "tokens_in", "tokens_out")
+    cost = U.cost_of(F.col("tokens_in"), F.col("tokens_out"), U.PRICE_IN_PER_1K, U.PRICE_OUT_PER_1K)
+    return U.budget_admission(asked, LIMIT).withColumn("cost_usd", cost)
 
 
 def out_events(spark, sf):
-    return plain(_feed(spark, sf)[1])
+    """The answer to a prompt repeats its words; decisions are stored before the feed reads them."""
+    path = work_dir(spark, "decided")
+    _decided(spark, sf).write.parquet(path)
+    deltas = _asked(spark, sf).select("request_id", F.posexplode(F.split("prompt", " ")).alias("seq", "text"))
+    return plain(A.out_events(deltas.filter("text <> ''"), spark.read.parquet(path)))
 
 
 def metered_chat(spark, sf):
     """The flagship: publishes are routed and admitted; accepted ones become the month's bill."""
-    accepted = _feed(spark, sf)[0].filter("accepted")
+    accepted = _decided(spark, sf).filter("accepted")
     records = U.usage_records(
         accepted.withColumnRenamed("ts", "started").withColumn("ended", F.col("started")), "model-a"
     )
@@ -277,14 +270,15 @@ FROM bodies""",
     "out_events": (
         out_events,
         f"""WITH {_FED_SQL}, feed AS (
-SELECT request_id, user_id, ts, 0 AS seq, prompt AS text, 'token' AS type, 0 AS step, NULL AS code, NULL AS message,
+SELECT request_id, user_id, ts, unnest(range(len(string_split(prompt, ' ')))) AS seq,
+       unnest(string_split(prompt, ' ')) AS text, 'token' AS type, 0 AS step, NULL AS code, NULL AS message,
        NULL AS tokens_in, NULL AS tokens_out, NULL AS cost_usd, NULL AS remaining
 FROM decided WHERE accepted AND prompt <> ''
 UNION ALL
 SELECT request_id, user_id, ts, NULL, NULL, 'error', 1, code, message, NULL, NULL, NULL, NULL
 FROM decided WHERE NOT accepted
 UNION ALL
-SELECT request_id, user_id, ts, NULL, NULL, 'done', 2, NULL, NULL, tokens_in, tokens_out, {_COST}, remaining
+SELECT request_id, user_id, ts, NULL, NULL, 'done', 1, NULL, NULL, tokens_in, tokens_out, {_COST}, remaining
 FROM decided WHERE accepted)
 SELECT * EXCLUDE (user_id, seq, step), cast(seq AS bigint) AS seq, cast(step AS bigint) AS step,
        concat('/chat/', user_id, '/stream') AS channel FROM feed""",

@@ -13,9 +13,10 @@ from tallyline.plans.commerce import order_decisions_sql
 from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain
 from tallyline.plans.content import BATCHES_SQL, WORDS_SQL
 from tallyline.plans.metering import LIMIT, admission_sql
-from tallyline.plans.sessions import REGISTRY_SQL
+from tallyline.operators.lifecycle import assignment_epochs
+from tallyline.plans.sessions import REGISTRY_SQL, registry_inputs
 from tallyline.session import work_dir
-from tallyline.sources.usage_lake import parse_usage, read_usage_lake, write_usage_lake
+from tallyline.sources.usage_lake import parse_usage, read_usage_lake, usage_ingest as ingest, write_usage_lake
 from tallyline.streaming import answers as SA
 from tallyline.streaming import approvals as SP
 from tallyline.streaming import sessions as SS
@@ -67,7 +68,7 @@ def stream_sessions(spark, sf):
 def stream_session_registry(spark, sf):
     """Offers with the epoch the failures before them put their session in."""
     home = work_dir(spark, "registry")
-    offers = V.offers_with_epoch(spark, sf)
+    offers = assignment_epochs(*registry_inputs(spark, sf))
     offers.write.parquet(f"{home}/offers")
     source = spark.readStream.schema(offers.schema).parquet(f"{home}/offers")
     SS.stream_session_registry(source, f"{home}/table", f"{home}/checkpoint").awaitTermination()
@@ -95,13 +96,13 @@ def stream_usage_lake_errors(spark, sf):
 
 def usage_ingest(spark, sf):
     home = work_dir(spark, "ingest")
-    SU.usage_ingest(V.usage_lines(spark, sf), f"{home}/usage", f"{home}/errors")
+    ingest(V.usage_lines(spark, sf), f"{home}/usage", f"{home}/errors")
     return plain(read_usage_lake(spark, f"{home}/usage"))
 
 
 def usage_ingest_errors(spark, sf):
     home = work_dir(spark, "ingest")
-    SU.usage_ingest(V.usage_lines(spark, sf), f"{home}/usage", f"{home}/errors")
+    ingest(V.usage_lines(spark, sf), f"{home}/usage", f"{home}/errors")
     return spark.read.text(f"{home}/errors")
 
 

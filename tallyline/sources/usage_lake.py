@@ -43,6 +43,13 @@ def write_usage_lake(records: DataFrame, path: str, dt_from: str = "event") -> N
     )
 
 
+def usage_ingest(lines: DataFrame, lake: str, errors: str, dt_from: str = "event") -> None:
+    """One batch of usage JSON lines into the lake, the bad lines into the error folder."""
+    good, bad = parse_usage(lines)
+    write_usage_lake(good, lake, dt_from)
+    bad.write.mode("append").text(errors)
+
+
 def read_usage_lake(
     spark: SparkSession, path: str, from_dt: str | None = None, to_dt: str | None = None
 ) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.streaming.versions import before_batch, read_newest, start_batches, write_version
+from tallyline.operators.lifecycle import first_of_epoch
+from tallyline.streaming.versions import batch_folder, start_batches
 
 
 def sessions(requests: DataFrame, gap: str, delay: str) -> DataFrame:
@@ -40,23 +41,24 @@ def stream_sessions(
 REGISTRY = "session_id BIGINT, epoch BIGINT, since TIMESTAMP, resource BIGINT"
 
 
-def stream_session_registry(assignments: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
-    """Get-or-create over a stream of assignments (session_id, epoch, ts, resource): the
-    first resource of a session and epoch stays. A failure starts the session's next epoch."""
+def stream_session_registry(offers: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
+    """Get-or-create over a stream of offers (session_id, epoch, ts, resource): the first
+    resource of a session and epoch stays. A failure starts the session's next epoch.
+
+    The registry only grows: a batch reads the keys of the batches before and adds its own
+    folder, which a repeat of the batch overwrites.
+    """
+    keys = ["session_id", "epoch"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        known = before_batch(batch.sparkSession, table, batch_id, REGISTRY)
-        keys = ["session_id", "epoch"]
-        fresh = (
-            batch.groupBy(*keys)
-            .agg(F.min(F.struct("ts", "resource")).alias("_f"))
-            .select(*keys, F.col("_f.ts").alias("since"), F.col("_f.resource").alias("resource"))
-            .join(known.select(*keys), keys, "left_anti")
-        )
-        write_version(known.unionByName(fresh), table, batch_id)
+        fresh = first_of_epoch(batch)
+        if batch_id:
+            known = read_registry(batch.sparkSession, table, f"batch_id < {batch_id}")
+            fresh = fresh.join(known.select(*keys), keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(batch_folder(table, batch_id))
 
-    return start_batches(assignments, each, checkpoint, trigger)
+    return start_batches(offers, each, checkpoint, trigger)
 
 
-def read_registry(spark: SparkSession, table: str) -> DataFrame:
-    return read_newest(spark, table, REGISTRY)
+def read_registry(spark: SparkSession, table: str, batches: str = "true") -> DataFrame:
+    return spark.read.schema(f"{REGISTRY}, batch_id INT").parquet(table).filter(batches).drop("batch_id")

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.skew import HOT_ROWS
 from tallyline.operators.keyed import keyed_merge
-from tallyline.operators.usage import TENANT_MONTH, budget_admission, usage_counters
+from tallyline.operators.usage import (
+    COUNTER_DAYS,
+    TENANT_MONTH,
+    budget_admission,
+    ttl_filter,
+    usage_counters,
+)
 from tallyline.schemas import COUNTERS
 from tallyline.sources.usage_lake import parse_usage, with_day
 from tallyline.streaming.versions import (
@@ -33,15 +39,24 @@ def add_to_counters(counters: DataFrame, accepted: DataFrame) -> DataFrame:
     )
 
 
-def stream_usage_counters(accepted: DataFrame, counters: str, checkpoint: str, trigger: dict | None = None):
+def _alive(counters: DataFrame, batch: DataFrame) -> DataFrame:
+    """Counters not expired at the newest request of the batch."""
+    newest = batch.agg(F.max("ts")).first()[0]
+    return counters if newest is None else ttl_filter(counters, F.lit(newest).cast("timestamp"), COUNTER_DAYS)
+
+
+def stream_usage_counters(
+    accepted: DataFrame, counters: str, checkpoint: str, trigger: dict | None = None, purge: bool = False
+):
     """Keep the counter table at `counters` up to date with a stream of accepted requests.
 
     A micro-batch is summed per tenant-month before it meets the table, so neither state nor
-    work depends on how active a tenant is.
+    work depends on how active a tenant is. With `purge`, expired counters leave the table.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         base = before_batch(batch.sparkSession, counters, batch_id, COUNTERS)
+        base = _alive(base, batch) if purge else base
         write_version(add_to_counters(base, batch), counters, batch_id)
 
     return start_batches(accepted, each, checkpoint, trigger)
@@ -69,13 +84,17 @@ def stream_budget_admission(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = before_batch(spark, counters, batch_id, COUNTERS)
-        used = base.select(*TENANT_MONTH, F.col("total_tokens").alias("used"))
-        out = batch_folder(decisions, batch_id)
-        decided = budget_admission(batch, limit, used, hot_rows)
-        decided.write.mode("overwrite").parquet(out)
-        accepted = spark.read.schema(decided.schema).parquet(out).filter("accepted")
-        write_version(add_to_counters(base, accepted), counters, batch_id)
+        batch = batch.persist()
+        try:
+            base = before_batch(spark, counters, batch_id, COUNTERS)
+            used = base.select(*TENANT_MONTH, F.col("total_tokens").alias("used"))
+            out = batch_folder(decisions, batch_id)
+            decided = budget_admission(batch, limit, used, hot_rows)
+            decided.write.mode("overwrite").parquet(out)
+            accepted = spark.read.schema(decided.schema).parquet(out).filter("accepted")
+            write_version(add_to_counters(base, accepted), counters, batch_id)
+        finally:
+            batch.unpersist()
 
     return start_batches(requests, each, checkpoint, trigger)
 
@@ -135,10 +154,3 @@ def stream_usage_lake(
             batch.unpersist()
 
     return start_batches(lines, each, checkpoint, trigger or LAKE_TRIGGER)
-
-
-def usage_ingest(lines: DataFrame, lake: str, errors: str) -> None:
-    """One batch of usage JSON lines into the lake and the error folder."""
-    good, bad = parse_usage(lines)
-    with_day(good).hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(lake)
-    bad.write.mode("append").text(errors)
