@@ -49,19 +49,26 @@ def decided_status(decision: Column) -> Column:
 
 def decision_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """An access log (url, ts, ...) to decisions, and the rejected calls without a callback id."""
-    cb = F.try_parse_url(F.col("url"), F.lit("QUERY"), F.lit("cb"))
-    decision = F.try_parse_url(F.col("url"), F.lit("QUERY"), F.lit("decision"))
-    parsed = log.withColumn("cb", F.nullif(cb, F.lit("")))
+    parsed = log.withColumn("_query", F.try_parse_url(F.col("url"), F.lit("QUERY"))).withColumn(
+        "cb", F.nullif(_parameter("cb"), F.lit(""))
+    )
     good = (
         parsed.filter(F.col("cb").isNotNull())
-        .withColumn("decision", if_missing(decision, REJECT))
+        .withColumn("decision", if_missing(_parameter("decision"), REJECT))
         .withColumn("status", decided_status(F.col("decision")))
-        .drop("url")
+        .drop("url", "_query")
     )
-    rejects = parsed.filter(F.col("cb").isNull()).drop("cb").withColumn("code", F.lit(400))
+    rejects = parsed.filter(F.col("cb").isNull()).drop("cb", "_query").withColumn("code", F.lit(400))
     return good, rejects
 
 
+def _parameter(name: str) -> Column:
+    """A decoded parameter of the query string; NULL where it is absent."""
+    query = F.concat(F.lit("&"), F.col("_query"))
+    after = F.substring_index(query, f"&{name}=", -1)
+    return F.when(query.contains(f"&{name}="), F.try_url_decode(F.substring_index(after, "&", 1)))
+
+
 def first_decision(decisions: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The first decision of each callback; later ones are ignored. Combined before the shuffle."""
     rest = [c for c in decisions.columns if c not in keys and c not in order_by]

@@ -8,15 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.operators.lifecycle import assignment_epochs
 from tallyline.plans import views as V
 from tallyline.plans.commerce import order_decisions_sql
 from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain
 from tallyline.plans.content import BATCHES_SQL, WORDS_SQL
 from tallyline.plans.metering import LIMIT, admission_sql
-from tallyline.operators.lifecycle import assignment_epochs
 from tallyline.plans.sessions import REGISTRY_SQL, registry_inputs
 from tallyline.session import work_dir
-from tallyline.sources.usage_lake import parse_usage, read_usage_lake, usage_ingest as ingest, write_usage_lake
+from tallyline.sources.usage_lake import parse_usage, read_usage_errors, read_usage_lake
+from tallyline.sources.usage_lake import usage_ingest as ingest
 from tallyline.streaming import answers as SA
 from tallyline.streaming import approvals as SP
 from tallyline.streaming import sessions as SS
@@ -79,44 +80,44 @@ def _lines(spark, sf):
     return V.usage_lines_from(V.requests_from(stream(spark, sf, "events")))
 
 
-def _lake(spark, sf) -> tuple[str, str]:
+def _lake(spark, sf) -> str:
     home = work_dir(spark, "lake")
-    lake, errors = f"{home}/usage", f"{home}/errors"
-    SU.stream_usage_lake(_lines(spark, sf), lake, errors, f"{home}/checkpoint", trigger=NOW).awaitTermination()
-    return lake, errors
+    SU.stream_usage_lake(_lines(spark, sf), f"{home}/usage", f"{home}/checkpoint", trigger=NOW).awaitTermination()
+    return f"{home}/usage"
 
 
 def stream_usage_lake(spark, sf):
-    return plain(read_usage_lake(spark, _lake(spark, sf)[0]))
+    return plain(read_usage_lake(spark, _lake(spark, sf)))
 
 
 def stream_usage_lake_errors(spark, sf):
-    return spark.read.text(_lake(spark, sf)[1]).select("value")
+    return read_usage_errors(spark, _lake(spark, sf))
+
+
+def _ingested(spark, sf) -> str:
+    path = f"{work_dir(spark, 'ingest')}/usage"
+    ingest(V.usage_lines(spark, sf), path)
+    return path
 
 
 def usage_ingest(spark, sf):
-    home = work_dir(spark, "ingest")
-    ingest(V.usage_lines(spark, sf), f"{home}/usage", f"{home}/errors")
-    return plain(read_usage_lake(spark, f"{home}/usage"))
+    return plain(read_usage_lake(spark, _ingested(spark, sf)))
 
 
 def usage_ingest_errors(spark, sf):
-    home = work_dir(spark, "ingest")
-    ingest(V.usage_lines(spark, sf), f"{home}/usage", f"{home}/errors")
-    return spark.read.text(f"{home}/errors")
+    return read_usage_errors(spark, _ingested(spark, sf))
 
 
 def usage_lake_write(spark, sf):
     home = work_dir(spark, "lake-sink")
-    good, _ = parse_usage(_lines(spark, sf))
-    SU.usage_lake_write(good, f"{home}/usage", f"{home}/checkpoint", trigger=NOW).awaitTermination()
+    SU.usage_lake_write(
+        parse_usage(_lines(spark, sf)), f"{home}/usage", f"{home}/checkpoint", trigger=NOW
+    ).awaitTermination()
     return plain(read_usage_lake(spark, f"{home}/usage"))
 
 
 def usage_lake_read(spark, sf):
-    path = f"{work_dir(spark, 'lake-read')}/usage"
-    write_usage_lake(parse_usage(V.usage_lines(spark, sf))[0], path)
-    return plain(read_usage_lake(spark, path, FROM_DT, TO_DT))
+    return plain(read_usage_lake(spark, _ingested(spark, sf), FROM_DT, TO_DT))
 
 
 def _assembled(spark, sf) -> str:

@@ -1,53 +1,72 @@
-"""The usage lake: JSON lines in, day-partitioned Parquet, pruned reads."""
+"""The usage lake: JSON lines in, day-partitioned Parquet and an error area, pruned reads.
+
+A lake is one folder with two areas, `area=usage/dt=.../` and `area=errors/`, so that good
+and bad lines are parsed once and written by one job.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.schemas import USAGE
 
+USAGE_AREA, ERROR_AREA = "usage", "errors"
 _BAD = "_bad"
+_FIELDS = [f.name for f in USAGE.fields]
 
 
-def parse_usage(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Text lines (`value`) to usage records of the fixed nine columns, and the bad lines.
+def parse_usage(lines: DataFrame) -> DataFrame:
+    """Text lines (`value`) to the fixed nine columns of a usage record and `bad_line`.
 
-    A missing field is NULL. A line that is not JSON or has a field of another type is bad.
+    A missing field is NULL. A line that is not JSON or has a field of another type has all
+    nine NULL and is kept as `bad_line`.
     """
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in USAGE.fields)}, {_BAD} STRING"
-    parsed = lines.withColumn("_r", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}))
+    parsed = lines.select(
+        "value", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}).alias("_r")
+    )
     is_bad = F.col("_r").isNull() | F.col(f"_r.{_BAD}").isNotNull()
-    good = parsed.filter(~is_bad).select(*[F.col(f"_r.{f.name}") for f in USAGE.fields])
-    return good.withColumn("ts", F.try_to_timestamp("ts")), parsed.filter(is_bad).select("value")
+    fields = [F.when(~is_bad, F.col(f"_r.{name}")).alias(name) for name in _FIELDS]
+    return parsed.select(*fields, F.when(is_bad, F.col("value")).alias("bad_line")).withColumn(
+        "ts", F.try_to_timestamp("ts")
+    )
+
 
+def _day(dt_from: str) -> Column:
+    """The partition day: of the record's time, or of its arrival (now)."""
+    return {"event": F.to_date("ts"), "arrival": F.current_date()}[dt_from]
 
-def with_day(records: DataFrame, dt_from: str = "event") -> DataFrame:
-    """Add the partition day: of the record's time, or of its arrival (now)."""
-    day = {"event": F.to_date("ts"), "arrival": F.current_date()}[dt_from]
-    return records.withColumn("dt", day)
+
+def in_areas(parsed: DataFrame, dt_from: str = "event") -> DataFrame:
+    """Parsed lines (or bare usage records) with their area and day."""
+    if "bad_line" not in parsed.columns:
+        parsed = parsed.withColumn("bad_line", F.lit(None).cast("string"))
+    bad = F.col("bad_line").isNotNull()
+    return parsed.withColumn("area", F.when(bad, ERROR_AREA).otherwise(USAGE_AREA)).withColumn(
+        "dt", _day(dt_from)
+    )
 
 
-def write_usage_lake(records: DataFrame, path: str, dt_from: str = "event") -> None:
-    """Append records to the lake, one folder per day.
+def usage_ingest(lines: DataFrame, path: str, dt_from: str = "event") -> None:
+    """Append one batch of usage JSON lines to the lake, bad lines to its error area.
 
-    Rebalancing by day gives files of the advisory partition size: small days share no
-    task needlessly and a large day is split over several.
+    Rebalancing by day gives files of the advisory partition size: small days are written
+    by one task and a large day is split over several.
     """
     (
-        with_day(records, dt_from)
-        .hint("rebalance", "dt")
+        in_areas(parse_usage(lines), dt_from)
+        .hint("rebalance", "area", "dt")
         .write.mode("append")
-        .partitionBy("dt")
+        .partitionBy("area", "dt")
         .parquet(path)
     )
 
 
-def usage_ingest(lines: DataFrame, lake: str, errors: str, dt_from: str = "event") -> None:
-    """One batch of usage JSON lines into the lake, the bad lines into the error folder."""
-    good, bad = parse_usage(lines)
-    write_usage_lake(good, lake, dt_from)
-    bad.write.mode("append").text(errors)
+def _read(spark: SparkSession, path: str, area: str) -> DataFrame:
+    types = [f"{f.name} {'timestamp' if f.name == 'ts' else f.dataType.simpleString()}" for f in USAGE.fields]
+    schema = f"{', '.join(types)}, bad_line STRING, area STRING, dt DATE"
+    return spark.read.schema(schema).parquet(path).filter(F.col("area") == area)
 
 
 def read_usage_lake(
@@ -57,11 +76,14 @@ def read_usage_lake(
 
     New day folders are found at read time, so there is nothing to register.
     """
-    columns = [f"{f.name} {'timestamp' if f.name == 'ts' else f.dataType.simpleString()}" for f in USAGE.fields]
-    schema = f"{', '.join(columns)}, dt date"
-    lake = spark.read.schema(schema).parquet(path).select(*[f.name for f in USAGE.fields], "dt")
+    lake = _read(spark, path, USAGE_AREA)
     if from_dt:
         lake = lake.filter(F.col("dt") >= F.lit(from_dt).cast("date"))
     if to_dt:
         lake = lake.filter(F.col("dt") <= F.lit(to_dt).cast("date"))
-    return lake
+    return lake.select(*_FIELDS, "dt")
+
+
+def read_usage_errors(spark: SparkSession, path: str) -> DataFrame:
+    """The bad lines, as they came."""
+    return _read(spark, path, ERROR_AREA).select(F.col("bad_line").alias("value"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.answers import (
@@ -39,7 +39,13 @@ def stream_text_assembly(
         spark = batch.sparkSession
         waiting = before_batch(spark, pending, batch_id, PENDING)
         columns = waiting.columns
-        events = waiting.unionByName(batch.select(*columns))
+        events = waiting.unionByName(batch.select(*columns)).persist()
+        try:
+            assemble(spark, events, batch_id)
+        finally:
+            events.unpersist()
+
+    def assemble(spark: SparkSession, events: DataFrame, batch_id: int) -> None:
         newest = events.agg(F.max("ts")).first()[0]
         done = (
             events.groupBy("request_id")
@@ -62,7 +68,7 @@ def stream_text_assembly(
         final_usage(text, finished).write.mode("overwrite").parquet(batch_folder(answers, batch_id))
         chunk_batches(deltas, size).write.mode("overwrite").parquet(batch_folder(batches, batch_id))
         write_version(
-            events.join(done.select("request_id"), "request_id", "left_anti").select(*columns), pending, batch_id
+            events.join(done.select("request_id"), "request_id", "left_anti").select(*events.columns), pending, batch_id
         )
 
     return start_batches(model_events, each, checkpoint, trigger)

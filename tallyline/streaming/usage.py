@@ -15,7 +15,7 @@ from tallyline.operators.usage import (
     usage_counters,
 )
 from tallyline.schemas import COUNTERS
-from tallyline.sources.usage_lake import parse_usage, with_day
+from tallyline.sources.usage_lake import in_areas, parse_usage
 from tallyline.streaming.versions import (
     batch_folder,
     before_batch,
@@ -111,46 +111,35 @@ def usage_lake_write(
     The native file sink commits each batch exactly once.
     """
     return (
-        with_day(records, dt_from)
+        in_areas(records, dt_from)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("dt")
+        .partitionBy("area", "dt")
         .trigger(**(trigger or LAKE_TRIGGER))
         .start()
     )
 
 
 def stream_usage_lake(
-    lines: DataFrame,
-    lake: str,
-    errors: str,
-    checkpoint: str,
-    dt_from: str = "event",
-    trigger: dict | None = None,
+    lines: DataFrame, path: str, checkpoint: str, dt_from: str = "event", trigger: dict | None = None
 ):
-    """Usage JSON lines to the lake, and the bad lines to `errors`, in one query.
+    """A stream of usage JSON lines to the lake, bad lines to its error area.
 
-    Each batch owns its `dt=/batch_id=` folders and overwrites only those, so a repeated
-    batch leaves no duplicates. Rebalancing by day aims at files of the advisory size. When
+    Each batch owns its `batch_id=` folders and overwrites only those, so a repeated batch
+    leaves no duplicates. Rebalancing by day aims at files of the advisory size. When
     repeated after midnight, `arrival` days may differ; use `event` where that matters.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            good, bad = parse_usage(batch)
-            (
-                with_day(good, dt_from)
-                .withColumn("batch_id", F.lit(batch_id))
-                .hint("rebalance", "dt")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("dt", "batch_id")
-                .parquet(lake)
-            )
-            bad.write.mode("overwrite").text(batch_folder(errors, batch_id))
-        finally:
-            batch.unpersist()
+        (
+            in_areas(parse_usage(batch), dt_from)
+            .withColumn("batch_id", F.lit(batch_id))
+            .hint("rebalance", "area", "dt")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("area", "dt", "batch_id")
+            .parquet(path)
+        )
 
     return start_batches(lines, each, checkpoint, trigger or LAKE_TRIGGER)
