@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ THRESHOLD = 0.5
 
 BLOCK_ROWS = 20_000
 SCORE_PLACES = 6
+SCORES_AT_ONCE = 4_000_000
 
 
 def actor_namespaces(queries: DataFrame) -> DataFrame:
@@ -61,6 +61,8 @@ def recall_in_namespace(
     pair of blocks is one matrix product in its own task, which keeps only the best `k` per
     query. So no pair of rows is ever a row, and a large namespace is spread over tasks.
     """
+    # Records nobody asks for stay out of the shuffle; the asked namespaces are usually few.
+    records = records.join(queries.select("namespace").distinct(), "namespace", "left_semi")
     q_blocks = _blocks(queries, "q_blocks", block_rows)
     r_blocks = _blocks(records, "r_blocks", block_rows)
     # Only namespaces above block_rows are listed: at most rows / block_rows of them.
@@ -75,16 +77,16 @@ def recall_in_namespace(
     right = _in_blocks(records, blocks, "record_id", "r", "q")
     types = dict(queries.dtypes) | dict(records.dtypes)
 
-    def best(keys, block_q: pd.DataFrame, block_r: pd.DataFrame) -> pd.DataFrame:
-        return _best_in_block(keys[0], block_q, block_r, k, threshold)
+    def best(block_q: pa.Table, block_r: pa.Table) -> pa.Table:
+        return _best_in_block(block_q, block_r, k, threshold)
 
     keys = ["namespace", "q_block", "r_block"]
     scored = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
-        .applyInPandas(
+        .applyInArrow(
             best,
-            f"query_id {types['query_id']}, namespace string, record_id {types['record_id']}, score double",
+            f"namespace string, query_id {types['query_id']}, record_id {types['record_id']}, score double",
         )
     )
     return topk_per_namespace(scored, ["query_id", "namespace"], [F.desc("score"), F.asc("record_id")], k)
@@ -103,41 +105,37 @@ def _in_blocks(df: DataFrame, blocks: DataFrame, id_column: str, own: str, other
     n_own = F.coalesce(f"{own}_blocks", F.lit(1))
     n_other = F.coalesce(f"{other}_blocks", F.lit(1))
     return (
-        df.join(blocks, "namespace", "left")
+        df.filter("embedding IS NOT NULL")
+        .join(blocks, "namespace", "left")
         .withColumn(f"{own}_block", F.pmod(F.xxhash64(id_column), n_own).cast("int"))
         .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), n_other - 1)))
         .select(*[F.col(c).alias(c) for c in ("namespace", "q_block", "r_block", id_column, "embedding")])
     )
 
 
-def _unit_rows(vectors: pd.Series) -> np.ndarray:
-    matrix = np.stack(vectors.to_numpy()).astype(np.float64)
+def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+    flat = pc.list_flatten(vectors).to_numpy().astype(np.float64)
+    matrix = flat.reshape(len(vectors), -1)
     length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
 
-def _best_in_block(
-    namespace: str, queries: pd.DataFrame, records: pd.DataFrame, k: int, threshold: float
-) -> pd.DataFrame:
-    found = {"query_id": [], "namespace": namespace, "record_id": [], "score": []}
+def _best_in_block(queries: pa.Table, records: pa.Table, k: int, threshold: float) -> pa.Table:
+    """The best `k` records of the block for each query, as row positions taken from Arrow."""
+    q_at, r_at, score = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
     if len(queries) and len(records):
-        records = records.sort_values("record_id")
-        ids, r = records["record_id"].to_numpy(), _unit_rows(records["embedding"])
-        rows = max(1, 4_000_000 // len(records))
-        for part in _row_parts(queries, rows):
-            scores = np.round(_unit_rows(part["embedding"]) @ r.T, SCORE_PLACES)
-            q_at, r_at = np.nonzero(_top_k_mask(scores, k) & (scores >= threshold))
-            found["query_id"].append(part["query_id"].to_numpy()[q_at])
-            found["record_id"].append(ids[r_at])
-            found["score"].append(scores[q_at, r_at])
-    for name in ("query_id", "record_id", "score"):
-        found[name] = np.concatenate(found[name]) if found[name] else []
-    return pd.DataFrame(found)
-
-
-def _row_parts(df: pd.DataFrame, rows: int) -> Iterator[pd.DataFrame]:
-    for at in range(0, len(df), rows):
-        yield df.iloc[at : at + rows]
+        records = records.sort_by("record_id")
+        q, r = _unit_rows(queries["embedding"]), _unit_rows(records["embedding"])
+        rows = max(1, SCORES_AT_ONCE // len(r))
+        for at in range(0, len(q), rows):
+            scores = np.round(q[at : at + rows] @ r.T, SCORE_PLACES)
+            rows_in, columns = np.nonzero(_top_k_mask(scores, k) & (scores >= threshold))
+            q_at.append(rows_in + at)
+            r_at.append(columns)
+            score.append(scores[rows_in, columns])
+    asked = queries.select(["namespace", "query_id"]).take(pa.array(np.concatenate(q_at)))
+    found = records["record_id"].take(pa.array(np.concatenate(r_at)))
+    return asked.append_column("record_id", found).append_column("score", pa.array(np.concatenate(score)))
 
 
 def _top_k_mask(scores: np.ndarray, k: int) -> np.ndarray:
