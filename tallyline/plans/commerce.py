@@ -10,6 +10,8 @@ from tallyline.operators.keyed import keyed_merge as merge
 from tallyline.operators.keyed import keyed_put as put
 from tallyline.plans import views as V
 from tallyline.plans.common import INVOICES_SQL, plain
+from tallyline.session import work_dir
+from tallyline.sources.invoice_table import read_invoices, write_invoices
 from tallyline.sources.json_lines import json_lines
 
 START, END = "1996-03-15", "1999-08-20"
@@ -145,6 +147,26 @@ def order_decisions_30_days(spark, sf):
     return _order_decisions(spark, sf, wait_days=30, hot_rows=6)
 
 
+def order_approval(spark, sf):
+    """The whole workflow: orders stored as pending, the approval log matched to them within
+    the waiting time, and the status of the decided ones set."""
+    orders = V.submissions(spark, sf)
+    stored = orders.withColumn("status", F.lit(AP.PENDING))
+    log = AP.decision_log(V.decision_urls(spark, sf))[0].withColumn("cb", F.col("cb").cast("bigint"))
+    log = log.withColumnRenamed("l_linenumber", "line")
+    decided = AP.order_decisions(orders, log, F.lit(AS_OF).cast("timestamp"), wait_days=60, tie="line")
+    changes = decided.filter("decided_at IS NOT NULL").select("order_id", "decided_at", "status")
+    return plain(merge(stored, changes, ["order_id"], ["decided_at"], set=["status"]))
+
+
+def stored_history(spark, sf):
+    """The invoices written in customer and date order, and one customer read back."""
+    path = f"{work_dir(spark, 'invoices')}/table"
+    invoices = V.invoices(spark, sf)
+    write_invoices(invoices, path)
+    return plain(I.customer_history(read_invoices(spark, path, invoices.schema), 7))
+
+
 def status_lookup(spark, sf):
     ids = V.table(spark, sf, "events").select(
         "event_id", F.concat(F.lit("A100"), (F.col("event_id") % 6).cast("string")).alias("order_id")
@@ -260,6 +282,23 @@ SELECT {_INVOICE_COLUMNS} FROM invoices ORDER BY invoice_date DESC, invoice_id L
         customer_history,
         f"""WITH {INVOICES_SQL}
 SELECT {_INVOICE_COLUMNS} FROM invoices WHERE customer_name = 7 ORDER BY invoice_date, invoice_id""",
+    ),
+    "stored_history": (
+        stored_history,
+        f"""WITH {INVOICES_SQL}
+SELECT {_INVOICE_COLUMNS} FROM invoices WHERE customer_name = 7 ORDER BY invoice_date, invoice_id""",
+    ),
+    "order_approval": (
+        order_approval,
+        f"""WITH log AS (SELECT {_CB} AS cb, l_shipdate AS ts, l_linenumber AS line, {_WORD} AS decision FROM lineitem),
+hit AS (
+  SELECT o.o_orderkey, d.decision FROM orders o JOIN log d ON d.cb = cast(o.o_orderkey AS varchar)
+  AND d.ts >= o.o_orderdate AND d.ts <= o.o_orderdate + INTERVAL 60 DAY
+  QUALIFY row_number() OVER (PARTITION BY o.o_orderkey ORDER BY d.ts, d.line) = 1)
+SELECT o.o_orderkey AS order_id, o.o_orderdate AS submitted,
+       CASE WHEN h.o_orderkey IS NULL THEN 'PENDING_APPROVAL' WHEN h.decision = 'approve' THEN 'APPROVED'
+            ELSE 'REJECTED' END AS status
+FROM orders o LEFT JOIN hit h ON h.o_orderkey = o.o_orderkey""",
     ),
     "export_json": (
         export_json,

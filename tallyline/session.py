@@ -18,8 +18,20 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "tallyline", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings the operators are tuned for; `extra` uses `__` for dots."""
+SHUFFLE_PARTITION_BYTES = 256 << 20
+
+
+def build_session(
+    app: str = "tallyline", master: str | None = None, shuffle_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the settings the operators are tuned for; `extra` uses `__` for dots.
+
+    `shuffle_bytes`, the size of the largest table to be shuffled, sets the number of shuffle
+    partitions so that each fits an executor; smaller shuffles are coalesced at run time.
+    """
+    if shuffle_bytes:
+        partitions = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+        extra = {"spark__sql__shuffle__partitions": str(partitions), **extra}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.approvals import PENDING, WAIT_DAYS, decided_status, first_decision
-from tallyline.streaming.versions import before_batch, read_newest, start_batches, write_version
+from tallyline.streaming.versions import batch_folder, start_batches
 
-DECIDED = "order_id BIGINT, submitted TIMESTAMP, decided_at TIMESTAMP, line INT, decision STRING"
+# Sorts an order without a decision behind any decision.
+_NEVER = "9999-12-31"
 
 
 def stream_order_decisions(
@@ -23,8 +24,9 @@ def stream_order_decisions(
     """Match a stream of orders (order_id, submitted) to decisions (cb, ts, line, decision).
 
     An outer interval join under watermarks: matches come out at once, an order without any
-    decision once the watermark is past its waiting time. Each batch is merged into the
-    result table keeping the earliest decision, whatever order they arrived in.
+    decision once the watermark is past its waiting time. Each batch adds its earliest
+    decision per order to `table`; reading takes the earliest of all batches, so the order of
+    arrival does not matter and nothing written is written again.
     """
     left = orders.withWatermark("submitted", delay)
     right = decisions.withWatermark("ts", delay)
@@ -35,19 +37,20 @@ def stream_order_decisions(
     ).select("order_id", "submitted", F.col("ts").alias("decided_at"), "line", "decision")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        base = before_batch(batch.sparkSession, table, batch_id, DECIDED)
-        timed = F.coalesce("decided_at", F.lit("9999-12-31").cast("timestamp"))
-        both = base.unionByName(batch).withColumn("_at", timed)
-        first = first_decision(both, ["order_id"], ["_at", "line"]).drop("_at")
-        write_version(first, table, batch_id)
+        _earliest(batch).write.mode("overwrite").parquet(batch_folder(table, batch_id))
 
     return start_batches(joined, each, checkpoint, trigger)
 
 
+def _earliest(rows: DataFrame) -> DataFrame:
+    timed = rows.withColumn("_at", F.coalesce("decided_at", F.lit(_NEVER).cast("timestamp")))
+    return first_decision(timed, ["order_id"], ["_at", "line"]).drop("_at")
+
+
 def read_order_status(spark: SparkSession, table: str, orders: DataFrame) -> DataFrame:
     """All orders with their status so far; `timed_out` once the stream has given up waiting."""
-    decided = read_newest(spark, table, DECIDED)
-    return orders.join(decided.drop("submitted").withColumn("_seen", F.lit(True)), "order_id", "left").select(
+    seen = _earliest(spark.read.parquet(table).drop("submitted", "batch_id")).withColumn("_seen", F.lit(True))
+    return orders.join(seen, "order_id", "left").select(
         *orders.columns,
         "decided_at",
         F.when(F.col("decided_at").isNull(), PENDING).otherwise(decided_status(F.col("decision"))).alias("status"),

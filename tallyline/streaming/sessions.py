@@ -38,9 +38,6 @@ def stream_sessions(
     )
 
 
-REGISTRY = "session_id BIGINT, epoch BIGINT, since TIMESTAMP, resource BIGINT"
-
-
 def stream_session_registry(offers: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):
     """Get-or-create over a stream of offers (session_id, epoch, ts, resource): the first
     resource of a session and epoch stays. A failure starts the session's next epoch.
@@ -61,4 +58,4 @@ def stream_session_registry(offers: DataFrame, table: str, checkpoint: str, trig
 
 
 def read_registry(spark: SparkSession, table: str, batches: str = "true") -> DataFrame:
-    return spark.read.schema(f"{REGISTRY}, batch_id INT").parquet(table).filter(batches).drop("batch_id")
+    return spark.read.parquet(table).filter(batches).drop("batch_id")
