@@ -100,12 +100,15 @@ def file_op_status_sliced(spark, sf):
 def _stored(spark, sf) -> str:
     """A folder holding the files the whole request log leaves behind."""
     path = work_dir(spark, "files")
-    folder.put_files(FI.file_log_compact(_ops(spark, sf)), path).agg(F.sum("size")).first()
+    folder.put_files(FI.file_log_compact(_ops(spark, sf)), path)
     return path
 
 
 def put_files(spark, sf):
-    return folder.put_files(FI.file_log_compact(_ops(spark, sf)), work_dir(spark, "files"))
+    """The written files, measured by reading them back."""
+    path = _stored(spark, sf)
+    read = folder.read_files(path, folder.list_files(spark, path).select("name"))
+    return plain(read.select("name", F.length("content").alias("size")))
 
 
 def list_files(spark, sf):

@@ -11,33 +11,30 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 _LIST_BATCH = 10_000
 
 
-def put_files(files: DataFrame, path: str) -> DataFrame:
-    """Write each row (name, content) as one file in the folder; returns (name, size).
+def put_files(files: DataFrame, path: str) -> None:
+    """Write each row (name, content) as one file in the folder, replacing older ones.
 
-    The write happens when the result is consumed. Each file is written under a hidden name
-    and then moved over the old one, so a repeated task leaves the same files.
+    Rows stream through the tasks, so one file at a time is in memory. Each file is written
+    under a hidden name and then moved over the old one, so a repeated task leaves the same
+    files.
     """
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(rows: Iterator[Row]) -> None:
         target, root = fs.FileSystem.from_uri(path)
         target.create_dir(root, recursive=True)
-        for batch in batches:
-            sizes = []
-            for row in batch.to_pylist():
-                part = f"{root}/.{uuid.uuid4().hex}"
-                with target.open_output_stream(part) as out:
-                    out.write(row["content"].encode())
-                target.move(part, f"{root}/{row['name']}")
-                sizes.append(len(row["content"]))
-            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(sizes, pa.int64())], ["name", "size"])
-
-    return files.select("name", "content").mapInArrow(write, "name STRING, size BIGINT")
+        for row in rows:
+            part = f"{root}/.{uuid.uuid4().hex}"
+            with target.open_output_stream(part) as out:
+                out.write(row["content"].encode())
+            target.move(part, f"{root}/{row['name']}")
+
+    files.select("name", "content").foreachPartition(write)
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:

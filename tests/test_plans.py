@@ -7,6 +7,7 @@ from tallyline.operators import invoices as I
 from tallyline.plans import catalog
 from tallyline.plans import views as V
 from tallyline.sources import usage_lake as UL
+from tallyline.sources.invoice_table import write_invoices
 
 PYTHON_QUERIES = {"memory_recall", "memory_recall_wide", "put_files", "list_files", "read_files"}
 STREAMS = {n for n in catalog.QUERIES if n.startswith("stream_") or n.startswith("usage_ingest") or n.startswith("usage_lake")}
@@ -39,6 +40,17 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     assert "status" not in schema and "invoice_id" not in schema
 
 
+def test_stored_invoices_are_clustered(spark, small, folder):
+    invoices = V.invoices(spark, small)
+    write_invoices(invoices, folder + "/table")
+    files = spark.read.parquet(folder + "/table").groupBy(F.input_file_name().alias("file")).agg(
+        F.min(F.struct("customer_name", "invoice_date")).alias("low"),
+        F.max(F.struct("customer_name", "invoice_date")).alias("high"),
+    )
+    spans = sorted((r["low"], r["high"]) for r in files.collect())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_lake_days_are_pruned(spark, folder):
     lines = spark.createDataFrame(
         [(f'{{"user_id":"u","ts":"2025-06-0{d} 00:00:00"}}',) for d in range(1, 6)], "value STRING"
