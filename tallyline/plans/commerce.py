@@ -98,11 +98,12 @@ def export_json(spark, sf):
 
 def _tool_calls(spark, sf):
     return V.table(spark, sf, "events").select(
-        F.expr("CASE WHEN event_id % 5 = 0 THEN 'tools___get_invoice_by_id' WHEN event_id % 5 = 1 THEN '' END").alias("context_name"),
+        F.expr(_CONTEXT_NAME).alias("context_name"),
         F.expr(_CALL).alias("event"),
     )
 
 
+_CONTEXT_NAME = "CASE WHEN event_id % 5 = 0 THEN 'tools___get_invoice_by_id' WHEN event_id % 5 = 1 THEN '' END"
 # One call as JSON text, in SQL both engines read: three ways to name the tool, arguments
 # nested or beside the name, sometimes missing.
 _CALL = """concat('{"', CASE WHEN event_id % 2 = 0 THEN 'tool_name' ELSE 'toolName' END, '":"',
@@ -310,7 +311,7 @@ SELECT concat('{{"invoice_id":', invoice_id, ',"amount":',
     "tool_call_audit": (
         tool_call_audit,
         f"""WITH calls AS (
-  SELECT CASE WHEN event_id % 5 = 0 THEN 'tools___get_invoice_by_id' WHEN event_id % 5 = 1 THEN '' END AS context_name,
+  SELECT {_CONTEXT_NAME} AS context_name,
          {_CALL} AS event FROM events),
 named AS (
   SELECT string_split(coalesce(nullif(context_name, ''), nullif(json_extract_string(event, '$.tool_name'), ''),

@@ -34,6 +34,10 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")
 
 
+def _cores(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def stream_usage_counters(spark, sf):
     home = work_dir(spark, "counters")
     requests = V.requests_from(stream(spark, sf, "events"), months=True)
@@ -54,7 +58,9 @@ def stream_order_decisions(spark, sf):
     home = work_dir(spark, "orders")
     orders = V.submissions_from(stream(spark, sf, "orders"))
     decisions = V.decisions_from(stream(spark, sf, "lineitem"))
-    SP.stream_order_decisions(orders, decisions, f"{home}/table", f"{home}/checkpoint").awaitTermination()
+    SP.stream_order_decisions(
+        orders, decisions, f"{home}/table", f"{home}/checkpoint", partitions=_cores(spark)
+    ).awaitTermination()
     status = SP.read_order_status(spark, f"{home}/table", V.submissions(spark, sf))
     return plain(status.drop("timed_out"))
 
@@ -62,7 +68,9 @@ def stream_order_decisions(spark, sf):
 def stream_sessions(spark, sf):
     home = work_dir(spark, "sessions")
     requests = V.session_requests_from(stream(spark, sf, "events"))
-    SS.stream_sessions(requests, GAP, DELAY, f"{home}/closed", f"{home}/checkpoint").awaitTermination()
+    SS.stream_sessions(
+        requests, GAP, DELAY, f"{home}/closed", f"{home}/checkpoint", partitions=_cores(spark)
+    ).awaitTermination()
     return plain(spark.read.parquet(f"{home}/closed"))
 
 

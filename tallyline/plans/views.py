@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,15 +37,17 @@ def finished(spark: SparkSession, sf_dir: str, months: bool = False) -> DataFram
     )
 
 
+_PAYLOAD = "struct<prompt: string, request_id: string>"
+_EVENTS = f"array<struct<payload: {_PAYLOAD}>>"
+
+
 def publishes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one publish: views are stream output, signups carry no prompt,
     purchases carry two (the second without payload); some publishers are not signed in."""
     prompt = F.struct(
         F.struct(F.col("props").alias("prompt"), F.concat(F.lit("r"), "event_id").alias("request_id")).alias("payload")
     )
-    empty = F.struct(
-        F.lit(None).cast("struct<prompt: string, request_id: string>").alias("payload")
-    )
+    empty = F.struct(F.lit(None).cast(_PAYLOAD).alias("payload"))
     user = F.col("user_id").cast("string")
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -55,7 +57,7 @@ def publishes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("path"),
         F.when(F.col("user_id") % 7 != 0, user).alias("sub"),
         F.concat(F.lit("i"), "event_id").alias("invocation_id"),
-        F.when(F.col("event_type") == "signup", F.array().cast("array<struct<payload:struct<prompt:string,request_id:string>>>"))
+        F.when(F.col("event_type") == "signup", F.array().cast(_EVENTS))
         .when(F.col("event_type") == "purchase", F.array(prompt, empty))
         .otherwise(F.array(prompt))
         .alias("events"),
@@ -116,7 +118,8 @@ def decision_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     cb = F.when(F.col("l_orderkey") % 7 == 0, "x=1").when(F.col("l_orderkey") % 13 == 0, "cb=").otherwise(
         F.concat(F.lit("cb="), key)
     )
-    word = F.when(F.col("l_returnflag") == "A", "approve").when(F.col("l_returnflag") == "R", "reject").otherwise("Approve")
+    flag = F.col("l_returnflag")
+    word = F.when(flag == "A", "approve").when(flag == "R", "reject").otherwise("Approve")
     tail = F.when(F.col("l_orderkey") % 11 == 0, "").otherwise(F.concat(F.lit("&decision="), word))
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -153,7 +156,9 @@ def file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", "POST")
         .otherwise("GET")
         .alias("method"),
-        F.when(F.col("event_id") % 9 == 0, "/files/").otherwise(F.concat(F.lit("/files//"), name, F.lit("/x"))).alias("path"),
+        F.when(F.col("event_id") % 9 == 0, "/files/")
+        .otherwise(F.concat(F.lit("/files//"), name, F.lit("/x")))
+        .alias("path"),
         F.when(F.col("event_id") % 2 == 0, F.base64(F.col("props").cast("binary")))
         .when(F.col("event_id") % 3 != 0, F.col("props"))
         .alias("body"),
@@ -180,7 +185,10 @@ def model_events_from(conversations: DataFrame) -> DataFrame:
 
     def event(seq, text, t_in, t_out):
         return F.struct(
-            seq.alias("seq"), text.cast("string").alias("text"), t_in.cast("int").alias("t_in"), t_out.cast("int").alias("t_out")
+            seq.alias("seq"),
+            text.cast("string").alias("text"),
+            t_in.cast("int").alias("t_in"),
+            t_out.cast("int").alias("t_out"),
         )
 
     none = F.lit(None)
@@ -228,7 +236,7 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("session_id"),
         F.concat("conv_id", F.lit("-"), (F.col("turn") / 2).cast("int")).alias("request_id"),
         F.when(F.col("conv_id") % 9 != 0, F.concat(F.lit("a"), F.col("conv_id") % 20)).alias("actor_id"),
-        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.expr("make_dt_interval(0, 0, cast(turn as int), 0)")).alias("ts"),
+        F.expr("timestamp '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(turn as int), 0)").alias("ts"),
     )
 
 
@@ -270,6 +278,6 @@ def usage_lines_from(requests: DataFrame) -> DataFrame:
     )
 
 
-def event_time():
+def event_time() -> Column:
     """A time for each model event: a second per sequence number."""
-    return F.lit("2024-01-01 00:00:00").cast("timestamp") + F.expr("make_dt_interval(0, 0, 0, cast(seq as int))")
+    return F.expr("timestamp '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(seq as int))")

@@ -20,6 +20,7 @@ def stream_order_decisions(
     wait_days: int = WAIT_DAYS,
     delay: str = "1 hour",
     trigger: dict | None = None,
+    partitions: int | None = None,
 ):
     """Match a stream of orders (order_id, submitted) to decisions (cb, ts, line, decision).
 
@@ -39,7 +40,7 @@ def stream_order_decisions(
     def each(batch: DataFrame, batch_id: int) -> None:
         _earliest(batch).write.mode("overwrite").parquet(batch_folder(table, batch_id))
 
-    return start_batches(joined, each, checkpoint, trigger)
+    return start_batches(joined, each, checkpoint, trigger, partitions)
 
 
 def _earliest(rows: DataFrame) -> DataFrame:

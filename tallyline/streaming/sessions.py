@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.lifecycle import first_of_epoch
-from tallyline.streaming.versions import batch_folder, start_batches
+from tallyline.streaming.versions import batch_folder, start_batches, state_partitions
 
 
 def sessions(requests: DataFrame, gap: str, delay: str) -> DataFrame:
@@ -24,18 +24,25 @@ def sessions(requests: DataFrame, gap: str, delay: str) -> DataFrame:
 
 
 def stream_sessions(
-    requests: DataFrame, gap: str, delay: str, path: str, checkpoint: str, trigger: dict | None = None
+    requests: DataFrame,
+    gap: str,
+    delay: str,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    partitions: int | None = None,
 ):
     """Write each session to Parquet once it is closed and past the watermark."""
-    return (
+    writer = (
         sessions(requests, gap, delay)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    with state_partitions(requests.sparkSession, partitions):
+        return writer.start()
 
 
 def stream_session_registry(offers: DataFrame, table: str, checkpoint: str, trigger: dict | None = None):

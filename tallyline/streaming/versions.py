@@ -7,7 +7,8 @@ enough: the older one is only overwritten once the newer one is complete.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +43,35 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """Start a stateful query with this many state partitions.
+
+    A query keeps the number it was first started with for as long as its checkpoint lives,
+    so it is chosen by the size of the state rather than left to the session.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start_batches(
     stream: DataFrame,
     each: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict | None = None,
+    partitions: int | None = None,
 ):
     """Start a query that hands every micro-batch to `each`; by default it stops at the end
     of the available input."""
-    return (
+    writer = (
         stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    with state_partitions(stream.sparkSession, partitions):
+        return writer.start()
