@@ -13,7 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

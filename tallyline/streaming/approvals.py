@@ -21,19 +21,29 @@ def stream_order_decisions(
     delay: str = "1 hour",
     trigger: dict | None = None,
     partitions: int | None = None,
+    salts: int = 1,
 ):
     """Match a stream of orders (order_id, submitted) to decisions (cb, ts, line, decision).
 
     An outer interval join under watermarks: matches come out at once, an order without any
     decision once the watermark is past its waiting time. Each batch adds its earliest
     decision per order to `table`; reading takes the earliest of all batches, so the order of
-    arrival does not matter and nothing written is written again.
+    arrival does not matter and nothing written is written again. Where single callbacks are
+    called so often that their state is too much for one task, `salts` spreads the calls of
+    each over that many, at the price of keeping each waiting order as often.
     """
-    left = orders.withWatermark("submitted", delay)
-    right = decisions.withWatermark("ts", delay)
+    left = orders.withWatermark("submitted", delay).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    right = decisions.withWatermark("ts", delay).withColumn(
+        "_salt", F.pmod(F.xxhash64("ts", "line"), F.lit(salts)).cast("int")
+    )
     joined = left.join(
         right,
-        F.expr(f"cb = order_id AND ts >= submitted AND ts <= submitted + INTERVAL {int(wait_days)} DAYS"),
+        F.expr(
+            "cb = order_id AND _salt = _copy AND ts >= submitted "
+            f"AND ts <= submitted + INTERVAL {int(wait_days)} DAYS"
+        ),
         "leftOuter",
     ).select("order_id", "submitted", F.col("ts").alias("decided_at"), "line", "decision")
 

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.lifecycle import first_of_epoch
-from tallyline.streaming.versions import batch_folder, start_batches, state_partitions
+from tallyline.streaming.versions import batch_folder, start_batches, stateful_start
 
 
 def sessions(requests: DataFrame, gap: str, delay: str) -> DataFrame:
     """Activity sessions (session_id, start, end, requests) closed by an idle `gap`.
 
-    With `spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition` on, requests
-    are merged into sessions before the shuffle.
+    `stream_sessions` starts it so that requests are merged into sessions before the shuffle.
     """
     return (
         requests.withWatermark("ts", delay)
@@ -41,7 +40,7 @@ def stream_sessions(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    with state_partitions(requests.sparkSession, partitions):
+    with stateful_start(requests.sparkSession, partitions):
         return writer.start()
 
 

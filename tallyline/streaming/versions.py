@@ -44,19 +44,24 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, partitions: int | None) -> Iterator[None]:
-    """Start a stateful query with this many state partitions.
+def stateful_start(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """The settings a stateful query is started with.
 
-    A query keeps the number it was first started with for as long as its checkpoint lives,
-    so it is chosen by the size of the state rather than left to the session.
+    A query keeps its number of state partitions for as long as its checkpoint lives, so it
+    is chosen by the size of the state rather than left to the session. Sessions are merged
+    before the shuffle, so that a busy one arrives as few rows.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(partitions or before))
+    wanted = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def start_batches(
@@ -73,5 +78,5 @@ def start_batches(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    with state_partitions(stream.sparkSession, partitions):
+    with stateful_start(stream.sparkSession, partitions):
         return writer.start()

@@ -132,8 +132,8 @@ def test_lake_by_arrival(spark, folder):
     assert row["dt"].year >= 2025 and row["ts"] == datetime.datetime(2001, 1, 1)
 
 
-@pytest.mark.parametrize("late_first", [False, True])
-def test_earliest_decision_wins_in_any_arrival(spark, folder, late_first):
+@pytest.mark.parametrize("late_first, salts", [(False, 1), (True, 1), (True, 3)])
+def test_earliest_decision_wins_in_any_arrival(spark, folder, late_first, salts):
     orders = Source(spark, f"{folder}/orders", "order_id BIGINT, submitted TIMESTAMP")
     orders.add([(1, at(0)), (2, at(0)), (3, at(0))]).add([(4, at(30 * 86400))])
     calls = Source(spark, f"{folder}/calls", "cb BIGINT, ts TIMESTAMP, line INT, decision STRING")
@@ -141,7 +141,9 @@ def test_earliest_decision_wins_in_any_arrival(spark, folder, late_first):
     for part in ((late, early) if late_first else (early, late)):
         calls.add(part)
     calls.add([(9, at(40 * 86400), 0, "approve")])
-    SP.stream_order_decisions(orders.stream(), calls.stream(), f"{folder}/t", f"{folder}/cp").awaitTermination()
+    SP.stream_order_decisions(
+        orders.stream(), calls.stream(), f"{folder}/t", f"{folder}/cp", salts=salts
+    ).awaitTermination()
     all_orders = spark.read.schema(orders.schema).parquet(f"{folder}/orders/*")
     status = {r["order_id"]: (r["status"], r["timed_out"]) for r in SP.read_order_status(spark, f"{folder}/t", all_orders).collect()}
     assert status == {
