@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.functions.compute import once
 from tallyline.functions.defaults import if_empty, if_missing
 from tallyline.functions.skew import HOT_ROWS, hot_keys, salted_join
 
@@ -49,7 +50,7 @@ def decided_status(decision: Column) -> Column:
 
 def decision_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """An access log (url, ts, ...) to decisions, and the rejected calls without a callback id."""
-    parsed = log.withColumn("_query", F.try_parse_url(F.col("url"), F.lit("QUERY"))).withColumn(
+    parsed = log.withColumn("_query", once(F.try_parse_url(F.col("url"), F.lit("QUERY")))).withColumn(
         "cb", F.nullif(_parameter("cb"), F.lit(""))
     )
     good = (

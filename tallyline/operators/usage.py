@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.compute import once
 from tallyline.functions.defaults import if_empty, if_missing
 from tallyline.functions.skew import (
     HOT,
@@ -79,7 +80,7 @@ def normalize_requests(raw: DataFrame, kind: str, live: bool = False) -> tuple[D
     new_id = F.uuid() if live else F.sha2(F.to_json(F.struct(*raw.columns)), 256)
     options = {"columnNameOfCorruptRecord": "_bad"}
     parsed = raw.withColumn(
-        "_b", F.from_json(if_empty(F.col("body"), "{}"), f"{schema}, _bad STRING", options)
+        "_b", once(F.from_json(if_empty(F.col("body"), "{}"), f"{schema}, _bad STRING", options))
     )
     is_bad = F.col("_b").isNull() | F.col("_b._bad").isNotNull()
     rejects = parsed.filter(is_bad).select(*raw.columns)

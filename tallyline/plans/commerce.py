@@ -149,13 +149,16 @@ def order_decisions_30_days(spark, sf):
 
 
 def order_approval(spark, sf):
-    """The whole workflow: orders stored as pending, the approval log matched to them within
-    the waiting time, and the status of the decided ones set."""
+    """The whole workflow: orders stored as pending, the approval log stored as decisions and
+    matched to them within the waiting time, and the status of the decided ones set."""
     orders = V.submissions(spark, sf)
     stored = orders.withColumn("status", F.lit(AP.PENDING))
-    log = AP.decision_log(V.decision_urls(spark, sf))[0].withColumn("cb", F.col("cb").cast("bigint"))
-    log = log.withColumnRenamed("l_linenumber", "line")
-    decided = AP.order_decisions(orders, log, F.lit(AS_OF).cast("timestamp"), wait_days=60, tie="line")
+    path = work_dir(spark, "decisions")
+    log = AP.decision_log(V.decision_urls(spark, sf))[0]
+    cb, line = F.col("cb").cast("bigint").alias("cb"), F.col("l_linenumber").alias("line")
+    log.select(cb, "ts", line, "decision").write.parquet(path)
+    as_of = F.lit(AS_OF).cast("timestamp")
+    decided = AP.order_decisions(orders, spark.read.parquet(path), as_of, wait_days=60, tie="line")
     changes = decided.filter("decided_at IS NOT NULL").select("order_id", "decided_at", "status")
     return plain(merge(stored, changes, ["order_id"], ["decided_at"], set=["status"]))
 

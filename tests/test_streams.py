@@ -6,9 +6,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
-from tallyline.operators import answers as A
 from tallyline.operators import usage as U
 from tallyline.schemas import MODEL_EVENT
 from tallyline.sources import usage_lake as UL
