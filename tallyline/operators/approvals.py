@@ -71,7 +71,11 @@ def _parameter(name: str) -> Column:
 
 
 def first_decision(decisions: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """The first decision of each callback; later ones are ignored. Combined before the shuffle."""
+    """The first decision of each callback; later ones are ignored.
+
+    Where several are equal in `order_by`, the smallest in the other columns counts, so the
+    answer does not depend on how the rows are stored. Combined before the shuffle.
+    """
     rest = [c for c in decisions.columns if c not in keys and c not in order_by]
     first = decisions.groupBy(*keys).agg(F.min(F.struct(*order_by, *rest)).alias("_first"))
     return first.select(*keys, "_first.*").select(*decisions.columns)

@@ -206,7 +206,7 @@ def order_decisions_sql(days: int, flags: bool = True) -> str:
     return f"""WITH {_DECISIONS_SQL}, hit AS (
   SELECT o.o_orderkey, d.* FROM orders o JOIN dec d
   ON d.cb = o.o_orderkey AND d.ts >= o.o_orderdate AND d.ts <= o.o_orderdate + INTERVAL {days} DAY
-  QUALIFY row_number() OVER (PARTITION BY o.o_orderkey ORDER BY d.ts, d.line) = 1)
+  QUALIFY row_number() OVER (PARTITION BY o.o_orderkey ORDER BY d.ts, d.line, d.decision) = 1)
 SELECT o.o_orderkey AS order_id, o.o_orderdate AS submitted, d.ts AS decided_at{', d.decision' if flags else ''},
        CASE WHEN d.ts IS NULL THEN 'PENDING_APPROVAL' WHEN d.decision = 'approve' THEN 'APPROVED'
             ELSE 'REJECTED' END AS status{extra if flags else ''}
@@ -298,7 +298,7 @@ SELECT {_INVOICE_COLUMNS} FROM invoices WHERE customer_name = 7 ORDER BY invoice
 hit AS (
   SELECT o.o_orderkey, d.decision FROM orders o JOIN log d ON d.cb = cast(o.o_orderkey AS varchar)
   AND d.ts >= o.o_orderdate AND d.ts <= o.o_orderdate + INTERVAL 60 DAY
-  QUALIFY row_number() OVER (PARTITION BY o.o_orderkey ORDER BY d.ts, d.line) = 1)
+  QUALIFY row_number() OVER (PARTITION BY o.o_orderkey ORDER BY d.ts, d.line, d.decision) = 1)
 SELECT o.o_orderkey AS order_id, o.o_orderdate AS submitted,
        CASE WHEN h.o_orderkey IS NULL THEN 'PENDING_APPROVAL' WHEN h.decision = 'approve' THEN 'APPROVED'
             ELSE 'REJECTED' END AS status
@@ -353,7 +353,7 @@ FROM lineitem WHERE {_CB} IS NULL""",
     "first_decision": (
         first_decision,
         f"""WITH {_DECISIONS_SQL}
-SELECT * FROM dec QUALIFY row_number() OVER (PARTITION BY cb ORDER BY ts, line) = 1""",
+SELECT * FROM dec QUALIFY row_number() OVER (PARTITION BY cb ORDER BY ts, line, decision) = 1""",
     ),
     "order_decisions": (order_decisions, order_decisions_sql(2)),
     "order_decisions_30_days": (order_decisions_30_days, order_decisions_sql(30)),

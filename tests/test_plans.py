@@ -85,3 +85,8 @@ def test_no_row_is_paired_by_range_lookup(spark, small):
     text = plan(I.range_lookup(V.range_requests(spark, small), V.invoices(spark, small)))
     joins = [line for line in text.splitlines() if "Join" in line]
     assert joins and all(">=" not in line for line in joins)
+
+
+@pytest.mark.parametrize("name, parse", [("decision_log", "ParseUrlEvaluator"), ("normalize_chat", "from_json")])
+def test_parsed_once(spark, small, name, parse):
+    assert plan(catalog.QUERIES[name](spark, small)).count(parse) == 1

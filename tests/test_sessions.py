@@ -92,6 +92,13 @@ def test_order_decisions(spark, hot_rows):
     }
 
 
+def test_equal_times_have_one_answer(spark):
+    rows = [(1, seconds(5), 2, "reject"), (1, seconds(5), 2, "approve"), (1, seconds(5), 3, "a"), (1, seconds(9), 0, "a")]
+    for order in (rows, rows[::-1]):
+        calls = spark.createDataFrame(order, "cb INT, ts TIMESTAMP, line INT, decision STRING")
+        assert [tuple(r) for r in AP.first_decision(calls, ["cb"], ["ts", "line"]).collect()] == [rows[1]]
+
+
 def test_put_replaces_the_whole_row(spark):
     schema = "k INT, no INT, a STRING, b STRING"
     base = spark.createDataFrame([(1, 0, "x", "y"), (2, 0, "x", "y")], schema)
