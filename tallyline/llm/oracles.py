@@ -27,3 +27,32 @@ SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles,
 FROM sets s LEFT JOIN reach ON reach.doc_id = s.doc_id
 GROUP BY s.doc_id, s.grams
 """
+
+# Bytes are compared as hexadecimal digits, two for each byte.
+SUFFIX_ARRAY = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT r, unnest(range(len(h) // 2 - 199)) AS s, h FROM texts WHERE len(h) >= 400),
+windows AS (SELECT r, s, md5(substr(h, 2 * s + 1, 400)) AS m FROM starts),
+often AS (SELECT m FROM windows GROUP BY m HAVING count(*) > 1),
+hits AS (SELECT r, s FROM windows JOIN often USING (m)),
+marked AS (
+  SELECT r, s, CASE WHEN s <= max(s) OVER (PARTITION BY r ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 200
+                    THEN 0 ELSE 1 END AS fresh
+  FROM hits),
+numbered AS (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS span FROM marked),
+spans AS (SELECT r, span, min(s) AS lo, max(s) + 200 AS hi FROM numbered GROUP BY r, span),
+edges AS (
+  SELECT r, span, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY r ORDER BY lo) AS before,
+         lead(lo) OVER (PARTITION BY r ORDER BY lo) AS next
+  FROM spans),
+kept AS (
+  SELECT r, count(*) AS n_spans, sum(hi - lo) AS n_removed,
+         string_agg(substr(h, 2 * before + 1, 2 * (lo - before))
+                    || CASE WHEN next IS NULL THEN substr(h, 2 * hi + 1) ELSE '' END, '' ORDER BY lo) AS left_over
+  FROM edges JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(left_over, h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm import oracles
 from tallyline.llm.ngram_join import jaccard_groups
+from tallyline.llm.suffix_dedup import removal_digest
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +19,16 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(docs, words=3, ratio=(9, 10)).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return removal_digest(_table(spark, sf_dir, "documents"), min_bytes=200)
+
+
 QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op8_suffix_array": op8_suffix_array,
 }
 SQL = {
     "op3_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op8_suffix_array": oracles.SUFFIX_ARRAY,
 }
