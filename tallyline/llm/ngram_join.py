@@ -132,8 +132,11 @@ def _may_link(a: str, b: str, num: int, den: int) -> str:
     )
 
 
-def _verified(pairs: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(
+    docs: DataFrame, doc_id: str, text: str, words: int, pairs: DataFrame, some: DataFrame, num: int, den: int
+) -> DataFrame:
     """The pairs (a, b) of signatures whose whole sets reach the ratio."""
+    full = _whole_sets(docs, doc_id, text, words, some, pairs)
     left = full.select(F.col("sig").alias("a"), F.col("grams").alias("x"))
     right = full.select(F.col("sig").alias("b"), F.col("grams").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -172,14 +175,12 @@ def jaccard_groups(
         F.first("n").alias("n"), F.first("grams").alias("grams"), F.min("doc_id").alias("doc_id")
     )
     postings = classes.select("sig", "n", F.posexplode("grams").alias("pos", "gram"))
-    columns = (
-        postings.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("df"), F.min(F.struct("pos", "n", "sig")).alias("leader"))
-        .filter("df > 1")
-    )
+    columns = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     live = kept(postings.join(columns, "gram"))
     light = live.filter(F.col("df") <= LIGHT_COLUMN)
     heavy = live.filter(F.col("df") > LIGHT_COLUMN)
+    leaders = heavy.groupBy("gram").agg(F.min(F.struct("pos", "n", "sig")).alias("leader"))
+    heavy = kept(heavy.join(leaders, "gram"))
     bound = _may_link("l", "r", num, den)
     ordered = (F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b"))
     met = (
@@ -194,21 +195,22 @@ def jaccard_groups(
         .select(F.least("sig", "r.sig").alias("a"), F.greatest("sig", "r.sig").alias("b"))
     )
     pairs = kept(met.unionByName(star).distinct())
-    full = _whole_sets(docs, doc_id, text, words, some, live)
-    links = kept(_verified(pairs, full, num, den))
+    links = kept(_verified(docs, doc_id, text, words, pairs, some, num, den))
     parts = connected_components(links, "a", "b")
-    apart = _apart(heavy, parts, bound).join(pairs, ["a", "b"], "left_anti").distinct()
-    more = kept(_verified(apart, full, num, den))
+    apart = kept(_apart(heavy, parts, bound).join(pairs, ["a", "b"], "left_anti").distinct())
+    if apart.isEmpty():
+        return _members(sets, parts)
+    more = kept(_verified(docs, doc_id, text, words, apart, some, num, den))
     if not more.isEmpty():
         parts = connected_components(links.unionByName(more), "a", "b")
     return _members(sets, parts)
 
 
 def _whole_sets(
-    docs: DataFrame, doc_id: str, text: str, words: int, some: DataFrame, live: DataFrame
+    docs: DataFrame, doc_id: str, text: str, words: int, some: DataFrame, pairs: DataFrame
 ) -> DataFrame:
-    """The whole sets of the classes that share a column, computed again from their texts."""
-    wanted = live.select("sig").distinct()
+    """The whole sets of the classes in the pairs, computed again from their texts."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     one = some.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     one = kept(one)
     ids = small_side(one.select(F.col("doc_id").alias("_wanted")).distinct())

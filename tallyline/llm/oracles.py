@@ -56,3 +56,33 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(left_over, h))) AS kept_sha256
 FROM texts LEFT JOIN kept USING (r)
 """
+
+_HIT_WORDS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+DECONTAMINATION = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_HIT_WORDS}') AS w
+  FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_HIT_WORDS}') AS w
+  FROM benchmark),
+sized AS (SELECT item, w, least(10, len(w)) AS size FROM items WHERE len(w) > 0),
+placed AS (SELECT item, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM sized),
+windows AS (
+  SELECT DISTINCT item, size, array_to_string(list_slice(w, s, s + size - 1), ' ') AS pattern FROM placed),
+sizes AS (SELECT DISTINCT size FROM windows),
+starts AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM docs, sizes WHERE len(w) >= size),
+matches AS (
+  SELECT r, s, starts.size, item
+  FROM starts JOIN windows
+    ON windows.size = starts.size AND pattern = array_to_string(list_slice(w, s, s + starts.size - 1), ' ')),
+hit AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(s, s + size)) AS word FROM matches) GROUP BY r),
+listed AS (
+  SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM matches) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm import oracles
+from tallyline.llm.decontaminate import hit_digest
 from tallyline.llm.ngram_join import jaccard_groups
 from tallyline.llm.suffix_dedup import removal_digest
 
@@ -19,6 +20,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(docs, words=3, ratio=(9, 10)).select("doc_id", "n_shingles", "component_id")
 
 
+def op4_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of ten words: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return hit_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return removal_digest(_table(spark, sf_dir, "documents"), min_bytes=200)
@@ -26,9 +32,11 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_aho_corasick": op4_aho_corasick,
     "op8_suffix_array": op8_suffix_array,
 }
 SQL = {
     "op3_ngram_jaccard": oracles.NGRAM_JACCARD,
+    "op4_aho_corasick": oracles.DECONTAMINATION,
     "op8_suffix_array": oracles.SUFFIX_ARRAY,
 }
