@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.llm import oracles
 from tallyline.llm.decontaminate import hit_digest
+from tallyline.llm.language_id import learn_and_predict
 from tallyline.llm.ngram_join import jaccard_groups
 from tallyline.llm.suffix_dedup import removal_digest
 
@@ -14,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, languages."""
+    return learn_and_predict(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, index 0.9: doc_id, n_shingles, component_id."""
     docs = _table(spark, sf_dir, "documents")
@@ -31,6 +37,7 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_mixture": op2_language_mixture,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_aho_corasick": op4_aho_corasick,
     "op8_suffix_array": op8_suffix_array,
