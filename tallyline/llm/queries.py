@@ -8,6 +8,7 @@ from tallyline.llm import oracles
 from tallyline.llm.decontaminate import hit_digest
 from tallyline.llm.language_id import learn_and_predict
 from tallyline.llm.ngram_join import jaccard_groups
+from tallyline.llm.packing import packed_pieces
 from tallyline.llm.suffix_dedup import removal_digest
 
 
@@ -31,6 +32,11 @@ def op4_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hit_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 2048 ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    return packed_pieces(_table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return removal_digest(_table(spark, sf_dir, "documents"), min_bytes=200)
@@ -40,6 +46,7 @@ QUERIES = {
     "op2_language_mixture": op2_language_mixture,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_aho_corasick": op4_aho_corasick,
+    "op5_karmarkar_karp": op5_karmarkar_karp,
     "op8_suffix_array": op8_suffix_array,
 }
 SQL = {
