@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm.tables import kept
 from tallyline.llm.text_arrays import text_buffers
@@ -139,6 +140,38 @@ def _shards(benchmark: DataFrame, item_id: str, text: str, words: int) -> Iterat
         yield [(bytes(r.pattern), list(r.items)) for r in part.filter(F.col("shard") == shard).select("pattern", F.col("items")).toLocalIterator()]
 
 
+def _scanned(
+    docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, words: int
+) -> DataFrame:
+    """row (all columns of the document), text, n_words, hits, items."""
+    found = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.lit(0).cast("bigint").alias("n_words"),
+        F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)").alias("hits"),
+        F.expr("cast(array() as array<string>)").alias("items"),
+    )
+    passes = 0
+    for windows in _shards(benchmark, item_id, item_text, words):
+        found = _scan(windows, kept(found) if passes else found)
+        passes += 1
+    if not passes:
+        found = _scan([], found)
+    return found
+
+
+def without_benchmark(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    words: int = WINDOW_WORDS,
+) -> DataFrame:
+    """The documents without an occurring window; see `benchmark_hits`. Null texts stay."""
+    return _scanned(docs, benchmark, text, item_id, item_text, words).filter(F.size("hits") == 0).select("row.*")
+
+
 def benchmark_hits(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -163,25 +196,13 @@ def benchmark_hits(
     One automaton holds about `SHARD_BYTES` bytes of windows at most; a larger benchmark is
     scanned in several passes with a stored table between them.
     """
-    found = docs.select(
-        F.col(doc_id).alias("row"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)").alias("hits"),
-        F.expr("cast(array() as array<string>)").alias("items"),
-    )
-    passes = 0
-    for windows in _shards(benchmark, item_id, item_text, words):
-        found = _scan(windows, kept(found) if passes else found)
-        passes += 1
-    if not passes:
-        found = _scan([], found)
-    kinds = {x.name: x.dataType.simpleString() for x in found.schema if x.name != "text"}
-    spans = "spans array<struct<begin: bigint, end: bigint>>"
-    located = found.mapInArrow(_offsets, ", ".join(f"{k} {v}" for k, v in kinds.items()) + f", {spans}")
+    found = _scanned(docs.select(doc_id, text), benchmark, text, item_id, item_text, words)
+    kinds = [x for x in found.schema if x.name != "text"]
+    spans = T.StructType.fromDDL("spans array<struct<begin: bigint, end: bigint>>")
+    located = found.mapInArrow(_offsets, T.StructType([*kinds, *spans.fields]))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["begin"])
     return located.select(
-        F.col("row").alias("doc_id"), "n_words", n_hit.alias("n_hit"), "items", "spans", (F.size("hits") > 0).alias("contaminated")
+        F.col("row").getField(doc_id).alias("doc_id"), "n_words", n_hit.alias("n_hit"), "items", "spans", (F.size("hits") > 0).alias("contaminated")
     )
 
 

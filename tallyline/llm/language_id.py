@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.llm.text_arrays import LOWER, document_chunks, text_buffers
 
@@ -25,6 +26,7 @@ SMOOTHING = 2.0
 ROUNDS = 12
 UNKNOWN = "und"
 CHUNK = 1 << 19
+_PREDICTED = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
 
 _LETTER = np.zeros(256, np.uint8)
 _LETTER[97:123] = np.arange(97, 123)
@@ -111,7 +113,7 @@ def learn(
 
 
 def _tables(model: dict) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Language names; trigram counts plus nothing; logarithms are formed when words are scored."""
+    """Language names, and trigram, context and letter tables with a column for each language."""
     names = list(model)
     grams = np.stack([model[x][0] for x in names], 1).astype(np.float32)
     contexts = np.stack([model[x][1] for x in names], 1).astype(np.float32)
@@ -193,8 +195,8 @@ def _predictor(shared):
                 ]
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array(names, pa.string()), pa.array(score), pa.array(mixed, kind)],
-                    ["doc_id", "lang_pred", "score", "languages"],
+                    [batch.column("row").slice(low, high - low), pa.array(names, pa.string()), pa.array(score), pa.array(mixed, kind)],
+                    ["row", "lang_pred", "score", "languages"],
                 )
 
     return predict
@@ -214,23 +216,26 @@ def _shares(body: np.ndarray, edges: np.ndarray, tables: tuple) -> np.ndarray:
     return mixtures(whole, np.zeros(len(whole), np.int64), 1)
 
 
-def predict_languages(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, lang_pred, score, languages.
+def with_languages(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+    """row (a struct of all columns of the document), lang_pred, score, languages.
 
     `lang_pred` is the language with the largest proportion, `score` that proportion, and
     `languages` the selected set with proportions, largest first. Where the text is null, empty
     or without a letter, or nothing has been learned, it is `und` with score 0 and an empty
     set. Whole texts are read; ties go to the first language by name. Repeated rows stay; an
-    empty table gives an empty result; other columns, labels among them, are not used.
+    empty table gives an empty result; no other column, labels among them, is looked at.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), body.rlike(r"\p{L}").alias("lettered"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return rows.mapInArrow(
-        _predictor(shared),
-        f"doc_id {kind}, lang_pred string, score double, languages array<struct<lang: string, share: double>>",
-    )
+    rows = docs.select(F.struct("*").alias("row"), body.alias("text"), body.rlike(r"\p{L}").alias("lettered"))
+    schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(_PREDICTED).fields])
+    return rows.mapInArrow(_predictor(shared), schema)
+
+
+def fold_model(docs: DataFrame) -> dict:
+    """Learn from documents whose crc32 of the decimal doc_id does not leave 2 by 4."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    return learn(docs.filter(fold != 2), "lang", "text", F.col("doc_id"))
 
 
 def learn_and_predict(docs: DataFrame) -> DataFrame:
@@ -240,8 +245,8 @@ def learn_and_predict(docs: DataFrame) -> DataFrame:
     learning; a null doc_id is not held out and not learned from.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    model = learn(docs.filter(fold != 2), "lang", "text", F.col("doc_id"))
-    found = predict_languages(docs, model)
-    return found.select(
+    model = fold_model(docs)
+    found = with_languages(docs.select("doc_id", "text"), model)
+    return found.select("row.doc_id", "lang_pred", "score", "languages").select(
         "doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "languages"
     )

@@ -82,14 +82,14 @@ def _blocks(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
 def gram_sets(
     docs: DataFrame, doc_id: str, text: str, words: int, ratio: tuple[int, int] | None, levels: bytes = b""
 ) -> DataFrame:
-    """(doc_id, sig, n, grams): with a ratio the columns the set needs, else the whole set."""
+    """(doc_id, text_key, sig, n, grams): with a ratio the columns the set needs, else the whole set."""
     broadcast = docs.sparkSession.sparkContext.broadcast(levels)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(broadcast.value, np.uint8)
         for batch in batches:
             rows, sigs, sizes, lists, held = [], [], [], [], 0
-            for row, grams in shingle_sets(batch.column(1), words):
+            for row, grams in shingle_sets(batch.column(2), words):
                 size = len(grams)
                 sigs.append(blake2b(grams.tobytes(), digest_size=16).digest())
                 if ratio and size:
@@ -107,8 +107,9 @@ def gram_sets(
                 yield _set_batch(batch, rows, sigs, sizes, lists)
 
     kind = _id_type(docs, doc_id)
-    schema = f"doc_id {kind}, sig binary, n bigint, grams array<bigint>"
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text)).mapInArrow(sets, schema)
+    schema = f"doc_id {kind}, text_key bigint, sig binary, n bigint, grams array<bigint>"
+    key = F.xxhash64(F.col(text)).alias("text_key")
+    return docs.select(F.col(doc_id).alias("doc_id"), key, F.col(text)).mapInArrow(sets, schema)
 
 
 def _set_batch(batch, rows, sigs, sizes, lists) -> pa.RecordBatch:
@@ -116,6 +117,7 @@ def _set_batch(batch, rows, sigs, sizes, lists) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
             "doc_id": batch.column(0).take(pa.array(rows)),
+            "text_key": batch.column(1).take(pa.array(rows)),
             "sig": pa.array(sigs, pa.binary()),
             "n": pa.array(sizes, pa.int64()),
             "grams": pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(lists))),
@@ -156,10 +158,12 @@ def jaccard_groups(
     words: int = 5,
     ratio: tuple[int, int] = (4, 5),
 ) -> DataFrame:
-    """One row per document: doc_id, sig, n_shingles, component_id.
+    """One row per document: doc_id, text_key, sig, n_shingles, component_id, component_key.
 
     Documents are linked when the Jaccard index of their `words`-word shingles is at least
-    `ratio` (numerator, denominator). `component_id` is the smallest doc_id reachable by links.
+    `ratio` (numerator, denominator). `component_id` is the smallest doc_id reachable by links
+    and `component_key` names the component (null without shingles); `text_key` is a hash of
+    the text.
     Lower-case ASCII, words between ASCII white space, whole texts.
 
     Null and empty texts, and texts of white space, have no shingles and link with nothing.
@@ -248,12 +252,50 @@ def _members(sets: DataFrame, parts: DataFrame) -> DataFrame:
         "part", F.coalesce("component", "sig")
     )
     heads = placed.groupBy("part").agg(F.min("least").alias("component_id"), F.sum("copies").alias("rows"))
-    grouped = (
-        placed.select("sig", "part").join(heads.filter("rows > 1"), "part").select("sig", "component_id", F.lit(True).alias("_in"))
-    )
-    return sets.join(grouped, "sig", "left").select(
+    grouped = placed.select("sig", "part").join(heads.filter("rows > 1"), "part")
+    return sets.join(grouped.select("sig", "part", "component_id"), "sig", "left").select(
         "doc_id",
+        "text_key",
         "sig",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("_in"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("part").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.coalesce("part", F.when(F.col("n") > 0, F.col("sig"))).alias("component_key"),
+    )
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    ratio: tuple[int, int] = (4, 5),
+) -> DataFrame:
+    """The documents, but of each group of `jaccard_groups` only the one with the smallest doc_id.
+
+    Equal ids are told apart by their texts and repeated rows become one. Documents without
+    shingles all stay. All columns stay.
+    """
+    rows = kept(jaccard_groups(docs, doc_id, text, words, ratio))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    groups = (
+        rows.filter(F.col("component_key").isNotNull())
+        .groupBy("component_key")
+        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1")
+    )
+    members = rows.join(groups, "component_key").select(
+        F.col("doc_id").alias("_tallyline_id"),
+        F.col("text_key").alias("_tallyline_key"),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))).alias("_tallyline_first"),
     )
+    members = kept(members.groupBy("_tallyline_id", "_tallyline_key").agg(F.first("_tallyline_first").alias("_tallyline_first"), F.count(F.lit(1)).alias("_tallyline_rows")))
+    same = F.col(doc_id).eqNullSafe(F.col("_tallyline_id")) & (F.xxhash64(F.col(text)) == F.col("_tallyline_key"))
+    others = small_side(members.filter("not _tallyline_first"))
+    repeated = members.filter("_tallyline_first and _tallyline_rows > 1")
+    left = docs.join(others, same, "left_anti")
+    if repeated.isEmpty():
+        return left
+    again = small_side(repeated)
+    single = left.join(again, same, "left_semi").withColumn("_tallyline_key", F.xxhash64(F.col(text)))
+    single = single.dropDuplicates([doc_id, "_tallyline_key"]).drop("_tallyline_key")
+    return left.join(again, same, "left_anti").unionByName(single)
