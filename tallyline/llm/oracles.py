@@ -86,3 +86,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (
+  SELECT l.r AS a, r.r AS b, l.vec_id AS a_id, r.vec_id AS b_id
+  FROM vectors l JOIN vectors r ON l.label = r.label AND l.r <> r.r AND len(l.v) = len(r.v)
+  WHERE list_cosine_similarity(l.v, r.v) >= 0.93),
+reach(a, b, b_id) AS (
+  SELECT a, b, b_id FROM links
+  UNION
+  SELECT reach.a, links.b, links.b_id FROM reach JOIN links ON reach.b = links.a),
+least_id AS (SELECT a, min(b_id) AS least FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM vectors LEFT JOIN least_id ON least_id.a = r LEFT JOIN counts ON counts.a = r
+"""

@@ -10,6 +10,7 @@ from tallyline.llm.language_id import learn_and_predict
 from tallyline.llm.ngram_join import jaccard_groups
 from tallyline.llm.packing import packed_pieces
 from tallyline.llm.suffix_dedup import removal_digest
+from tallyline.llm.vector_dedup import near_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,11 @@ def op5_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(_table(spark, sf_dir, "documents"))
 
 
+def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cosine 0.93 within a label: vec_id, n_links, component_id, kept."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return removal_digest(_table(spark, sf_dir, "documents"), min_bytes=200)
@@ -47,10 +53,12 @@ QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_aho_corasick": op4_aho_corasick,
     "op5_karmarkar_karp": op5_karmarkar_karp,
+    "op6_product_quantisation": op6_product_quantisation,
     "op8_suffix_array": op8_suffix_array,
 }
 SQL = {
     "op3_ngram_jaccard": oracles.NGRAM_JACCARD,
     "op4_aho_corasick": oracles.DECONTAMINATION,
+    "op6_product_quantisation": oracles.NEAR_VECTORS,
     "op8_suffix_array": oracles.SUFFIX_ARRAY,
 }
