@@ -10,6 +10,7 @@ from tallyline.llm.language_id import learn_and_predict
 from tallyline.llm.ngram_join import jaccard_groups
 from tallyline.llm.packing import packed_pieces
 from tallyline.llm.suffix_dedup import removal_digest
+from tallyline.llm.toxicity import learn_and_score
 from tallyline.llm.vector_dedup import near_vectors
 
 
@@ -48,6 +49,11 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(_table(spark, sf_dir, "documents"), min_bytes=200)
 
 
+def op10_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    return learn_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_language_mixture": op2_language_mixture,
     "op3_ngram_jaccard": op3_ngram_jaccard,
@@ -55,6 +61,7 @@ QUERIES = {
     "op5_karmarkar_karp": op5_karmarkar_karp,
     "op6_product_quantisation": op6_product_quantisation,
     "op8_suffix_array": op8_suffix_array,
+    "op10_levenshtein_lexicon": op10_levenshtein_lexicon,
 }
 SQL = {
     "op3_ngram_jaccard": oracles.NGRAM_JACCARD,
