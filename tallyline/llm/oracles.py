@@ -1,5 +1,7 @@
 """DuckDB SQL that answers the same questions as the queries, by the plainest route."""
 
+from tallyline.llm import warc
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 NGRAM_JACCARD = f"""
@@ -104,3 +106,81 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id))
        vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
 FROM vectors LEFT JOIN least_id ON least_id.a = r LEFT JOIN counts ON counts.a = r
 """
+
+CHATS = """
+WITH rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+convs AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
+  FROM rows GROUP BY conv_id),
+prefixes AS (
+  SELECT conv_id, len(turns) AS total, n, list_slice(turns, 1, n) AS part
+  FROM (SELECT conv_id, turns, unnest(range(1, len(turns) + 1)) AS n FROM convs)),
+maximal AS (
+  SELECT c.conv_id, c.turns FROM convs c
+  WHERE NOT EXISTS (
+    SELECT 1 FROM prefixes p
+    WHERE p.part = c.turns AND (p.total > len(c.turns) OR p.conv_id < c.conv_id)))
+SELECT conv_id, CAST(0 AS BIGINT) AS page, CAST(len(turns) AS BIGINT) AS n_turns,
+       array_to_string(list_transform(turns, lambda t: '<|im_start|>' || coalesce(t.role, 'unknown') || chr(10)
+         || coalesce(t.text, '') || '<|im_end|>' || chr(10)), '') AS chat
+FROM maximal
+"""
+
+
+def _plain_sql(html: str) -> str:
+    out = f"regexp_replace({html}, '(?is)<!--.*?(-->|\\z)', ' ', 'g')"
+    for tag in ("script", "style", "noscript", "template"):
+        out = f"regexp_replace({out}, '(?is)<{tag}\\b.*?(</{tag}\\s*>|\\z)', ' ', 'g')"
+    out = f"regexp_replace({out}, '(?i)</?({warc.BLOCKS})(\\s[^>]*)?/?>', chr(10), 'g')"
+    out = f"regexp_replace({out}, '<[/!?A-Za-z][^>]*>', '', 'g')"
+    for name, character in warc.REFERENCES.items():
+        written = "chr(39)" if character == "'" else f"'{character}'"
+        out = f"replace({out}, '{name}', {written})"
+    out = f"regexp_replace({out}, '[ \\t\\r\\f]+', ' ', 'g')"
+    out = f"regexp_replace({out}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({out}, '\\A[ \\n]+|[ \\n]+\\z', '', 'g')"
+
+
+def _uuid_sql(text: str) -> str:
+    cuts = " || '-' || ".join(f"substr(md5({text}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || {cuts} || '>'"
+
+
+_CRLF = "chr(13) || chr(10)"
+WARC_DERIVATIVES = f"""
+WITH pages_text AS (
+  SELECT coalesce(html, '') AS payload, url AS target_uri,
+         {_uuid_sql("'response' || chr(31) || coalesce(CAST(page_id AS VARCHAR), '') || chr(31) || coalesce(url, '')")} AS refers_to,
+         'Content-Length: ' || strlen(coalesce(html, '')) AS size_line
+  FROM pages),
+headed AS (
+  SELECT *, 'HTTP/1.1 200 OK' || {_CRLF} || 'Content-Type: text/html; charset=utf-8' || {_CRLF}
+            || size_line || {_CRLF} || {_CRLF} AS headers
+  FROM pages_text),
+source AS (
+  SELECT *, 'sha256:' || sha256(payload) AS source_payload_digest, 'sha256:' || sha256(headers || payload) AS source_block_digest,
+         {_plain_sql("payload")} AS text,
+         regexp_replace({_plain_sql("regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title', 1)")}, '\s+', ' ', 'g') AS title,
+         regexp_extract_all(payload, '(?i)<a\s[^>]*href=["'']([^"''>]*)["'']', 1) AS links
+  FROM headed),
+made AS (
+  SELECT *, 'metadata' AS kind, 'application/warc-fields' AS content_type,
+         'title: ' || title || {_CRLF} || 'http-status: 200' || {_CRLF} || 'payload-digest: ' || source_payload_digest || {_CRLF}
+         || 'source-header: Content-Type: text/html; charset=utf-8' || {_CRLF} || 'source-header: ' || size_line || {_CRLF}
+         || array_to_string(list_transform(links, lambda x: 'outlink: ' || replace(x, '&amp;', '&') || {_CRLF}), '') AS block
+  FROM source
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', text FROM source),
+named AS (
+  SELECT *, {_uuid_sql("kind || chr(31) || refers_to")} AS record_id, CAST(strlen(block) AS BIGINT) AS content_length,
+         'sha256:' || sha256(block) AS block_digest
+  FROM made)
+SELECT kind, record_id, refers_to, target_uri, '{warc.PAGE_DATE}' AS date, content_type, content_length, block_digest,
+       source_payload_digest, source_block_digest, '200' AS source_status, 'text/html; charset=utf-8' AS source_content_type, block,
+       'WARC/1.1' || {_CRLF} || 'WARC-Type: ' || kind || {_CRLF} || 'WARC-Record-ID: ' || record_id || {_CRLF}
+       || 'WARC-Refers-To: ' || refers_to || {_CRLF} || coalesce('WARC-Target-URI: ' || target_uri || {_CRLF}, '')
+       || 'WARC-Date: {warc.PAGE_DATE}' || {_CRLF} || 'WARC-Block-Digest: ' || block_digest || {_CRLF}
+       || 'Content-Type: ' || content_type || {_CRLF} || 'Content-Length: ' || content_length || {_CRLF} || {_CRLF}
+       || block || {_CRLF} || {_CRLF} AS record
+FROM named
+"""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import oracles
+from tallyline.llm import oracles, warc
+from tallyline.llm.chat import rendered_chats
 from tallyline.llm.decontaminate import hit_digest
 from tallyline.llm.language_id import learn_and_predict
 from tallyline.llm.ngram_join import jaccard_groups
 from tallyline.llm.packing import packed_pieces
 from tallyline.llm.suffix_dedup import removal_digest
+from tallyline.llm.token_counts import token_counts
 from tallyline.llm.toxicity import learn_and_score
 from tallyline.llm.vector_dedup import near_vectors
 
@@ -18,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and conversion records of the response of every page."""
+    return warc.derivatives(warc.page_responses(_table(spark, sf_dir, "pages")))
+
+
 def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score, languages."""
     return learn_and_predict(_table(spark, sf_dir, "documents"))
@@ -44,28 +51,43 @@ def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.93)
 
 
+def op7_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy pieces: doc_id, n_words, n_tokens."""
+    return token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return removal_digest(_table(spark, sf_dir, "documents"), min_bytes=200)
 
 
+def op9_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal conversations, rendered: conv_id, page, n_turns, chat."""
+    return rendered_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op10_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     return learn_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_mixture": op2_language_mixture,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_aho_corasick": op4_aho_corasick,
     "op5_karmarkar_karp": op5_karmarkar_karp,
     "op6_product_quantisation": op6_product_quantisation,
+    "op7_piece_counts": op7_piece_counts,
     "op8_suffix_array": op8_suffix_array,
+    "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_levenshtein_lexicon": op10_levenshtein_lexicon,
 }
 SQL = {
+    "op1_warc_derivatives": oracles.WARC_DERIVATIVES,
     "op3_ngram_jaccard": oracles.NGRAM_JACCARD,
     "op4_aho_corasick": oracles.DECONTAMINATION,
     "op6_product_quantisation": oracles.NEAR_VECTORS,
     "op8_suffix_array": oracles.SUFFIX_ARRAY,
+    "op9_snapshot_collapse": oracles.CHATS,
 }
