@@ -160,8 +160,8 @@ headed AS (
 source AS (
   SELECT *, 'sha256:' || sha256(payload) AS source_payload_digest, 'sha256:' || sha256(headers || payload) AS source_block_digest,
          {_plain_sql("payload")} AS text,
-         regexp_replace({_plain_sql("regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title', 1)")}, '\s+', ' ', 'g') AS title,
-         regexp_extract_all(payload, '(?i)<a\s[^>]*href=["'']([^"''>]*)["'']', 1) AS links
+         regexp_replace({_plain_sql("regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title', 1)")}, '\\s+', ' ', 'g') AS title,
+         regexp_extract_all(payload, '(?i)<a\\s[^>]*href=["'']([^"''>]*)["'']', 1) AS links
   FROM headed),
 made AS (
   SELECT *, 'metadata' AS kind, 'application/warc-fields' AS content_type,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyline-shared-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under `spark.checkpoint.dir`; a local session without it gets one in /tmp."""
+    """A new folder under `spark.checkpoint.dir`; only a local session may do without it."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        top = os.path.join(tempfile.gettempdir(), "tallyline-shared")
-        spark.conf.set("spark.checkpoint.dir", top)
+        top = _local_folder()
     return f"{top.rstrip('/')}/tallyline-llm/{uuid.uuid4().hex}"
 
 

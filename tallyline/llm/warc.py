@@ -145,8 +145,9 @@ def _field(name: str, value: Column) -> Column:
 
 
 def write_warc(records: DataFrame, folder: str) -> None:
-    """Records as text files of whole WARC records, gzip members of Spark's writer."""
-    records.select("record").write.option("lineSep", "").option("compression", "gzip").text(folder)
+    """Whole WARC records, one after the other, in gzip files of Spark's text writer."""
+    body = F.expr("substring(record, 1, length(record) - 4)").alias("value")  # the writer adds the end
+    records.select(body).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
 
 
 def parse_responses(files: DataFrame, content: str = "content") -> DataFrame:
