@@ -26,12 +26,21 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     return counts.filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias(HOT))
 
 
+def same_key_join(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, where NULL equals NULL; the keys are those of `df`."""
+    renamed = other.withColumnsRenamed({k: f"_other_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & df[k].eqNullSafe(renamed[f"_other_{k}"])
+    return df.join(renamed, condition, how).drop(*[f"_other_{k}" for k in keys])
+
+
 def with_slices(df: DataFrame, keys: list[str], slice_no: Column, hot: DataFrame) -> DataFrame:
     """Add `_hot` and `_slice`: `slice_no` for hot keys, one constant for all others.
 
     `slice_no` must be a BIGINT that never falls along the order of the key's rows.
     """
-    marked = df.join(F.broadcast(hot), keys, "left").withColumn(HOT, F.coalesce(HOT, F.lit(False)))
+    marked = same_key_join(df, F.broadcast(hot), keys, "left").withColumn(HOT, F.coalesce(HOT, F.lit(False)))
     return marked.withColumn(SLICE, F.when(F.col(HOT), slice_no).otherwise(F.lit(WHOLE_KEY)))
 
 
@@ -101,7 +110,7 @@ def numbered(
     carried = earlier_slices(sliced, keys, _start=(F.count(F.lit(1)), F.sum))
     position = F.row_number().over(slice_window(keys, *order)) - 1
     return (
-        sliced.join(carried, [*keys, SLICE], "left")
+        same_key_join(sliced, carried, [*keys, SLICE], "left")
         .withColumn(name, F.coalesce("_start", F.lit(0)) + position)
         .drop("_start", HOT)
     )
@@ -126,10 +135,10 @@ def salted_join(
     matching single rows of the other side are repeated.
     """
     hot = F.broadcast(hot)
-    salted_many = many.join(hot, keys, "left").withColumn(
+    salted_many = same_key_join(many, hot, keys, "left").withColumn(
         "_salt", F.when(F.col(HOT), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
     )
-    salted_one = one.join(hot, keys, "left").withColumn(
+    salted_one = same_key_join(one, hot, keys, "left").withColumn(
         "_salt",
         F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
     )

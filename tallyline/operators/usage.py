@@ -14,11 +14,12 @@ from tallyline.functions.skew import (
     WHOLE_KEY,
     earlier_slices,
     hot_keys,
+    same_key_join,
     seconds_slice,
     slice_window,
     with_slices,
 )
-from tallyline.schemas import CHAT_BODY, ORDER_BODY
+from tallyline.schemas import CHAT_BODY, ORDER_BODY, PUBLISH_EVENT
 
 # Defaults and formats the metered service is defined by.
 PRICE_IN_PER_1K = 0.0008
@@ -48,7 +49,9 @@ def route_prompts(publishes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split publishes into one row per prompt, and the publishes of other channels as they are.
 
     Only channels ending in the prompt suffix are prompts, so the service's own output on
-    the stream channel never re-enters. A publish without events gives no prompt.
+    the stream channel never re-enters. A publish without events gives no prompt. Prompts of
+    one publish may share a request id; `prompt_id`, from the invocation and the place in the
+    publish, is the key that later steps use.
     """
     is_prompt = F.coalesce(F.col("path").endswith(PROMPT_SUFFIX), F.lit(False))
     user = if_missing(F.col("sub"), ANONYMOUS)
@@ -62,22 +65,45 @@ def route_prompts(publishes: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .withColumn("request_id", if_missing(F.col("event.payload.request_id"), F.col("invocation_id")))
         .withColumn("prompt", if_missing(F.col("event.payload.prompt"), ""))
+        .withColumn("prompt_id", F.concat(F.coalesce("invocation_id", F.lit("")), F.lit("#"), "event_no"))
         .withColumn("out_channel", F.concat(F.lit("/chat/"), "user_id", F.lit("/stream")))
         .drop("event", "invocation_id")
     )
     return prompts, publishes.filter(~is_prompt)
 
 
-def normalize_requests(raw: DataFrame, kind: str, live: bool = False) -> tuple[DataFrame, DataFrame]:
+def parse_publishes(raw: DataFrame, event: str = "event") -> DataFrame:
+    """Publish events as JSON text to the columns of `PUBLISH`; other columns are kept.
+
+    The channel is `info.channel.path`, the publisher `identity.claims.sub` and the prompts
+    `events[].payload`. Text that is not a JSON object gives a publish without channel, which
+    is no prompt.
+    """
+    kept = [c for c in raw.columns if c != event]
+    parsed = raw.withColumn("_p", once(F.from_json(event, PUBLISH_EVENT)))
+    return parsed.select(
+        *kept,
+        F.col("_p.info.channel.path").alias("path"),
+        F.col("_p.identity.claims.sub").alias("sub"),
+        F.col("_p.events").alias("events"),
+    )
+
+
+def normalize_requests(
+    raw: DataFrame, kind: str, live: bool = False, key: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """JSON bodies of chat turns (`chat`) or new orders (`order`) to typed rows with defaults.
 
     `raw` has `body` and any other columns, which are kept. Absent ids are made from a hash
-    of the input row, so a re-run gives the same ids; `live` makes random ids instead.
-    Bodies that are not JSON objects come back as the second result.
+    of `key`, columns that name one input row (file and offset, or a log sequence), so a re-run
+    gives the same ids and equal bodies get different ones; `live` makes random ids instead.
+    Amounts keep their digits. Bodies that are not JSON objects come back as the second result.
     """
+    if not live and not key:
+        raise ValueError("name the columns that identify an input row, or ask for live ids")
     schema = {"chat": CHAT_BODY, "order": ORDER_BODY}[kind]
     kept = [c for c in raw.columns if c != "body"]
-    new_id = F.uuid() if live else F.sha2(F.to_json(F.struct(*raw.columns)), 256)
+    new_id = F.uuid() if live else F.sha2(F.to_json(F.struct(*key)), 256)
     options = {"columnNameOfCorruptRecord": "_bad"}
     parsed = raw.withColumn(
         "_b", once(F.from_json(if_empty(F.col("body"), "{}"), f"{schema}, _bad STRING", options))
@@ -95,7 +121,7 @@ def normalize_requests(raw: DataFrame, kind: str, live: bool = False) -> tuple[D
         columns = [
             new_id.alias("order_id"),
             if_missing(F.col("_b.item"), ORDER_ITEM).alias("item"),
-            if_missing(F.col("_b.amount"), F.lit(0).cast("decimal(18,2)")).alias("amount"),
+            if_missing(F.col("_b.amount"), F.lit(0).cast("decimal(38,12)")).alias("amount"),
             if_missing(F.col("_b.customer_email"), "").alias("customer_email"),
         ]
     return good.select(*kept, *columns), rejects
@@ -158,6 +184,7 @@ def budget_admission(
     opening: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     slice_seconds: int = 60,
+    key: str = "request_id",
 ) -> DataFrame:
     """Accept or reject each request (user_id, request_id, ts, tokens_in, tokens_out) in order.
 
@@ -165,10 +192,11 @@ def budget_admission(
     the last accepted one may overshoot. Because token counts are never negative, the sum
     over *all* earlier requests reaches the limit exactly when the accepted sum does, so a
     running sum decides. `opening` (user_id, period, used) holds tokens charged before.
-    A very active tenant-month is cut into time slices (see `functions.skew`).
+    A very active tenant-month is cut into time slices (see `functions.skew`). Requests of one
+    time are ordered by `key`, which must tell them apart: `prompt_id` for routed prompts.
     """
     keys = TENANT_MONTH
-    order = ["ts", "request_id"]
+    order = ["ts", key]
     rows = requests.withColumn("period", period_of("ts")).withColumn(
         "_tokens", _tokens("tokens_in") + _tokens("tokens_out")
     )
@@ -179,7 +207,7 @@ def budget_admission(
     before = slice_window(keys, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     limit_ = F.lit(limit).cast("bigint")
     return (
-        sliced.join(carried, [*keys, SLICE], "left")
+        same_key_join(sliced, carried, [*keys, SLICE], "left")
         .withColumn("_base", F.coalesce("_base", F.lit(0)))
         .withColumn("_before", F.col("_base") + F.coalesce(F.sum("_tokens").over(before), F.lit(0)))
         .withColumn("accepted", F.col("_before") < limit_)

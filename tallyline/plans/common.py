@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline import session
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The same view of events as `views.requests`, in SQL.
@@ -23,6 +26,14 @@ INVOICES_SQL = """invoices AS (
   FROM orders)"""
 
 
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh shared folder; a local session without `spark.checkpoint.dir` gets its own."""
+    unset = not spark.conf.get("spark.checkpoint.dir", None)
+    if unset and spark.sparkContext.master.startswith("local["):
+        return tempfile.mkdtemp(prefix=f"tallyline-{label}-")
+    return session.work_dir(spark, label)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Types both engines print alike: naive timestamps, doubles for money, wide integers."""
     casts = {"timestamp": "timestamp_ntz", "int": "bigint"}

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import answers as A
 from tallyline.operators import usage as U
 from tallyline.plans import views as V
-from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain
-from tallyline.session import work_dir
+from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain, work_dir
 
 LIMIT = 3000
 AS_OF = "2024-04-15 00:00:00"
@@ -119,42 +118,38 @@ def _bodies(spark, sf):
 
 
 def normalize_chat(spark, sf):
-    rows = U.normalize_requests(_bodies(spark, sf), "chat")[0]
-    made = F.length("session_id") == 64
-    return rows.select("event_id", "prompt", "actor_id", F.when(~made, F.col("session_id")).alias("session_id"))
+    return U.normalize_requests(_bodies(spark, sf), "chat", key=["event_id"])[0]
 
 
 def normalize_orders(spark, sf):
-    rows = U.normalize_requests(_bodies(spark, sf), "order")[0]
-    return plain(rows.select("event_id", "item", "amount", "customer_email"))
+    return plain(U.normalize_requests(_bodies(spark, sf), "order", key=["event_id"])[0])
 
 
 def normalize_rejects(spark, sf):
-    return U.normalize_requests(_bodies(spark, sf), "chat")[1]
+    return U.normalize_requests(_bodies(spark, sf), "chat", key=["event_id"])[1]
 
 
 def _asked(spark, sf):
     """Routed prompts; the number in a prompt stands for its size, the event id for its answer's."""
     routed = U.route_prompts(V.publishes(spark, sf))[0]
     return (
-        routed.withColumn("request_id", F.concat("request_id", F.lit("."), "event_no"))
-        .withColumn("tokens_in", F.coalesce(F.get_json_object("prompt", "$.k").cast("int"), F.lit(0)))
+        routed.withColumn("tokens_in", F.coalesce(F.get_json_object("prompt", "$.k").cast("int"), F.lit(0)))
         .withColumn("tokens_out", (F.col("event_id") % 50).cast("int"))
     )
 
 
 def _decided(spark, sf):
-    asked = _asked(spark, sf).select("user_id", "request_id", "ts", "tokens_in", "tokens_out")
+    asked = _asked(spark, sf).select("user_id", "request_id", "prompt_id", "ts", "tokens_in", "tokens_out")
     cost = U.cost_of(F.col("tokens_in"), F.col("tokens_out"), U.PRICE_IN_PER_1K, U.PRICE_OUT_PER_1K)
-    return U.budget_admission(asked, LIMIT).withColumn("cost_usd", cost)
+    return U.budget_admission(asked, LIMIT, key="prompt_id").withColumn("cost_usd", cost)
 
 
 def out_events(spark, sf):
     """The answer to a prompt repeats its words; decisions are stored before the feed reads them."""
     path = work_dir(spark, "decided")
     _decided(spark, sf).write.parquet(path)
-    deltas = _asked(spark, sf).select("request_id", F.posexplode(F.split("prompt", " ")).alias("seq", "text"))
-    return plain(A.out_events(deltas.filter("text <> ''"), spark.read.parquet(path)))
+    deltas = _asked(spark, sf).select("prompt_id", F.posexplode(F.split("prompt", " ")).alias("seq", "text"))
+    return plain(A.out_events(deltas.filter("text <> ''"), spark.read.parquet(path), key="prompt_id"))
 
 
 def metered_chat(spark, sf):
@@ -171,18 +166,22 @@ _ASKED_SQL = f"""pub AS (
          CASE WHEN user_id % 7 <> 0 THEN cast(user_id AS varchar) ELSE 'anonymous' END AS user_id
   FROM events WHERE event_type NOT IN ('view', 'signup')),
 routed AS (
-  SELECT event_id, ts, user_id, cast(0 AS bigint) AS event_no, concat('r', event_id) AS request_id, props AS prompt FROM pub
+  SELECT event_id, ts, user_id, cast(0 AS bigint) AS event_no,
+         concat(CASE WHEN event_type = 'purchase' AND event_id % 3 = 0 THEN 'i' ELSE 'r' END, event_id) AS request_id,
+         props AS prompt, concat('i', event_id, '#0') AS prompt_id FROM pub
   UNION ALL
-  SELECT event_id, ts, user_id, 1, concat('i', event_id), '' FROM pub WHERE event_type = 'purchase')"""
+  SELECT event_id, ts, user_id, 1, concat('i', event_id), '', concat('i', event_id, '#1') FROM pub
+  WHERE event_type = 'purchase')"""
 _FED_SQL = admission_sql(
     f"""{_ASKED_SQL}, usage AS (
-  SELECT user_id, concat(request_id, '.', event_no) AS request_id, ts, prompt,
+  SELECT user_id, request_id, prompt_id, ts, prompt,
          CASE WHEN prompt = '' THEN 0 ELSE cast(json_extract_string(prompt, '$.k') AS bigint) END AS tokens_in,
          event_id % 50 AS tokens_out
   FROM routed)"""
-).replace("r.request_id, r.ts,", "r.request_id, r.ts, r.prompt,")
+).replace("r.request_id, r.ts,", "r.request_id, r.prompt_id, r.ts, r.prompt,").replace("ORDER BY ts, request_id", "ORDER BY ts, prompt_id")
 _COST = "round(tokens_in / 1000 * 0.0008 + tokens_out / 1000 * 0.004, 6)"
 
+_MADE_ID = """sha256(concat('{"event_id":', event_id, '}'))"""
 _BODY_SQL = """bodies AS (
   SELECT *, event_id % 89 = 0 AS empty FROM events WHERE event_id % 97 <> 0)"""
 
@@ -237,7 +236,7 @@ SELECT * FROM usage WHERE ts + INTERVAL 7 DAY > TIMESTAMP '2024-01-25 12:00:00'"
     "route_prompts": (
         route_prompts,
         f"""WITH {_ASKED_SQL}
-SELECT event_id, ts, user_id, event_no, request_id, prompt, concat('/chat/', user_id, '/stream') AS out_channel
+SELECT event_id, ts, user_id, event_no, request_id, prompt_id, prompt, concat('/chat/', user_id, '/stream') AS out_channel
 FROM routed""",
     ),
     "route_passthrough": (
@@ -252,13 +251,14 @@ FROM events WHERE event_type = 'view'""",
 SELECT event_id, CASE WHEN NOT empty AND event_id % 4 <> 0 THEN event_type ELSE '' END AS prompt,
        CASE WHEN empty OR event_id % 5 = 0 THEN 'anonymous' WHEN event_id % 10 = 1 THEN ''
             ELSE cast(user_id AS varchar) END AS actor_id,
-       CASE WHEN NOT empty AND event_id % 3 <> 0 AND event_id % 6 <> 1 THEN concat('s', user_id) END AS session_id
+       CASE WHEN NOT empty AND event_id % 3 <> 0 AND event_id % 6 <> 1 THEN concat('s', user_id) ELSE {_MADE_ID} END AS session_id
 FROM bodies""",
     ),
     "normalize_orders": (
         normalize_orders,
         f"""WITH {_BODY_SQL}
-SELECT event_id, CASE WHEN NOT empty AND event_id % 7 <> 0 THEN event_type ELSE '(unspecified)' END AS item,
+SELECT event_id, {_MADE_ID} AS order_id,
+       CASE WHEN NOT empty AND event_id % 7 <> 0 THEN event_type ELSE '(unspecified)' END AS item,
        CASE WHEN NOT empty AND event_id % 8 <> 0 THEN value ELSE 0 END AS amount,
        CASE WHEN NOT empty AND event_id % 9 <> 0 THEN concat(user_id, '@x') ELSE '' END AS customer_email
 FROM bodies""",
@@ -270,15 +270,15 @@ FROM bodies""",
     "out_events": (
         out_events,
         f"""WITH {_FED_SQL}, feed AS (
-SELECT request_id, user_id, ts, unnest(range(len(string_split(prompt, ' ')))) AS seq,
+SELECT request_id, prompt_id, user_id, ts, unnest(range(len(string_split(prompt, ' ')))) AS seq,
        unnest(string_split(prompt, ' ')) AS text, 'token' AS type, 0 AS step, NULL AS code, NULL AS message,
        NULL AS tokens_in, NULL AS tokens_out, NULL AS cost_usd, NULL AS remaining
 FROM decided WHERE accepted AND prompt <> ''
 UNION ALL
-SELECT request_id, user_id, ts, NULL, NULL, 'error', 1, code, message, NULL, NULL, NULL, NULL
+SELECT request_id, prompt_id, user_id, ts, NULL, NULL, 'error', 1, code, message, NULL, NULL, NULL, NULL
 FROM decided WHERE NOT accepted
 UNION ALL
-SELECT request_id, user_id, ts, NULL, NULL, 'done', 1, NULL, NULL, tokens_in, tokens_out, {_COST}, remaining
+SELECT request_id, prompt_id, user_id, ts, NULL, NULL, 'done', 1, NULL, NULL, tokens_in, tokens_out, {_COST}, remaining
 FROM decided WHERE accepted)
 SELECT * EXCLUDE (user_id, seq, step), cast(seq AS bigint) AS seq, cast(step AS bigint) AS step,
        concat('/chat/', user_id, '/stream') AS channel FROM feed""",

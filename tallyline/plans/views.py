@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.operators.usage import parse_publishes
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -42,26 +44,33 @@ _EVENTS = f"array<struct<payload: {_PAYLOAD}>>"
 
 
 def publishes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as one publish: views are stream output, signups carry no prompt,
-    purchases carry two (the second without payload); some publishers are not signed in."""
-    prompt = F.struct(
-        F.struct(F.col("props").alias("prompt"), F.concat(F.lit("r"), "event_id").alias("request_id")).alias("payload")
-    )
+    """Every event as one publish event, parsed from its JSON text: views are stream output,
+    signups carry no prompt, purchases carry two (the second without payload, and every third
+    one without request ids at all); some publishers are not signed in."""
+    unnamed = (F.col("event_type") == "purchase") & (F.col("event_id") % 3 == 0)
+    request = F.when(~unnamed, F.concat(F.lit("r"), "event_id"))
+    prompt = F.struct(F.struct(F.col("props").alias("prompt"), request.alias("request_id")).alias("payload"))
     empty = F.struct(F.lit(None).cast(_PAYLOAD).alias("payload"))
     user = F.col("user_id").cast("string")
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.concat(
-            F.lit("/chat/"), user, F.when(F.col("event_type") == "view", "/stream").otherwise("/prompt")
-        ).alias("path"),
-        F.when(F.col("user_id") % 7 != 0, user).alias("sub"),
-        F.concat(F.lit("i"), "event_id").alias("invocation_id"),
+    path = F.concat(F.lit("/chat/"), user, F.when(F.col("event_type") == "view", "/stream").otherwise("/prompt"))
+    sub = F.when(F.col("user_id") % 7 != 0, user)
+    events = (
         F.when(F.col("event_type") == "signup", F.array().cast(_EVENTS))
         .when(F.col("event_type") == "purchase", F.array(prompt, empty))
         .otherwise(F.array(prompt))
-        .alias("events"),
     )
+    event = F.struct(
+        F.struct(F.struct(path.alias("path")).alias("channel")).alias("info"),
+        F.struct(F.struct(sub.alias("sub")).alias("claims")).alias("identity"),
+        events.alias("events"),
+    )
+    raw = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.concat(F.lit("i"), "event_id").alias("invocation_id"),
+        F.to_json(event).alias("event"),
+    )
+    return parse_publishes(raw)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,10 +152,19 @@ def notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as file requests; errors and clicks of every ninth event list or lack a name."""
+    """Events as file requests; every ninth lacks a name, some names begin with a dot or are
+    no names of files, and some encoded bodies have foreign characters or lack their padding."""
     kind = F.col("event_type")
-    name = F.concat(
-        F.lit("f"), F.col("user_id").cast("string"), F.lit("_"), (F.col("event_id") % 5).cast("string")
+    no = F.col("event_id")
+    dot = F.when(no % 11 == 0, ".").otherwise("")
+    name = F.when(no % 13 == 0, "..").otherwise(
+        F.concat(dot, F.lit("f"), F.col("user_id").cast("string"), F.lit("_"), (no % 5).cast("string"))
+    )
+    encoded = F.base64(F.col("props").cast("binary"))
+    encoded = (
+        F.when(no % 22 == 0, F.regexp_replace(encoded, "=+$", ""))
+        .when(no % 14 == 0, F.concat(F.lit("%\n"), encoded, F.lit("*")))
+        .otherwise(encoded)
     )
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("seq"),
@@ -159,7 +177,7 @@ def file_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 9 == 0, "/files/")
         .otherwise(F.concat(F.lit("/files//"), name, F.lit("/x")))
         .alias("path"),
-        F.when(F.col("event_id") % 2 == 0, F.base64(F.col("props").cast("binary")))
+        F.when(no % 2 == 0, encoded)
         .when(F.col("event_id") % 3 != 0, F.col("props"))
         .alias("body"),
         (F.col("event_id") % 2 == 0).alias("is_base64"),

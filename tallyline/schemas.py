@@ -15,7 +15,11 @@ PUBLISH = (
     "events ARRAY<STRUCT<payload: STRUCT<prompt: STRING, request_id: STRING>>>"
 )
 CHAT_BODY = "prompt STRING, actor_id STRING, session_id STRING"
-ORDER_BODY = "item STRING, amount DECIMAL(18,2), customer_email STRING"
+PUBLISH_EVENT = (
+    "info STRUCT<channel: STRUCT<path: STRING>>, identity STRUCT<claims: STRUCT<sub: STRING>>, "
+    "events ARRAY<STRUCT<payload: STRUCT<prompt: STRING, request_id: STRING>>>"
+)
+ORDER_BODY = "item STRING, amount DECIMAL(38,12), customer_email STRING"
 
 # The nine columns of a usage record.
 USAGE = T.StructType(
