@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.defaults import if_empty
@@ -15,30 +15,50 @@ from tallyline.functions.skew import (
     slice_window,
     with_slices,
 )
-from tallyline.operators.keyed import latest_per_key
 
 # Status codes of a file request.
 LISTED, WRITTEN, BAD_REQUEST, NOT_FOUND, FAILED = 200, 201, 400, 404, 500
+FOLDER_NAMES = (".", "..")
 
 
 def file_ops_normalize(requests: DataFrame) -> DataFrame:
     """Raw requests (seq, ts, method, path, body, is_base64) to file operations.
 
     The name is the second non-empty path segment or NULL. A body that cannot be decoded
-    is NULL; a missing one is empty text. The size counts characters.
+    is NULL; a missing one is empty text. The size counts characters. `.` and `..` are no
+    names of files: writing them fails, and nothing is found under them.
     """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     plain = if_empty(F.col("body"), "")
-    decoded = F.try_validate_utf8(F.try_to_binary(plain, F.lit("base64")).cast("string"))
+    decoded = F.try_validate_utf8(lenient_base64(plain).cast("string"))
     content = F.when(F.coalesce("is_base64", F.lit(False)), decoded).otherwise(plain)
+    writable = F.col("name").isNull() | ~F.col("name").isin(*FOLDER_NAMES)
     return (
         requests.withColumn("name", F.try_element_at(segments, F.lit(2)))
-        .withColumn("content", F.when(F.col("method") == "PUT", content))
+        .withColumn("content", F.when((F.col("method") == "PUT") & writable, content))
         .withColumn("size", F.length("content"))
         .select("seq", "ts", "method", "name", "content", "size")
     )
 
 
+def lenient_base64(text: Column) -> Column:
+    """Bytes of base64 text, or NULL.
+
+    Characters outside the alphabet are skipped, and so is padding where a group of four
+    cannot end; decoding stops at the padding that completes a group. An incomplete last
+    group is an error.
+    """
+    known = F.regexp_replace(text, "[^A-Za-z0-9+/=]", "")
+    a = "[A-Za-z0-9+/]"
+    # whole groups are matched possessively, so long bodies need no deep recursion
+    upto_end = f"^((?:=*+{a}=*+{a}=?{a}{a})*+(?:=*+{a}=*+{a}==|=*+{a}=*+{a}=?{a}=|=*+\\z))"
+    matched = F.regexp_extract(known, upto_end, 1)
+    data = F.replace(matched, F.lit("="), F.lit(""))
+    padded = F.rpad(data, (F.ceil(F.length(data) / 4) * 4).cast("int"), F.lit("="))
+    valid = known.rlike(upto_end)
+    return F.when(valid, F.try_to_binary(padded, F.lit("base64")))
+
+
 def _changes(ops: DataFrame) -> DataFrame:
     """The operations that change a file: deletes, and writes with a readable body."""
     wrote = (F.col("method") == "PUT") & F.col("content").isNotNull()
@@ -48,11 +68,17 @@ def _changes(ops: DataFrame) -> DataFrame:
 def file_log_compact(ops: DataFrame) -> DataFrame:
     """The files (name, content, seq) left after all operations: the last change of a name
     decides, and a deleted name is gone."""
-    return (
-        latest_per_key(_changes(ops), ["name"], ["seq"])
-        .filter(F.col("method") == "PUT")
-        .select("name", "content", "seq")
-    )
+    return final_changes(ops).filter(F.col("method") == "PUT").select("name", "content", "seq")
+
+
+def final_changes(ops: DataFrame) -> DataFrame:
+    """The last change of each name (name, method, content, seq); `seq` tells operations apart.
+
+    The last one is found without the bodies, and only its own body moves.
+    """
+    changes = _changes(ops)
+    last = changes.groupBy("name").agg(F.max("seq").alias("seq"))
+    return changes.join(last, ["name", "seq"], "left_semi").select("name", "method", "content", "seq")
 
 
 def file_op_status(

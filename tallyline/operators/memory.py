@@ -60,18 +60,18 @@ def recall_in_namespace(
     Both sides of a namespace with more than `block_rows` rows are cut into blocks, and each
     pair of blocks is one matrix product in its own task, which keeps only the best `k` per
     query. So no pair of rows is ever a row, and a large namespace is spread over tasks.
+    Vectors meet vectors of their own length only; empty ones and those with a NULL element
+    take no part.
     """
     # Records nobody asks for stay out of the shuffle; the asked namespaces are usually few.
     records = records.join(queries.select("namespace").distinct(), "namespace", "left_semi")
     q_blocks = _blocks(queries, "q_blocks", block_rows)
     r_blocks = _blocks(records, "r_blocks", block_rows)
-    # Only namespaces above block_rows are listed: at most rows / block_rows of them.
-    blocks = F.broadcast(
-        q_blocks.join(r_blocks, "namespace", "full_outer").select(
-            "namespace",
-            F.coalesce("q_blocks", F.lit(1)).alias("q_blocks"),
-            F.coalesce("r_blocks", F.lit(1)).alias("r_blocks"),
-        )
+    # Only namespaces above block_rows are listed; Spark picks the join by their measured size.
+    blocks = q_blocks.join(r_blocks, "namespace", "full_outer").select(
+        "namespace",
+        F.coalesce("q_blocks", F.lit(1)).alias("q_blocks"),
+        F.coalesce("r_blocks", F.lit(1)).alias("r_blocks"),
     )
     left = _in_blocks(queries, blocks, "query_id", "q", "r")
     right = _in_blocks(records, blocks, "record_id", "r", "q")
@@ -80,7 +80,7 @@ def recall_in_namespace(
     def best(block_q: pa.Table, block_r: pa.Table) -> pa.Table:
         return _best_in_block(block_q, block_r, k, threshold)
 
-    keys = ["namespace", "q_block", "r_block"]
+    keys = ["namespace", "_length", "q_block", "r_block"]
     scored = (
         left.groupBy(*keys)
         .cogroup(right.groupBy(*keys))
@@ -105,11 +105,12 @@ def _in_blocks(df: DataFrame, blocks: DataFrame, id_column: str, own: str, other
     n_own = F.coalesce(f"{own}_blocks", F.lit(1))
     n_other = F.coalesce(f"{other}_blocks", F.lit(1))
     return (
-        df.filter("embedding IS NOT NULL")
+        df.filter("embedding IS NOT NULL AND size(embedding) > 0 AND NOT exists(embedding, x -> x IS NULL)")
+        .withColumn("_length", F.size("embedding"))
         .join(blocks, "namespace", "left")
         .withColumn(f"{own}_block", F.pmod(F.xxhash64(id_column), n_own).cast("int"))
         .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), n_other - 1)))
-        .select(*[F.col(c).alias(c) for c in ("namespace", "q_block", "r_block", id_column, "embedding")])
+        .select(*[F.col(c).alias(c) for c in ("namespace", "_length", "q_block", "r_block", id_column, "embedding")])
     )
 
 

@@ -8,8 +8,7 @@ from tallyline.operators import answers as A
 from tallyline.operators import files as FI
 from tallyline.operators import memory as M
 from tallyline.plans import views as V
-from tallyline.plans.common import plain
-from tallyline.session import work_dir
+from tallyline.plans.common import plain, work_dir
 from tallyline.sources import folder
 
 WORDS_SQL = """turns AS (
@@ -98,9 +97,12 @@ def file_op_status_sliced(spark, sf):
 
 
 def _stored(spark, sf) -> str:
-    """A folder holding the files the whole request log leaves behind."""
+    """A folder holding the files the whole request log leaves behind; its first part was
+    applied before, so some files have to go again."""
     path = work_dir(spark, "files")
-    folder.put_files(FI.file_log_compact(_ops(spark, sf)), path)
+    ops = _ops(spark, sf)
+    folder.apply_log(ops.filter("seq < 500"), path)
+    folder.apply_log(ops, path)
     return path
 
 
@@ -159,20 +161,23 @@ def topk_per_namespace(spark, sf):
 OPS_SQL = """ops AS (
   SELECT event_id AS seq, ts,
          CASE event_type WHEN 'purchase' THEN 'PUT' WHEN 'error' THEN 'DELETE' WHEN 'signup' THEN 'POST' ELSE 'GET' END AS method,
-         CASE WHEN event_id % 9 <> 0 THEN concat('f', user_id, '_', event_id % 5) END AS name,
-         CASE WHEN event_type = 'purchase' THEN CASE WHEN event_id % 2 = 0 OR event_id % 3 <> 0 THEN props ELSE '' END END AS content
+         CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 13 = 0 THEN '..'
+              ELSE concat(CASE WHEN event_id % 11 = 0 THEN '.' ELSE '' END, 'f', user_id, '_', event_id % 5) END AS name,
+         CASE WHEN event_type <> 'purchase' OR (event_id % 13 = 0 AND event_id % 9 <> 0)
+                   OR (event_id % 22 = 0 AND strlen(props) % 3 <> 0) THEN NULL
+              WHEN event_id % 2 = 0 OR event_id % 3 <> 0 THEN props ELSE '' END AS content
   FROM events)"""
 STORED_SQL = f"""{OPS_SQL}, stored AS (
-  SELECT name, content, seq, method FROM ops WHERE name IS NOT NULL AND method IN ('PUT', 'DELETE')
+  SELECT name, content, seq, method FROM ops WHERE name IS NOT NULL AND (content IS NOT NULL OR method = 'DELETE')
   QUALIFY row_number() OVER (PARTITION BY name ORDER BY seq DESC) = 1), files AS (
   SELECT name, content, seq FROM stored WHERE method = 'PUT')"""
 STATUS_SQL = f"""WITH {OPS_SQL}, replay AS (
-  SELECT *, last_value(CASE WHEN method IN ('PUT', 'DELETE') THEN method END IGNORE NULLS)
+  SELECT *, last_value(CASE WHEN content IS NOT NULL OR method = 'DELETE' THEN method END IGNORE NULLS)
          OVER (PARTITION BY name ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM ops)
 SELECT seq, ts, method, name, length(content) AS size,
        cast(CASE WHEN method = 'GET' AND name IS NULL THEN 200
             WHEN method IN ('GET', 'DELETE') AND name IS NOT NULL THEN CASE WHEN last = 'PUT' THEN 200 ELSE 404 END
-            WHEN method = 'PUT' AND name IS NOT NULL THEN 201 ELSE 400 END AS bigint) AS status FROM replay"""
+            WHEN method = 'PUT' AND name IS NOT NULL THEN CASE WHEN content IS NULL THEN 500 ELSE 201 END ELSE 400 END AS bigint) AS status FROM replay"""
 BATCHES_SQL = f"""WITH {WORDS_SQL}, placed AS (
   SELECT *, (row_number() OVER (PARTITION BY request_id ORDER BY seq) - 1) // 5 AS batch FROM deltas)
 SELECT request_id, batch, string_agg(text, '|' ORDER BY seq) AS texts FROM placed GROUP BY request_id, batch"""

@@ -79,52 +79,74 @@ def test_clean_answers(spark):
     assert got == [want for _, _, want in raw]
 
 
-def file_log(rng, n=300):
-    rows = []
-    for seq in range(n):
-        method = rng.choice(["GET", "GET", "PUT", "PUT", "DELETE", "POST", None])
-        name = rng.choice(["hot", "hot", "hot", "a", "b", None])
-        path = "/files" if name is None else f"//files/{name}/deeper"
-        body, flag = rng.choice([("text é", False), (base64.b64encode("über".encode()).decode(), True), (None, None), ("%%", True), (base64.b64encode(b"\xff").decode(), True)])
-        rows.append((seq, method, path, body, flag))
-    return rows
-
-
-def replay(rows):
-    files, status = {}, {}
-    for seq, method, path, body, flag in rows:
-        parts = [p for p in path.split("/") if p]
-        name = parts[1] if len(parts) > 1 else None
-        code = 400
-        if method == "GET":
-            code = 200 if name is None or name in files else 404
-        elif method == "PUT" and name:
-            if flag and (body == "%%" or body == base64.b64encode(b"\xff").decode()):
-                code = 500
-            else:
-                files[name] = base64.b64decode(body).decode() if flag else (body or "")
-                code = 201
-        elif method == "DELETE" and name:
-            code = 200 if files.pop(name, None) is not None else 404
-        status[seq] = code
-    return files, status
-
-
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 40, "slice_rows": 25}])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_file_log_equals_replay(spark, seed, options):
-    rows = file_log(random.Random(seed))
+UBER = base64.b64encode("über".encode()).decode()
+# method, path, body, encoded, then by hand: name, content, status in this order
+LOG = [
+    ("GET", "/files", None, False, None, None, 200),
+    ("PUT", "//files/a/deeper", "text é", False, "a", "text é", 201),
+    ("GET", "/files/a", None, None, "a", None, 200),
+    ("PUT", "/files/a", UBER, True, "a", "über", 201),
+    ("PUT", "/files/b", "%%", True, "b", "", 201),
+    ("PUT", "/files/c", "YQ", True, "c", None, 500),
+    ("GET", "/files/c", None, False, "c", None, 404),
+    ("PUT", "/files/c", "YQ==YQ==", True, "c", "a", 201),
+    ("PUT", "/files/d", "=Y=W\nI=", True, "d", "ab", 201),
+    ("PUT", "/files/d", "YWJj*YQ=", True, "d", None, 500),
+    ("PUT", "/files/e", base64.b64encode(b"\xff").decode(), True, "e", None, 500),
+    ("PUT", "/files/f", None, True, "f", "", 201),
+    ("DELETE", "/files/b", None, False, "b", None, 200),
+    ("DELETE", "/files/b", None, False, "b", None, 404),
+    ("PUT", "/files/..", "x", False, "..", None, 500),
+    ("GET", "/files/..", None, False, "..", None, 404),
+    ("PUT", "/files/.", "x", False, ".", None, 500),
+    ("PUT", "/files/.env", "K=1", False, ".env", "K=1", 201),
+    ("GET", "/files/.env", None, False, ".env", None, 200),
+    ("PUT", "/files/", "x", False, None, "x", 400),
+    ("POST", "/files/a", "x", False, "a", None, 400),
+    (None, "/files/a", "x", False, "a", None, 400),
+    ("DELETE", "/files", None, False, None, None, 400),
+    ("GET", "/files/a", None, False, "a", None, 200),
+]
+LEFT = {"a": "über", "c": "a", "d": "ab", "f": "", ".env": "K=1"}
+
+
+def file_ops(spark, log):
     at = datetime.datetime(2025, 1, 1)
     raw = spark.createDataFrame(
-        [(s, at, m, p, b, f) for s, m, p, b, f in rows],
+        [(k, at, *row[:4]) for k, row in enumerate(log)],
         "seq BIGINT, ts TIMESTAMP, method STRING, path STRING, body STRING, is_base64 BOOLEAN",
     )
-    ops = FI.file_ops_normalize(raw)
-    files, status = replay(rows)
-    assert {r["seq"]: r["status"] for r in FI.file_op_status(ops, **options).collect()} == status
-    assert {r["name"]: r["content"] for r in FI.file_log_compact(ops).collect()} == files
-    sizes = {r["size"] for r in ops.filter("method = 'PUT'").collect()}
-    assert sizes <= {6, 4, 0, None}
+    return FI.file_ops_normalize(raw)
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 2, "slice_rows": 5}])
+def test_file_log_by_hand(spark, options):
+    ops = file_ops(spark, LOG)
+    got = {r["seq"]: (r["name"], r["content"]) for r in ops.collect()}
+    assert got == {k: (row[4], row[5]) for k, row in enumerate(LOG)}
+    status = {r["seq"]: r["status"] for r in FI.file_op_status(ops, **options).collect()}
+    assert status == {k: row[6] for k, row in enumerate(LOG)}
+    assert {r["name"]: r["content"] for r in FI.file_log_compact(ops).collect()} == LEFT
+
+
+def test_long_encoded_body(spark):
+    text = "é" * 200_000
+    ops = file_ops(spark, [("PUT", "/files/a", base64.b64encode(text.encode()).decode(), True)])
+    assert ops.first()["content"] == text
+
+
+def test_log_on_an_existing_folder(spark, folder):
+    path = f"{folder}/files"
+    folders.put_files(spark.createDataFrame([("b", "old"), ("a", "old"), ("z", "stays"), ("..", "no")], "name STRING, content STRING"), path)
+    folders.apply_log(file_ops(spark, LOG), path)
+    names = folders.list_files(spark, path)
+    found = {r["name"]: r["content"] for r in folders.read_files(path, names.select("name")).collect()}
+    assert found == LEFT | {"z": "stays"}
+
+
+def test_paths_as_spark_names_them():
+    assert folders.file_system("file:///tmp/x")[1] == "/tmp/x"
+    assert folders.file_system("dbfs:/mnt/x")[1] == "/dbfs/mnt/x"
 
 
 def test_folder_of_files(spark, folder):
@@ -181,6 +203,19 @@ def test_recall_equals_brute_force(spark, block_rows, threshold):
     assert got == brute_recall(queries, records, 3, threshold)
 
 
+def test_vectors_of_other_lengths_do_not_meet(spark):
+    queries = spark.createDataFrame([(1, "n", [1.0, 0.0]), (2, "n", [])], "query_id INT, namespace STRING, embedding ARRAY<FLOAT>")
+    records = [("n", "a", [1.0, 0.0]), ("n", "b", [1.0, 0.0, 0.0]), ("n", "c", [1.0]), ("n", "d", [1.0, None]), ("n", "e", None)]
+    found = M.recall_in_namespace(queries, spark.createDataFrame(records, "namespace STRING, record_id STRING, embedding ARRAY<FLOAT>"))
+    assert [(r["query_id"], r["record_id"]) for r in found.collect()] == [(1, "a")]
+
+
+def test_agent_events(spark):
+    events = [("a", 0, '"He"'), ("a", 1, '""'), ("a", 2, '{"x": 1}'), ("a", 3, "5"), ("a", 4, None), ("a", 5, '"y"')]
+    rows = A.text_deltas(spark.createDataFrame(events, "request_id STRING, seq BIGINT, data STRING")).collect()
+    assert sorted((r["seq"], r["text"]) for r in rows) == [(0, "He"), (5, "y")]
+
+
 def test_namespaces_of_an_actor(spark):
     query = spark.createDataFrame([(1, "ann", "s9", [1.0])], "query_id INT, actor_id STRING, session_id STRING, embedding ARRAY<FLOAT>")
     assert {r["namespace"] for r in M.actor_namespaces(query).collect()} == {
