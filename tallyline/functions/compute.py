@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SMALL_ROWS = 10_000
+
+
+def broadcast_if_small(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A reference table with a broadcast hint if it has at most `rows` rows, else as it is.
+
+    Tables made from Python values have no size that Spark knows, so it would shuffle the
+    large side to meet them.
+    """
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def once(value: Column) -> Column:
     """The same value, computed once.
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.compute import once
+from tallyline.functions.compute import broadcast_if_small, once
 from tallyline.functions.defaults import if_empty, if_missing
 from tallyline.functions.skew import HOT_ROWS, hot_keys, salted_join
+from tallyline.operators.invoices import plain_amount
 
 # Statuses, waiting time, default decision, status texts of the demo orders.
 PENDING, APPROVED, REJECTED = "PENDING_APPROVAL", "APPROVED", "REJECTED"
@@ -30,11 +31,15 @@ def approval_notices(orders: DataFrame, base_url: str, sender: str) -> DataFrame
         .withColumn("recipient", if_empty(F.col("customer_email"), sender))
         .withColumn("subject", F.concat(F.lit("Approve order "), "order_id", F.lit("?")))
     )
+    amount = F.col("amount")
+    if dict(orders.dtypes)["amount"].startswith("decimal"):
+        amount = plain_amount(amount)
+    # Fixed value: the text of a notice.
     body = F.format_string(
         "<p>Order <b>%s</b> for $%s.</p><p><a href='%s'>✅ Approve</a>&nbsp;&nbsp;"
         "<a href='%s'>❌ Reject</a></p>",
         "item",
-        F.col("amount").cast("string"),
+        amount.cast("string"),
         "approve_url",
         "reject_url",
     )
@@ -121,10 +126,10 @@ def order_decisions(
 def status_lookup(orders: DataFrame, status: DataFrame) -> DataFrame:
     """Each order id with its status text, or a text saying there is no such order.
 
-    No broadcast hint: a small status table is broadcast by its measured size.
+    A status table of few rows meets the orders where they are, without a shuffle.
     """
     missing = F.concat(F.lit("No order found with ID "), F.col("order_id"), F.lit("."))
-    return orders.join(status, "order_id", "left").withColumn("message", F.coalesce("message", missing))
+    return orders.join(broadcast_if_small(status), "order_id", "left").withColumn("message", F.coalesce("message", missing))
 
 
 def status_table(spark) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.compute import broadcast_if_small, once
 from tallyline.functions.skew import HOT_ROWS, in_pages, sequence_slice
 
 # The three tools, their required arguments, and the default list length.
@@ -23,9 +24,18 @@ def _money(name: str) -> Column:
 
 
 def _date_or_open(value) -> Column:
-    """A date bound; NULL and the empty string mean no bound."""
+    """A date bound; NULL and the empty string mean no bound, and so does what is no date."""
     column = value if isinstance(value, Column) else F.lit(value)
-    return F.to_date(F.nullif(column.cast("string"), F.lit("")))
+    return F.try_to_date(F.nullif(column.cast("string"), F.lit("")))
+
+
+def _date_error() -> Column:
+    """The text of a bound that is no date, or NULL."""
+    bad = [
+        F.when(F.nullif(F.col(c).cast("string"), F.lit("")).isNotNull() & _date_or_open(F.col(c)).isNull(), F.concat(F.lit(f"{c} is no date: "), F.col(c).cast("string")))
+        for c in ("start_date", "end_date")
+    ]
+    return F.coalesce(*bad)
 
 
 def filter_invoices(
@@ -60,7 +70,10 @@ def range_lookup(requests: DataFrame, invoices: DataFrame) -> DataFrame:
     No request is paired with its invoices. Invoices are first added up per customer and
     day; a running total over those days is read off at the two ends of each range. Days
     and range ends per customer are bounded by the calendar, whatever the customer's size.
+
+    A bound that is no date gives that one request an `error`, and no count or total.
     """
+    requests = requests.withColumn("error", _date_error())
     requests = requests.withColumn("_from", _date_or_open(F.col("start_date"))).withColumn(
         "_to", _date_or_open(F.col("end_date"))
     )
@@ -104,8 +117,10 @@ def range_lookup(requests: DataFrame, invoices: DataFrame) -> DataFrame:
         requests.withColumn("_end", F.coalesce("_to", last))
         .join(to, ["customer_name", "_end"], "left")
         .join(before, ["customer_name", "_from"], "left")
-        .withColumn("count", F.when(in_order, count).otherwise(0).cast("bigint"))
-        .withColumn("total_amount", F.when(in_order, total).otherwise(0).cast("decimal(28,2)"))
+        .withColumn("count", F.when(F.col("error").isNull(), F.when(in_order, count).otherwise(0).cast("bigint")))
+        .withColumn(
+            "total_amount", F.when(F.col("error").isNull(), F.when(in_order, total).otherwise(0).cast("decimal(28,2)"))
+        )
         .drop("_from", "_to", "_end", "_n", "_sum", "_n0", "_sum0")
     )
 
@@ -114,8 +129,10 @@ def range_lookup_rows(requests: DataFrame, invoices: DataFrame) -> DataFrame:
     """The invoices each request matches, one row per match.
 
     Joined on customer and month, so a large customer is spread over its months and only
-    the two end months of a range are tested by date.
+    the two end months of a range are tested by date. Requests with a bound that is no date
+    match nothing (see `range_lookup`).
     """
+    requests = requests.filter(_date_error().isNull())
     requests = requests.withColumn("_from", _date_or_open(F.col("start_date"))).withColumn(
         "_to", _date_or_open(F.col("end_date"))
     )
@@ -182,11 +199,14 @@ def customer_history(invoices: DataFrame, customer: str) -> DataFrame:
 
 
 def export_amount(amount: Column) -> Column:
-    """A decimal as a JSON number: whole amounts as integers, others as floats."""
-    whole = amount % 1 == 0
-    return F.parse_json(
-        F.when(whole, amount.cast("bigint").cast("string")).otherwise(amount.cast("double").cast("string"))
-    )
+    """A decimal as a JSON number: whole amounts as integers, others in plain notation."""
+    return F.parse_json(plain_amount(amount))
+
+
+def plain_amount(amount: Column) -> Column:
+    """A decimal as text without trailing zeros."""
+    text = amount.cast("string")
+    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
 
 
 def tool_call_audit(calls: DataFrame, tools: DataFrame) -> DataFrame:
@@ -194,7 +214,8 @@ def tool_call_audit(calls: DataFrame, tools: DataFrame) -> DataFrame:
 
     The name is the context name, else the event's `tool_name`, else its `toolName`, and of
     that the part after the last `___`. Arguments are the event's `arguments` object or
-    else the event itself. `tools` has (tool, required).
+    else the event itself. `tools` has (tool, required); it meets the calls where they are, and
+    calls are counted there before counts are shuffled.
     """
     event = F.try_parse_json("event")
     arguments = F.try_variant_get("_event", "$.arguments", "variant")
@@ -210,7 +231,7 @@ def tool_call_audit(calls: DataFrame, tools: DataFrame) -> DataFrame:
         ]
     )
     parsed = (
-        calls.withColumn("_event", event)
+        calls.withColumn("_event", once(event))
         .withColumn("tool", F.element_at(F.split(name, "___"), -1))
         .withColumn("_args", F.to_json(F.when(nested, arguments).otherwise(F.col("_event"))))
         .withColumn("_given", F.coalesce(F.json_object_keys("_args"), F.array().cast("array<string>")))
@@ -222,7 +243,7 @@ def tool_call_audit(calls: DataFrame, tools: DataFrame) -> DataFrame:
         .otherwise("ok")
     )
     return (
-        parsed.join(tools.select("tool", "required"), "tool", "left")
+        parsed.join(broadcast_if_small(tools.select("tool", "required")), "tool", "left")
         .groupBy("tool", outcome.alias("outcome"))
         .agg(F.count(F.lit(1)).alias("calls"))
     )

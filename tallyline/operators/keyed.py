@@ -13,8 +13,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataF
 
 
 def keyed_put(base: DataFrame, changes: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """`base` after writing `changes` over it, the last write of a key replacing the whole row."""
-    return latest_per_key(base.unionByName(changes), keys, order_by)
+    """`base` after writing `changes` over it, the last write of a key replacing the whole row.
+
+    Where a change and the base row are equal in `order_by`, the change wins.
+    """
+    both = base.withColumn("_change", F.lit(0)).unionByName(changes.withColumn("_change", F.lit(1)))
+    return latest_per_key(both, keys, [*order_by, "_change"]).drop("_change")
 
 
 def keyed_merge(

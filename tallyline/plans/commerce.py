@@ -9,8 +9,7 @@ from tallyline.operators import invoices as I
 from tallyline.operators.keyed import keyed_merge as merge
 from tallyline.operators.keyed import keyed_put as put
 from tallyline.plans import views as V
-from tallyline.plans.common import INVOICES_SQL, plain
-from tallyline.session import work_dir
+from tallyline.plans.common import INVOICES_SQL, plain, work_dir
 from tallyline.sources.invoice_table import read_invoices, write_invoices
 from tallyline.sources.json_lines import json_lines
 
@@ -254,7 +253,7 @@ FROM orders r LEFT JOIN invoices i ON i.invoice_id = r.o_orderkey * 2""",
     "range_lookup": (
         range_lookup,
         f"""WITH {INVOICES_SQL}, {_RANGES_SQL}
-SELECT r.request_id, r.customer_name, r.start_date, r.end_date, count(h.invoice_id) AS count,
+SELECT r.request_id, r.customer_name, r.start_date, r.end_date, CAST(NULL AS VARCHAR) AS error, count(h.invoice_id) AS count,
        cast(coalesce(sum(h.amount), 0) AS double) AS total_amount
 FROM req r LEFT JOIN hits h ON h.request_id = r.request_id GROUP BY ALL""",
     ),
@@ -334,7 +333,7 @@ SELECT cast(o_orderkey AS varchar) AS order_id,
        CASE WHEN o_orderkey % 5 = 0 THEN 'ops@x' ELSE concat('c', o_custkey, '@x') END AS recipient,
        concat('Approve order ', o_orderkey, '?') AS subject, concat(link, 'approve') AS approve_url,
        concat(link, 'reject') AS reject_url,
-       concat('<p>Order <b>', o_orderpriority, '</b> for $', cast(cast(o_totalprice AS decimal(18,2)) AS varchar),
+       concat('<p>Order <b>', o_orderpriority, '</b> for $', regexp_replace(cast(cast(o_totalprice AS decimal(18,2)) AS varchar), '[.]?0+$', ''),
               '.</p><p><a href=''', link, 'approve''>✅ Approve</a>&nbsp;&nbsp;<a href=''', link,
               'reject''>❌ Reject</a></p>') AS body
 FROM n""",

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import approvals as AP
 from tallyline.operators import invoices as I
+from tallyline.operators import keyed as K
 from tallyline.operators import usage as U
 from tallyline.schemas import INVOICES
+from tallyline.sources.json_lines import json_lines
 
 # The sample invoices.
 SAMPLE = [
@@ -158,4 +160,34 @@ def test_notices(spark):
     assert first["recipient"] == "me@x" and second["recipient"] == "a@b"
     assert first["approve_url"] == "https://h/approve?cb=cb1&decision=approve"
     assert first["subject"] == "Approve order 1?"
-    assert "<b>Lamp</b> for $10.50." in first["body"] and first["reject_url"] in first["body"]
+    assert "<b>Lamp</b> for $10.5." in first["body"] and first["reject_url"] in first["body"]
+
+
+@pytest.mark.parametrize(("amount", "shown"), [("10", "10"), ("10.50", "10.5"), ("0", "0"), ("0.00", "0"), ("12345678.90", "12345678.9")])
+def test_amounts_are_printed_as_given(spark, amount, shown):
+    order = spark.createDataFrame(
+        [("1", "cb1", "Lamp", decimal.Decimal(amount), "")],
+        "order_id STRING, cb STRING, item STRING, amount DECIMAL(18,2), customer_email STRING",
+    )
+    assert f"for ${shown}.</p>" in AP.approval_notices(order, "u", "me@x").first()["body"]
+    nested = order.select(F.array(F.struct("amount")).alias("list"), F.create_map(F.lit("k"), "amount").alias("map"))
+    assert json_lines(nested).first()["value"] == f'{{"list":[{{"amount":{shown}}}],"map":{{"k":{shown}}}}}'
+
+
+def test_a_bad_date_fails_one_request(spark):
+    invoices = spark.createDataFrame(
+        [("1", "c", datetime.date(2025, 1, 5), decimal.Decimal("2.50"), "PAID")],
+        "invoice_id STRING, customer_name STRING, invoice_date DATE, amount DECIMAL(18,2), status STRING",
+    )
+    asked = spark.createDataFrame(
+        [(1, "c", "2025-01-01", ""), (2, "c", "bad", None), (3, "c", None, "2025-13-01")],
+        "request_id INT, customer_name STRING, start_date STRING, end_date STRING",
+    )
+    rows = {r["request_id"]: (r["count"], r["error"]) for r in I.range_lookup(asked, invoices).collect()}
+    assert rows == {1: (1, None), 2: (None, "start_date is no date: bad"), 3: (None, "end_date is no date: 2025-13-01")}
+    assert [r["request_id"] for r in I.range_lookup_rows(asked, invoices).collect()] == [1]
+
+
+def test_a_change_wins_over_an_equal_base_row(spark):
+    rows = [spark.createDataFrame([("k", 1, v)], "key STRING, at INT, value STRING") for v in ("z base", "a change")]
+    assert K.keyed_put(*rows, ["key"], ["at"]).first()["value"] == "a change"

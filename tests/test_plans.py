@@ -64,7 +64,7 @@ def test_lake_days_are_pruned(spark, folder):
 
 def test_newest_rows_use_an_early_limit(spark, small):
     assert "TakeOrderedAndProject" in plan(catalog.QUERIES["recent_invoices"](spark, small))
-    for name in ("keyed_put", "topk_per_namespace", "file_log_compact"):
+    for name in ("keyed_put", "topk_per_namespace"):
         assert "Partial" in plan(catalog.QUERIES[name](spark, small)) and "WindowGroupLimit" in plan(
             catalog.QUERIES[name](spark, small)
         )
@@ -81,6 +81,29 @@ def test_totals_are_combined_before_the_shuffle(spark, small):
         assert "partial_" in plan(catalog.QUERIES[name](spark, small))
 
 
+def exchanged(spark, small, name):
+    """The plan lines of each shuffle, with what stands below it up to the next one."""
+    lines = plan(catalog.QUERIES[name](spark, small)).splitlines()
+    return [lines[k : k + 3] for k, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+
+
+def test_calls_are_counted_where_they_are(spark, small):
+    (below,) = exchanged(spark, small, "tool_call_audit")
+    assert "partial_count" in "".join(below)
+    text = plan(catalog.QUERIES["tool_call_audit"](spark, small))
+    assert "BroadcastHashJoin" in text and text.index("Exchange hashpartitioning") < text.index("BroadcastHashJoin")
+
+
+def test_orders_stay_where_they_are(spark, small):
+    text = plan(catalog.QUERIES["status_lookup"](spark, small))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_bodies_are_not_shuffled_to_find_the_last_change(spark, small):
+    text = plan(catalog.QUERIES["file_log_compact"](spark, small))
+    assert "partial_max(seq" in text and "Window" not in text
+
+
 def test_no_row_is_paired_by_range_lookup(spark, small):
     text = plan(I.range_lookup(V.range_requests(spark, small), V.invoices(spark, small)))
     joins = [line for line in text.splitlines() if "Join" in line]
