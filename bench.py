@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
+import tempfile
 import time
 
 from tallyline.plans import catalog
@@ -13,7 +15,7 @@ from tallyline.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 WARM_UP = ["metered_chat", "stream_usage_counters"]
 
 
@@ -31,11 +33,12 @@ def main(names: list[str]) -> None:
         spark__ui__enabled="false",
         spark__driver__memory="16g",
         spark__log__level="ERROR",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="tallyline-bench-"),
     )
     for name in WARM_UP:
         seconds(spark, catalog.QUERIES[name])
     times = {
-        name: round(min(seconds(spark, query) for _ in range(RUNS)), 3)
+        name: round(statistics.median(seconds(spark, query) for _ in range(RUNS)), 3)
         for name, query in catalog.QUERIES.items()
         if not names or name in names
     }
@@ -43,7 +46,7 @@ def main(names: list[str]) -> None:
     print(
         json.dumps(
             {
-                "metric": "total best-run time of all registered queries",
+                "metric": "total median time of all registered queries",
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,

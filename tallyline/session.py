@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,13 +41,8 @@ def build_session(
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach, under the session's `spark.checkpoint.dir`.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
+    """A fresh folder every executor can reach, under the session's `spark.checkpoint.dir`."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tallyline/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix=f"tallyline-{label}-")
+    return f"{shared.rstrip('/')}/tallyline/{label}-{uuid.uuid4().hex}"

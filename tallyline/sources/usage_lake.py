@@ -19,14 +19,15 @@ _FIELDS = [f.name for f in USAGE.fields]
 def parse_usage(lines: DataFrame) -> DataFrame:
     """Text lines (`value`) to the fixed nine columns of a usage record and `bad_line`.
 
-    A missing field is NULL. A line that is not JSON or has a field of another type has all
-    nine NULL and is kept as `bad_line`.
+    A missing field is NULL. A line that is not JSON, has a field of another type or a time
+    that cannot be read has all nine NULL and is kept as `bad_line`.
     """
     schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in USAGE.fields)}, {_BAD} STRING"
     parsed = lines.select(
         "value", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}).alias("_r")
     )
-    is_bad = F.col("_r").isNull() | F.col(f"_r.{_BAD}").isNotNull()
+    unread = F.col("_r.ts").isNotNull() & F.try_to_timestamp("_r.ts").isNull()
+    is_bad = F.col("_r").isNull() | F.col(f"_r.{_BAD}").isNotNull() | unread
     fields = [F.when(~is_bad, F.col(f"_r.{name}")).alias(name) for name in _FIELDS]
     return parsed.select(*fields, F.when(is_bad, F.col("value")).alias("bad_line")).withColumn(
         "ts", F.try_to_timestamp("ts")
@@ -34,8 +35,12 @@ def parse_usage(lines: DataFrame) -> DataFrame:
 
 
 def _day(dt_from: str) -> Column:
-    """The partition day: of the record's time, or of its arrival (now)."""
-    return {"event": F.to_date("ts"), "arrival": F.current_date()}[dt_from]
+    """The partition day: of the record's time, or of its arrival (now).
+
+    A record without a time goes by its arrival, so a read of any days can find it.
+    """
+    arrival = F.current_date()
+    return {"event": F.coalesce(F.to_date("ts"), arrival), "arrival": arrival}[dt_from]
 
 
 def in_areas(parsed: DataFrame, dt_from: str = "event") -> DataFrame:

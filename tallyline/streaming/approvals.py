@@ -21,7 +21,7 @@ def stream_order_decisions(
     delay: str = "1 hour",
     trigger: dict | None = None,
     partitions: int | None = None,
-    salts: int = 1,
+    salts: int = 4,
 ):
     """Match a stream of orders (order_id, submitted) to decisions (cb, ts, line, decision).
 
@@ -58,9 +58,21 @@ def _earliest(rows: DataFrame) -> DataFrame:
     return first_decision(timed, ["order_id"], ["_at", "line"]).drop("_at")
 
 
-def read_order_status(spark: SparkSession, table: str, orders: DataFrame) -> DataFrame:
-    """All orders with their status so far; `timed_out` once the stream has given up waiting."""
-    seen = _earliest(spark.read.parquet(table).drop("submitted", "batch_id")).withColumn("_seen", F.lit(True))
+def read_order_status(
+    spark: SparkSession, table: str, orders: DataFrame, log: DataFrame | None = None, wait_days: int = WAIT_DAYS
+) -> DataFrame:
+    """All orders with their status so far; `timed_out` once the stream has given up waiting.
+
+    A decision that reached the stream behind its watermark is not in `table`. With the stored
+    `log` of decisions (cb, ts, line, decision), all of them count, late ones too.
+    """
+    stored = spark.read.parquet(table).drop("submitted", "batch_id")
+    if log is not None:
+        times = orders.select("order_id", "submitted")
+        calls = log.select(F.col("cb").alias("order_id"), F.col("ts").alias("decided_at"), "line", "decision")
+        in_time = F.expr(f"decided_at BETWEEN submitted AND submitted + INTERVAL {int(wait_days)} DAYS")
+        stored = stored.unionByName(calls.join(times, "order_id").filter(in_time).drop("submitted"))
+    seen = _earliest(stored).withColumn("_seen", F.lit(True))
     return orders.join(seen, "order_id", "left").select(
         *orders.columns,
         "decided_at",

@@ -12,12 +12,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tallyline-tests",
         "local[*]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__driver__memory="8g",
         spark__sql__maxMetadataStringLength="10000",
     )

@@ -105,21 +105,37 @@ def test_lake(spark, folder):
     lines = Source(spark, f"{folder}/in", "value STRING")
     good = '{"user_id":"u","request_id":"%d","tokens_in":3,"ts":"2025-06-0%dT10:00:00+00:00"}'
     lines.add([(good % (1, 1),), ("broken",), (good % (2, 2),)])
-    lines.add([(good % (3, 2),), ('{"tokens_in": "x"}',), ('{"other": 1}',)])
+    lines.add([(good % (3, 2),), ('{"tokens_in": "x"}',), ('{"other": 1}',), ('{"ts": "soon"}',)])
     for again in (False, True):
         if again:
             forget_last_commit(f"{folder}/cp")
         SU.stream_usage_lake(lines.stream(), f"{folder}/lake", f"{folder}/cp", trigger=NOW).awaitTermination()
         rows = UL.read_usage_lake(spark, f"{folder}/lake")
+        arrived = rows.filter("request_id IS NULL").first()["dt"]
+        assert arrived >= datetime.date(2025, 7, 1)  # a record without a time goes by its arrival
         assert sorted((r["request_id"] or "", r["tokens_in"], str(r["dt"])) for r in rows.collect()) == [
-            ("", None, "None"),
+            ("", None, str(arrived)),
             ("1", 3, "2025-06-01"),
             ("2", 3, "2025-06-02"),
             ("3", 3, "2025-06-02"),
         ]
         assert UL.read_usage_lake(spark, f"{folder}/lake", "2025-06-02", "2025-06-02").count() == 2
         errors = UL.read_usage_errors(spark, f"{folder}/lake")
-        assert {r["value"] for r in errors.collect()} == {"broken", '{"tokens_in": "x"}'} and errors.count() == 2
+        assert {r["value"] for r in errors.collect()} == {"broken", '{"tokens_in": "x"}', '{"ts": "soon"}'} and errors.count() == 3
+
+
+def test_late_decisions_count_by_the_log(spark, folder):
+    orders = Source(spark, f"{folder}/orders", "order_id BIGINT, submitted TIMESTAMP")
+    orders.add([(1, at(0))]).add([(4, at(30 * 86400))])
+    calls = Source(spark, f"{folder}/calls", "cb BIGINT, ts TIMESTAMP, line INT, decision STRING")
+    calls.add([(9, at(40 * 86400), 0, "approve")])
+    SP.stream_order_decisions(orders.stream(), calls.stream(), f"{folder}/t", f"{folder}/cp").awaitTermination()
+    calls.add([(1, at(10), 0, "approve")])
+    SP.stream_order_decisions(orders.stream(), calls.stream(), f"{folder}/t", f"{folder}/cp").awaitTermination()
+    every = spark.read.schema(orders.schema).parquet(f"{folder}/orders/*")
+    log = spark.read.schema(calls.schema).parquet(f"{folder}/calls/*")
+    status = {r["order_id"]: r["status"] for r in SP.read_order_status(spark, f"{folder}/t", every, log).collect()}
+    assert status == {1: "APPROVED", 4: "PENDING_APPROVAL"}
 
 
 def test_lake_by_arrival(spark, folder):
