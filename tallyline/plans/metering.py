@@ -8,6 +8,8 @@ from tallyline.operators import answers as A
 from tallyline.operators import usage as U
 from tallyline.plans import views as V
 from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain, work_dir
+from tallyline.schemas import USAGE
+from tallyline.sources.usage_lake import read_usage_lake, usage_ingest
 
 LIMIT = 3000
 AS_OF = "2024-04-15 00:00:00"
@@ -130,35 +132,50 @@ def normalize_rejects(spark, sf):
 
 
 def _asked(spark, sf):
-    """Routed prompts; the number in a prompt stands for its size, the event id for its answer's."""
-    routed = U.route_prompts(V.publishes(spark, sf))[0]
-    return (
-        routed.withColumn("tokens_in", F.coalesce(F.get_json_object("prompt", "$.k").cast("int"), F.lit(0)))
-        .withColumn("tokens_out", (F.col("event_id") % 50).cast("int"))
+    return U.route_prompts(V.publishes(spark, sf))[0]
+
+
+def _model_events(asked):
+    """The answer to a prompt repeats its words; its usage event counts the number in the
+    prompt in and a part of the event id out."""
+    words = F.split("prompt", " ")
+    deltas = asked.select("prompt_id", F.posexplode(words).alias("seq", "text")).select(
+        "prompt_id", "seq", F.struct(F.struct("text").alias("delta")).alias("contentBlockDelta")
+    )
+    tokens = F.struct(
+        F.coalesce(F.get_json_object("prompt", "$.k").cast("int"), F.lit(0)).alias("inputTokens"),
+        (F.col("event_id") % 50).cast("int").alias("outputTokens"),
     )
+    usage = asked.select("prompt_id", F.size(words).alias("seq"), F.struct(tokens.alias("usage")).alias("metadata"))
+    return deltas.unionByName(usage, allowMissingColumns=True)
 
 
 def _decided(spark, sf):
-    asked = _asked(spark, sf).select("user_id", "request_id", "prompt_id", "ts", "tokens_in", "tokens_out")
+    prompts = _asked(spark, sf)
+    asked = A.final_usage(prompts, _model_events(prompts), key="prompt_id")
+    asked = asked.select("user_id", "request_id", "prompt_id", "ts", "tokens_in", "tokens_out")
     cost = U.cost_of(F.col("tokens_in"), F.col("tokens_out"), U.PRICE_IN_PER_1K, U.PRICE_OUT_PER_1K)
     return U.budget_admission(asked, LIMIT, key="prompt_id").withColumn("cost_usd", cost)
 
 
 def out_events(spark, sf):
-    """The answer to a prompt repeats its words; decisions are stored before the feed reads them."""
+    """Tokens of the answers, errors and done events; decisions are stored before the feed reads them."""
     path = work_dir(spark, "decided")
     _decided(spark, sf).write.parquet(path)
-    deltas = _asked(spark, sf).select("prompt_id", F.posexplode(F.split("prompt", " ")).alias("seq", "text"))
-    return plain(A.out_events(deltas.filter("text <> ''"), spark.read.parquet(path), key="prompt_id"))
+    deltas = A.text_deltas(_model_events(_asked(spark, sf)))
+    return plain(A.out_events(deltas, spark.read.parquet(path), key="prompt_id"))
 
 
 def metered_chat(spark, sf):
-    """The flagship: publishes are routed and admitted; accepted ones become the month's bill."""
+    """The flagship: publishes are routed, answered, admitted by what their answers use, and
+    recorded in the lake as JSON lines; the bill is read from the lake."""
     accepted = _decided(spark, sf).filter("accepted")
     records = U.usage_records(
         accepted.withColumnRenamed("ts", "started").withColumn("ended", F.col("started")), "model-a"
     )
-    return plain(U.usage_report(records))
+    lake = f"{work_dir(spark, 'chat')}/usage"
+    usage_ingest(records.select(F.to_json(F.struct(*[f.name for f in USAGE])).alias("value")), lake)
+    return plain(U.usage_report(read_usage_lake(spark, lake)))
 
 
 _ASKED_SQL = f"""pub AS (
