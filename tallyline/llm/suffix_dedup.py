@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.tables import kept, small_side
 from tallyline.llm.text_arrays import document_chunks, mixed, text_buffers
 
-GRAM_BYTES = 50
+GRAM_BYTES = 32
 SEGMENT = 1 << 20
 BUCKET_CONTEXTS = 2048
 HEAVY_ANCHOR = 4096
@@ -193,91 +193,127 @@ def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
-def suffix_ranks(body: np.ndarray, span: int) -> np.ndarray:
-    """Ranks of all suffixes by their first `span` bytes, by doubling; zeros follow the end.
+def suffix_ranks(body: np.ndarray, room: np.ndarray, span: int) -> np.ndarray:
+    """Ranks, by doubling, of the suffixes with at least `span` bytes up to the end of their text.
 
-    Equal ranks mean equal first `span` bytes: the longest common prefix is at least `span`.
+    `room` is how many bytes each suffix has. Ranks of other suffixes are meaningless; those
+    that are too short for a round take no part in it. Equal ranks mean equal first `span`
+    bytes: the longest common prefix is at least `span`.
     """
-    padded = np.concatenate([body.astype(np.int64) + 1, np.zeros(7, np.int64)])
     width = min(7, span)
+    padded = np.concatenate([body.astype(np.int64) + 1, np.zeros(7, np.int64)])
     pair = np.zeros(len(body), np.int64)
     for k in range(width):
         pair = pair * 257 + padded[k : k + len(body)]
     rank = _dense(pair)
     while width < span:
         step = min(width, span - width)  # the last round overlaps: equal up to `width` both times
-        ahead = np.zeros(len(rank), np.int64)
-        ahead[: len(rank) - step] = rank[step:]
-        rank, width = _dense((rank << 32) | ahead), width + step
+        width += step
+        active = np.flatnonzero(room >= width)
+        fresh = np.zeros(len(rank), np.int64)
+        fresh[active] = _dense((rank[active] << 32) | rank[active + step])
+        rank = fresh
     return rank
 
 
 def _dense(keys: np.ndarray) -> np.ndarray:
     order = np.argsort(keys)
     ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.cumsum(np.concatenate([[1], np.diff(keys[order]) != 0]))
+    ranks[order] = np.cumsum(np.concatenate([[1], np.diff(keys[order]) != 0])[: len(keys)])
     return ranks
 
 
-def factor_matches(rank: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Which suffixes have a match of full length before and after them in text order.
+def factor_limits(rank: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix, the first and the last text position of its run of equal ranks.
 
-    `rank` orders suffixes by their first bytes and `order` gives text order. Within a run of
-    equal ranks, put in text order, the neighbours are the previous and the next position of
-    the run, which attain the longest previous and next factor. Returns flags (earlier,
-    later), the suffix order and the first of each run in it.
+    In suffix order a run holds the suffixes that match for `span` bytes; put in text order, the
+    previous and next smaller positions of a member lie in the run, and attain the longest
+    previous and next factor. A member has an earlier match if it is not the first of the
+    run, a later one if it is not the last. `least` and `most` are the text positions of
+    the first and last of all copies that a suffix stands for.
     """
-    suffixes = np.lexsort((order, rank))
-    same = np.zeros(len(rank) + 1, bool)
-    same[1:-1] = np.diff(rank[suffixes]) == 0
-    earlier, later = np.zeros(len(rank), bool), np.zeros(len(rank), bool)
-    earlier[suffixes] = same[:-1]
-    later[suffixes] = same[1:]
-    return earlier, later, suffixes, np.flatnonzero(~same[:-1])
+    order = np.argsort(rank, kind="stable")
+    heads = np.flatnonzero(np.diff(rank[order], prepend=-1))
+    run = np.empty(len(rank), np.int64)
+    run[order] = np.cumsum(np.diff(rank[order], prepend=-1) != 0) - 1
+    return np.minimum.reduceat(least[order], heads)[run], np.maximum.reduceat(most[order], heads)[run]
 
 
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True))
+def _ranges(counts: np.ndarray) -> np.ndarray:
+    """0..n-1 for each of the counts, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 def _match_bucket(span: int):
     def match(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        sigs = group.column("sig").to_pylist()
+        sigs = group.column("sig").combine_chunks()
         first = group.column("first_id").fill_null(LAST).to_numpy()
         places = group.column("place").to_numpy()
-        bodies = group.column("body").to_pylist()
-        body = np.frombuffer(b"".join(bodies), np.uint8)
-        counts = np.array([len(x) for x in bodies]) - span + 1
-        edges = np.concatenate([[0], np.cumsum(counts + span - 1)])
-        row = np.repeat(np.arange(len(bodies)), counts)
-        local = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = edges[row] + local
-        _, sig_no = np.unique(np.array(sigs, "V16"), return_inverse=True)
-        text_order = np.empty(len(bodies), np.int64)
-        text_order[np.lexsort((places, sig_no, first))] = np.arange(len(bodies))
-        rank = suffix_ranks(body, span)[starts]
-        earlier, later, suffixes, heads = factor_matches(rank, text_order[row] * (1 << 32) + local)
-        out: list[tuple] = []
-        at = np.cumsum(counts) - counts
-        for k in range(len(bodies)):
-            mine = slice(at[k], at[k] + counts[k])
-            for kind, flags in ((EARLIER, earlier[mine]), (LATER, later[mine])):
-                out += [(kind, sigs[k], None, places[k] + a, places[k] + b, None) for a, b in _runs(flags)]
+        # equal contexts are one text; it stands for the first and the last of them
+        distinct: dict[bytes, int] = {}
+        text = np.array([distinct.setdefault(x, len(distinct)) for x in group.column("body").to_pylist()])
+        _, sig_no = np.unique(np.array(sigs.to_pylist(), "V16"), return_inverse=True)
+        order = np.empty(len(text), np.int64)
+        order[np.lexsort((places, sig_no, first))] = np.arange(len(text))
+        low, high = np.full(len(distinct), len(text)), np.zeros(len(distinct), np.int64)
+        np.minimum.at(low, text, order)
+        np.maximum.at(high, text, order)
+        body = np.frombuffer(b"".join(distinct), np.uint8)
+        sizes = np.array([len(x) for x in distinct])
+        room = np.repeat(sizes, sizes) - _ranges(sizes)
+        starts = np.flatnonzero(room >= span)
+        windows = sizes - span + 1
+        local, own = _ranges(windows), np.repeat(np.arange(len(sizes)), windows)
+        least, most = factor_limits(
+            suffix_ranks(body, room, span)[starts], (low[own] << 32) + local, (high[own] << 32) + local
+        )
+        # back to all contexts
+        counts, begins = windows[text], np.cumsum(windows) - windows
+        row, at = np.repeat(np.arange(len(text)), counts), _ranges(counts)
+        window = np.repeat(begins[text], counts) + at
+        position = (order[row] << 32) + at
+        earlier, later = position > least[window], position < most[window]
+        out = [
+            _run_table(sigs, places, row, at, flags, kind) for kind, flags in ((EARLIER, earlier), (LATER, later))
+        ]
         heavy = group.column("heavy").to_numpy()
         if heavy.any():
-            tails = np.append(heads[1:], len(suffixes)) - 1
-            for s in np.unique(suffixes[np.concatenate([heads, tails])]).tolist():
-                k = row[s]
-                if heavy[k]:
-                    window = blake2b(body[starts[s] : starts[s] + span].tobytes(), digest_size=16).digest()
-                    out.append((OPEN, sigs[k], int(first[k]), places[k] + local[s], places[k] + local[s], window))
-        return _found_table(out)
+            names = group.column("sig").to_pylist()
+            texts = list(distinct)
+            extreme = np.flatnonzero(heavy[row] & ~(earlier & later))
+            out.append(
+                _found_table(
+                    [
+                        (OPEN, names[k], int(first[k]), int(places[k] + s), int(places[k] + s),
+                         blake2b(texts[text[k]][s : s + span], digest_size=16).digest())
+                        for k, s in zip(row[extreme].tolist(), at[extreme].tolist(), strict=True)
+                    ]
+                )
+            )
+        return pa.concat_tables(out)
 
     return match
 
 
+def _run_table(sigs, places, row: np.ndarray, at: np.ndarray, flags: np.ndarray, kind: int) -> pa.Table:
+    """Runs of flagged starts of each context."""
+    edge = np.diff(row, prepend=-1) != 0
+    begin = np.flatnonzero(flags & (edge | ~np.concatenate([[False], flags[:-1]])))
+    end = np.flatnonzero(flags & (np.append(edge[1:], True) | ~np.append(flags[1:], False)))
+    none = pa.nulls(len(begin))
+    return pa.table(
+        {
+            "kind": pa.array(np.full(len(begin), kind, np.int32)),
+            "sig": sigs.take(pa.array(row[begin])),
+            "first_id": none.cast(pa.int64()),
+            "lo": pa.array(places[row[begin]] + at[begin]),
+            "hi": pa.array(places[row[end]] + at[end]),
+            "window": none.cast(pa.binary()),
+        }
+    )
+
+
 def _found_table(rows: list[tuple]) -> pa.Table:
     kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
     columns = list(zip(*rows, strict=True)) or [()] * 6
@@ -292,11 +328,11 @@ def _match_open(group: pa.Table) -> pa.Table:
     _, sig_no = np.unique(np.array(sigs, "V16"), return_inverse=True)
     order = np.empty(len(sigs), np.int64)
     order[np.lexsort((places, sig_no, group.column("first_id").to_numpy()))] = np.arange(len(sigs))
-    earlier, later, _, _ = factor_matches(rank, order)
+    least, most = factor_limits(rank, order, order)
     return _found_table(
         [
-            (kind, sigs[k], None, places[k], places[k], None)
-            for kind, flags in ((EARLIER, earlier), (LATER, later))
+            (kind, sigs[k], None, int(places[k]), int(places[k]), None)
+            for kind, flags in ((EARLIER, order > least), (LATER, order < most))
             for k in np.flatnonzero(flags)
         ]
     )
@@ -331,15 +367,16 @@ def repeated_passages(
         F.first("n_bytes").alias("n_bytes"),
         F.first("anchors").alias("anchors"),
     )
+    grouped = kept(grouped)
     occurrences = (
         grouped.filter(F.length("anchors") > 0)
         .select("sig", "anchors")
         .mapInArrow(_unpacked, "sig binary, place bigint, hash bigint")
     )
-    counts = occurrences.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counts = kept(occurrences.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     repeated = kept(occurrences.join(counts, "hash"))
     buckets = max(1, -(-repeated.count() // BUCKET_CONTEXTS))
-    classes = kept(grouped.drop("anchors"))
+    classes = grouped.drop("anchors")
     per_class = repeated.groupBy("sig").agg(
         F.collect_list(
             F.struct("place", "hash", F.ceil(F.col("n") / HEAVY_ANCHOR).cast("int").alias("salts"))
