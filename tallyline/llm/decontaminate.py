@@ -30,7 +30,7 @@ _TABLE = bytearray(b" " * 128 + bytes(range(128, 256)))
 for _low, _high, _shift in ((48, 57, 0), (65, 90, 32), (97, 122, 0)):
     _TABLE[_low : _high + 1] = bytes(c + _shift for c in range(_low, _high + 1))
 _NORMAL = bytes(_TABLE)
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _AUTOMATA: dict[str, ahocorasick.Automaton] = {}
 
 
