@@ -6,19 +6,23 @@ and pairs can matter.
 
 * Documents with equal n-gram sets are one class; classes stand for their members.
 * Two sets of a and b n-grams with index >= t overlap in at least t / (1 + t) * (a + b), so
-  only the first a - ceil(t * a) + 1 n-grams of a set, in an order that puts rare ones first,
-  need columns. The order comes from a count table of fixed size over all documents.
-* At places i and j of a shared column the overlap is at most 1 + min(a - i - 1, b - j - 1)
-  where the column is the first shared one; pairs below the bound are discarded.
-* A column of many classes is first met with one of its members only, the one with the fewest
-  rarer n-grams. Pairs of that column whose classes are connected by then are not needed;
-  the others are taken up in a second product, so no link between components is lost.
+  with k = min(3, ceil(t * a)) only the first a - ceil(t * a) + k n-grams of a set, in an order
+  that puts rare ones first, need columns, and a pair shares at least k of them. The order
+  comes from a count table of fixed size over all documents.
+* At places i and j of one of the first k shared columns the overlap is at most
+  k + min(a - i - 1, b - j - 1); pairs below their bound are discarded.
+* Columns of few classes are multiplied out and overlaps added up; pairs that share k of them
+  stay. A column of many classes is first met with one of its members only, the one with the
+  fewest rarer n-grams. Pairs of that column whose classes are connected by then are not needed;
+  the others, however few columns they share, are taken up in a second product. A pair
+  shares k light columns or a heavy one, so no link between components is lost.
 * The remaining pairs get their exact overlap from the full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+import zlib
 from hashlib import blake2b
 
 import numpy as np
@@ -30,9 +34,12 @@ from tallyline.llm.components import connected_components
 from tallyline.llm.tables import kept, small_side
 from tallyline.llm.text_arrays import shingle_sets
 
-SKETCH_BITS = 20
-SKETCH_BLOCK = 1 << 14
-LIGHT_COLUMN = 16
+SKETCH_BITS = 23
+SKETCH_BLOCK = 1 << 17
+LIGHT_COLUMN = 32
+SHARED_COLUMNS = 3
+COLUMN_SHIFT = 16
+SIGNATURE_BYTES = 10
 
 
 def _id_type(docs: DataFrame, doc_id: str) -> str:
@@ -40,42 +47,52 @@ def _id_type(docs: DataFrame, doc_id: str) -> str:
 
 
 def gram_levels(docs: DataFrame, text: str, words: int) -> bytes:
-    """How often n-grams occur: one byte per hash bucket, four steps to a doubling.
+    """How often n-grams occur: one byte per hash bucket, eight steps to a doubling.
 
     The table has 2 ** SKETCH_BITS bytes whatever the input. Tasks send their counts in blocks,
     which are added up in two rounds.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for _, grams in shingle_sets(batch.column(0), words):
                 np.add.at(total, (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         if total.any():
-            yield from _blocks(dict(enumerate(total.reshape(-1, SKETCH_BLOCK))))
+            small = np.minimum(total, 255).astype(np.uint8)  # more in one task is frequent anyway
+            yield from _blocks(dict(enumerate(small.reshape(-1, SKETCH_BLOCK))))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[block] = total.get(block, 0) + np.frombuffer(counts, np.int64)
-        yield from _blocks(total)
+    def summed(kind: type, level: bool):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    counts = np.frombuffer(zlib.decompress(packed), kind).astype(np.int64)
+                    total[block] = total[block] + counts if block in total else counts
+            yield from _blocks({k: _level(x) if level else x for k, x in total.items()})
+
+        return add
 
     schema = "block int, counts binary"
     parts = docs.select(text).mapInArrow(count, schema)
-    for salts in (8, 1):
-        salted = parts.withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(salts)))
-        parts = salted.repartition("block", "salt").select("block", "counts").mapInArrow(add, schema)
-    counts = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK, np.int64).reshape(-1, SKETCH_BLOCK)
-    for row in parts.collect():  # 2 ** SKETCH_BITS counts whatever the input
-        counts[row.block] += np.frombuffer(row.counts, np.int64)
-    return np.minimum(255, 4 * np.log2(1 + counts.ravel())).astype(np.uint8).tobytes()
+    salted = parts.withColumn("salt", F.pmod(F.xxhash64("counts"), F.lit(4)))
+    sums = salted.repartition("block", "salt").select("block", "counts").mapInArrow(summed(np.uint8, False), schema)
+    levels = sums.repartition("block").mapInArrow(summed(np.int64, True), schema)
+    table = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK, np.uint8).reshape(-1, SKETCH_BLOCK)
+    for row in levels.collect():  # 2 ** SKETCH_BITS bytes whatever the input
+        table[row.block] = np.frombuffer(zlib.decompress(row.counts), np.uint8)
+    return table.tobytes()
+
+
+def _level(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(255, 8 * np.log2(1 + counts)).astype(np.uint8)
 
 
 def _blocks(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for block, counts in total.items():
+        packed = zlib.compress(counts.tobytes(), 1)
         yield pa.RecordBatch.from_pydict(
-            {"block": pa.array([block], pa.int32()), "counts": pa.array([counts.tobytes()], pa.binary())}
+            {"block": pa.array([block], pa.int32()), "counts": pa.array([packed], pa.binary())}
         )
 
 
@@ -91,11 +108,12 @@ def gram_sets(
             rows, sigs, sizes, lists, held = [], [], [], [], 0
             for row, grams in shingle_sets(batch.column(2), words):
                 size = len(grams)
-                sigs.append(blake2b(grams.tobytes(), digest_size=16).digest())
+                sigs.append(blake2b(grams.tobytes(), digest_size=SIGNATURE_BYTES).digest())
                 if ratio and size:
                     steps = level[(grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                     grams = grams[np.argsort(steps, kind="stable")]
-                    grams = grams[: size + (-size * ratio[0]) // ratio[1] + 1]
+                    overlap = -(-size * ratio[0] // ratio[1])
+                    grams = grams[: size - overlap + min(SHARED_COLUMNS, overlap)] >> np.uint64(COLUMN_SHIFT)
                 rows.append(row)
                 sizes.append(size)
                 lists.append(grams.view(np.int64))
@@ -130,7 +148,7 @@ def _may_link(a: str, b: str, num: int, den: int) -> str:
     least = f"{num} * ({a}.n + {b}.n)"
     return (
         f"{den} * {a}.n >= {num} * {b}.n and {den} * {b}.n >= {num} * {a}.n and "
-        f"{num + den} * (1 + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1)) >= {least}"
+        f"{num + den} * ({SHARED_COLUMNS} + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1)) >= {least}"
     )
 
 
@@ -186,17 +204,23 @@ def jaccard_groups(
     leaders = heavy.groupBy("gram").agg(F.min(F.struct("pos", "n", "sig")).alias("leader"))
     heavy = kept(heavy.join(leaders, "gram"))
     bound = _may_link("l", "r", num, den)
-    ordered = (F.least("l.sig", "r.sig").alias("a"), F.greatest("l.sig", "r.sig").alias("b"))
+    enough = F.expr(f"least({SHARED_COLUMNS}, cast(ceil({num} * least(a_n, b_n) / {den}) as bigint))")
     met = (
         light.alias("l")
         .join(light.alias("r"), F.expr(f"l.gram = r.gram and l.sig < r.sig and {bound}"))
-        .select(*ordered)
+        .groupBy(F.col("l.sig").alias("a"), F.col("r.sig").alias("b"))
+        .agg(F.count(F.lit(1)).alias("shared"), F.first("l.n").alias("a_n"), F.first("r.n").alias("b_n"))
+        .filter(F.col("shared") >= enough)
+        .select("a", "b")
     )
     star = (
         heavy.alias("l")
         .select("l.*", F.expr("leader as r"))
         .filter(F.expr(f"sig <> r.sig and {_may_link('l', 'r', num, den)}".replace("l.", "")))
-        .select(F.least("sig", "r.sig").alias("a"), F.greatest("sig", "r.sig").alias("b"))
+        .groupBy(F.least("sig", "r.sig").alias("a"), F.greatest("sig", "r.sig").alias("b"))
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .filter("shared > 1")  # only a head start: the second product misses nothing
+        .select("a", "b")
     )
     pairs = kept(met.unionByName(star).distinct())
     links = kept(_verified(docs, doc_id, text, words, pairs, some, num, den))
