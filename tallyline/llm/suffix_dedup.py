@@ -30,8 +30,8 @@ from tallyline.llm.text_arrays import document_chunks, mixed, text_buffers
 
 GRAM_BYTES = 32
 SEGMENT = 1 << 20
-BUCKET_CONTEXTS = 2048
-HEAVY_ANCHOR = 4096
+BUCKET_CONTEXTS = 1024
+HEAVY_ANCHOR = 1024
 EARLIER, LATER, OPEN = 0, 1, 2
 LAST = (1 << 63) - 1
 
@@ -245,6 +245,19 @@ def _ranges(counts: np.ndarray) -> np.ndarray:
 
 
 def _match_bucket(span: int):
+    """Matches inside a bucket, a few anchors at a time: equal windows have equal anchors."""
+
+    def match_all(group: pa.Table) -> pa.Table:
+        hashes, salts = group.column("hash").to_numpy(), group.column("salt").to_numpy()
+        order = np.lexsort((salts, hashes))
+        fresh = np.flatnonzero((np.diff(hashes[order]) != 0) | (np.diff(salts[order]) != 0)) + 1
+        out, low = [], 0
+        for high in [*fresh[np.flatnonzero(np.diff(fresh // BUCKET_CONTEXTS, prepend=0))].tolist(), len(order)]:
+            if high > low:
+                out.append(match(group.take(pa.array(order[low:high]))))
+                low = high
+        return pa.concat_tables(out)
+
     def match(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         sigs = group.column("sig").combine_chunks()
@@ -293,7 +306,7 @@ def _match_bucket(span: int):
             )
         return pa.concat_tables(out)
 
-    return match
+    return match_all
 
 
 def _run_table(sigs, places, row: np.ndarray, at: np.ndarray, flags: np.ndarray, kind: int) -> pa.Table:
