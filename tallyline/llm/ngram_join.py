@@ -277,7 +277,9 @@ def _members(sets: DataFrame, parts: DataFrame) -> DataFrame:
     )
     heads = placed.groupBy("part").agg(F.min("least").alias("component_id"), F.sum("copies").alias("rows"))
     grouped = placed.select("sig", "part").join(heads.filter("rows > 1"), "part")
-    return sets.join(grouped.select("sig", "part", "component_id"), "sig", "left").select(
+    # stored first, so that the join can split the documents of one signature
+    named = kept(grouped.select("sig", "part", "component_id"))
+    return sets.join(named, "sig", "left").select(
         "doc_id",
         "text_key",
         "sig",

@@ -268,7 +268,8 @@ def near_vectors(
     linked = named.filter("rows > 1 or n > 0").select(
         "sig", (F.coalesce("n", F.lit(0)) + F.col("rows") - 1).alias("n_links"), "component_id"
     )
-    found = rows.join(linked, "sig", "left")
+    # stored first, so that the join can split the copies of one vector
+    found = rows.join(kept(linked), "sig", "left")
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return found.select(
         "vec_id",
