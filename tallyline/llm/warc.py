@@ -36,14 +36,13 @@ def plain_text(html: Column) -> Column:
     """Visible text: comments, scripts, styles and tags go, block tags break lines, references
     are resolved and white space is collapsed. An unclosed comment or script hides the rest."""
     out = F.regexp_replace(html, r"(?is)<!--.*?(-->|\z)", " ")
-    for tag in ("script", "style", "noscript", "template"):
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?(</{tag}\s*>|\z)", " ")
+    out = F.regexp_replace(out, r"(?is)<(script|style|noscript|template)\b.*?(</\1\s*>|\z)", " ")
     out = F.regexp_replace(out, rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>", "\n")
     out = F.regexp_replace(out, r"<[/!?A-Za-z][^>]*>", "")
     for name, character in REFERENCES.items():
         out = F.replace(out, F.lit(name), F.lit(character))
-    out = F.regexp_replace(out, r"[ \t\r\f]+", " ")
-    return F.regexp_replace(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), r"\A[ \n]+|[ \n]+\z", "")
+    out = F.regexp_replace(out, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
+    return F.btrim(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def header(text: Column, name: str) -> Column:
