@@ -3,7 +3,9 @@
 Terms are words, or stems with many endings, that stand out in documents labelled toxic. They
 form a trie, which is intersected with the Levenshtein automaton of edit distance one: a state
 is the set of trie nodes reachable with the edits spent so far, and its transitions are
-worked out once and kept. Every word of a text runs through it. A hit between quotation marks
+worked out once and kept. Every word of a text runs through it; words and stems may have the
+edit in any letter, the first one too. A word that clean documents use is not a misspelling,
+however near to a term it is. A hit between quotation marks
 counts as quoted, others as abuse; a logistic model weighs both.
 """
 
@@ -20,8 +22,9 @@ from pyspark.sql import functions as F
 TOXIC_SAMPLE, CLEAN_SAMPLE = 4000, 12_000
 MAX_TERMS = 5000
 MIN_SUPPORT, MIN_LIFT = 5, 20.0
-MIN_LETTERS, MAX_LETTERS = 4, 14
-FUZZY_LETTERS = 5
+MIN_LETTERS, MAX_LETTERS = 3, 14
+FUZZY_LETTERS = 4
+MAX_KNOWN = 200_000
 QUOTE_REACH = 80
 CACHE = 300_000
 
@@ -33,10 +36,20 @@ OPENING, CLOSING = "\"“„«‘‹", "\"”“»’›"
 _TOKEN = re.compile(r"[\w@$*!]+")
 
 
+def undisguised(token: str) -> str:
+    """The token without marks at its ends, with letters for the characters written for them."""
+    token = token.strip("!*")
+    return token if token.isalpha() else token.translate(DISGUISES)
+
+
 class Lexicon:
-    """A trie of words and stems, and its states with edits, made when first met."""
+    """A trie of words and stems, and its states with edits, made when first met.
+
+    Without `any_letter` the first letter of a term must be right. `known` are words that are
+    no misspellings.
+    """
 
-    def __init__(self, words: list[str], stems: list[str]):
+    def __init__(self, words: list[str], stems: list[str], any_letter: bool = False, known: list[str] = ()):
         self.children: list[dict[str, int]] = [{}]
         self.depth = [0]
         self.word: set[int] = set()
@@ -52,10 +65,14 @@ class Lexicon:
                     node = self.children[node][letter]
                 ends.add(node)
         self.fuzzy = {x for x in self.word if self.depth[x] >= FUZZY_LETTERS}
+        self.fuzzy_stem = {x for x in self.stem if self.depth[x] >= FUZZY_LETTERS}
+        self.any_letter, self.known = any_letter, frozenset(known)
+        missing = [(x, 1) for x in self.children[0].values()] if any_letter else []
+        self.start = frozenset([(0, 0), *missing])
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
 
     def step(self, state: frozenset, letter: str) -> frozenset:
-        """States are sets of (node, edits); the first letter of a term must be right."""
+        """States are sets of (node, edits)."""
         key = (state, letter)
         if key in self.steps:
             return self.steps[key]
@@ -72,7 +89,7 @@ class Lexicon:
             after = self.children[node]
             if letter in after:
                 reach(after[letter], edits)
-            if edits == 0 and node:
+            if edits == 0 and (node or self.any_letter):
                 reach(node, 1)  # a letter too many
                 for below in after.values():
                     reach(below, 1)  # a wrong letter
@@ -82,20 +99,22 @@ class Lexicon:
         return found
 
     def kind(self, token: str) -> int:
-        """EXACT, STEM or FUZZY if the token is a term, begins with a stem or is one edit off."""
-        token = token.strip("!*")
-        if not token.isalpha():
-            token = token.translate(DISGUISES)
-        state: frozenset = frozenset([(0, 0)])
+        """EXACT or STEM if the token is a word or begins with a stem, FUZZY if it does so with one edit."""
+        token = undisguised(token)
+        fuzzy = NONE if token in self.known else FUZZY
+        state, near = self.start, NONE
         for letter in token:
             state = self.step(state, letter)
             if not state:
-                return NONE
-            if self.stem and any(e == 0 and n in self.stem for n, e in state):
-                return STEM
+                return near
+            if self.stem:
+                if any(e == 0 and n in self.stem for n, e in state):
+                    return STEM
+                if not near and any(n in self.fuzzy_stem for n, _ in state):
+                    near = fuzzy
         if any(e == 0 and n in self.word for n, e in state):
             return EXACT
-        return FUZZY if any(n in self.fuzzy for n, _ in state) else NONE
+        return fuzzy if any(n in self.fuzzy for n, _ in state) else near
 
 
 class _Kinds(dict):
@@ -141,13 +160,23 @@ def features(text: str, kinds: _Kinds) -> list[float]:
 N_FEATURES = 8
 
 
+def _near(text: str, kinds: _Kinds) -> list[str]:
+    """The distinct words of a text that are one edit off a term."""
+    return sorted({undisguised(x) for x in set(_TOKEN.findall(text.lower())) if kinds[x] == FUZZY})
+
+
 def _per_document(shared, output: str):
-    """`features` of each document, or its `score` under the learned weights."""
+    """`features` of each document, its `score` under the learned weights, or its `near` words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, stems, weights = shared.value
-        kinds = _Kinds(Lexicon(words, stems))
+        words, stems, known, weights = shared.value
+        kinds = _Kinds(Lexicon(words, stems, any_letter=True, known=known))
         for batch in batches:
+            if output == "near":
+                found = [_near(x.as_py() or "", kinds) for x in batch.column(1)]
+                column = pa.array(found, pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), column], [batch.schema.names[0], output])
+                continue
             rows = [features(x.as_py() or "", kinds) for x in batch.column(1)]
             if output == "score":
                 values = np.array(rows).reshape(-1, N_FEATURES) @ weights[:-1] + weights[-1]
@@ -197,6 +226,19 @@ def _terms(found: dict[str, tuple[int, int]]) -> tuple[list[str], list[str]]:
     return words, stems
 
 
+def learn_known(labelled: DataFrame, shared, n_toxic: int, n_clean: int) -> list[str]:
+    """Words one edit off a term that clean documents use and that do not stand out themselves.
+
+    At most the `MAX_KNOWN` most frequent ones reach the driver.
+    """
+    near = labelled.select("toxic", "text").mapInArrow(_per_document(shared, "near"), "toxic int, near array<string>")
+    counted = near.select("toxic", F.explode("near").alias("word")).groupBy("word")
+    counted = counted.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    lift = (F.col("t") / n_toxic) / ((F.col("c") + 0.5) / n_clean)
+    rows = counted.filter((F.col("c") > 0) & (lift < MIN_LIFT)).orderBy(F.desc("c"), "word").limit(MAX_KNOWN).collect()
+    return [r.word for r in rows]
+
+
 def fit(rows: np.ndarray, target: np.ndarray, importance: np.ndarray, rounds: int = 60) -> np.ndarray:
     """Logistic weights, intercept last, by Newton's method with a small penalty."""
     x = np.hstack([rows, np.ones((len(rows), 1))])
@@ -216,8 +258,8 @@ def fit(rows: np.ndarray, target: np.ndarray, importance: np.ndarray, rounds: in
 def learn(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic",
     sample_key: Column | None = None,
-) -> tuple[list[str], list[str], np.ndarray]:
-    """Words, stems and weights, from about `TOXIC_SAMPLE` and `CLEAN_SAMPLE` labelled documents.
+) -> tuple[list[str], list[str], list[str], np.ndarray]:
+    """Words, stems, known words near them and weights, from about `TOXIC_SAMPLE` and `CLEAN_SAMPLE` labelled documents.
 
     The sample is chosen by a hash of the document's id, so what is broadcast and collected is
     bounded by these two numbers. Labels other than 0 and 1 are left aside. Without documents
@@ -229,24 +271,26 @@ def learn(
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
-        return [], [], np.array([0.0] * N_FEATURES + [-30.0 if not n_toxic else 30.0])
+        return [], [], [], np.array([0.0] * N_FEATURES + [-30.0 if not n_toxic else 30.0])
     rate = F.when(F.col("toxic") == 1, min(1.0, TOXIC_SAMPLE / n_toxic)).otherwise(min(1.0, CLEAN_SAMPLE / n_clean))
     sample = F.broadcast(known.filter(F.pmod("_key", F.lit(1 << 20)) / (1 << 20) < rate).select("_id", "toxic"))
     labelled = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(sample, "_id").filter("text is not null")
     in_sample = {0: min(n_clean, CLEAN_SAMPLE), 1: min(n_toxic, TOXIC_SAMPLE)}
     words, stems = learn_terms(labelled, "text", "toxic", in_sample[1], in_sample[0])
-    shared = docs.sparkSession.sparkContext.broadcast((words, stems, None))
+    context = docs.sparkSession.sparkContext
+    known = learn_known(labelled, context.broadcast((words, stems, [], None)), in_sample[1], in_sample[0])
+    shared = context.broadcast((words, stems, known, None))
     rows = labelled.select("toxic", "text").mapInArrow(_per_document(shared, "features"), "toxic int, features array<double>").collect()
     if len({r.toxic for r in rows}) < 2:
-        return words, stems, np.array([0.0] * N_FEATURES + [float(np.log(n_toxic / n_clean))])
+        return words, stems, known, np.array([0.0] * N_FEATURES + [float(np.log(n_toxic / n_clean))])
     target = np.array([r.toxic for r in rows], float)
     importance = np.where(target == 1, n_toxic / target.sum(), n_clean / (1 - target).sum())
     importance *= len(rows) / importance.sum()
-    return words, stems, fit(np.array([r.features for r in rows]), target, importance)
+    return words, stems, known, fit(np.array([r.features for r in rows]), target, importance)
 
 
 def toxicity_scores(
-    docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, model: tuple[list[str], list[str], list[str], np.ndarray], doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, score, predicted of every document; whole texts are read.
 
