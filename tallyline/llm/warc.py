@@ -6,13 +6,16 @@ digests. Derivation is made of DataFrame functions; only reading raw WARC bytes
 
 from __future__ import annotations
 
+import html
 from collections.abc import Iterator
+from functools import cache
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Character references and the characters they stand for.
+# The references that the SQL twin knows and the characters they stand for.
 REFERENCES = {
     "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": " ",
     "&copy;": "©", "&reg;": "®", "&middot;": "·", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&amp;": "&",
@@ -32,15 +35,63 @@ def labelled_digest(body: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(body, 256))
 
 
-def plain_text(html: Column) -> Column:
+@cache
+def _known_references() -> str:
+    """Every named reference of HTML, and the numbers that do not stand for their own character.
+
+    Frequent ones come first, as Spark looks through a map from its beginning.
+    """
+    first = {x[1:]: y for x, y in REFERENCES.items() if not x.startswith("&#")}
+    known = first | {x: y for x, y in html5.items() if x.endswith(";") and x not in first}
+    odd = [*range(0xA0), *range(0xFDD0, 0xFDF0), *(plane << 16 | x for plane in range(17) for x in (0xFFFE, 0xFFFF))]
+    known |= {f"#{n}": html.unescape(f"&#{n};") for n in odd if html.unescape(f"&#{n};") != chr(n)}
+    return "\x02".join(f"{x}\x01{y}" for x, y in (known | {"#160": " ", "NonBreakingSpace;": " "}).items())
+
+
+def resolved(text: Column) -> Column:
+    """The text with each named, decimal or hexadecimal reference resolved once, as HTML does.
+
+    A no-break space becomes a space. Unknown names and references without their semicolon stay.
+    """
+    known = F.str_to_map(F.lit(_known_references()), F.lit("\x02"), F.lit("\x01"))
+    pattern = r"^(#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)"
+
+    def code(ref: Column) -> Column:
+        """The number of a numeric reference; 0x110000 for all that are beyond Unicode."""
+        hexadecimal = F.lower(F.substring(ref, 2, 1)) == "x"
+        digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
+        number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).cast("int")
+        return F.when(digits == "", 0).when(F.length(digits) > 7, 0x110000).otherwise(number)
+
+    def numbered(n: Column) -> Column:
+        digits = F.concat(F.lit("0000FEFF"), F.lpad(F.hex(n), 8, "0"))  # with a byte order mark
+        beyond = (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        own = F.when(beyond, "\ufffd").otherwise(F.decode(F.unhex(digits), "UTF-32"))
+        return F.coalesce(F.try_element_at(known, F.concat(F.lit("#"), n.cast("string"))), own)
+
+    def found(part: Column, place: Column) -> Column:
+        ref = F.when(place > 0, F.regexp_extract(part, pattern, 1)).otherwise("")
+        return F.struct(part.alias("part"), ref.alias("ref"))
+
+    def joined(x: Column, place: Column) -> Column:
+        named = F.try_element_at(known, x["ref"])
+        number = F.element_at(F.transform(F.array(code(x["ref"])), numbered), 1)
+        character = F.when(x["ref"].startswith("#"), number).otherwise(named)
+        rest = F.substr(x["part"], F.length(x["ref"]) + 1)
+        whole = F.concat(F.lit("&"), x["part"])
+        return F.when(place == 0, x["part"]).when(x["ref"] == "", whole).otherwise(F.coalesce(F.concat(character, rest), whole))
+
+    return F.array_join(F.transform(F.transform(F.split(text, "&", -1), found), joined), "")
+
+
+def plain_text(markup: Column) -> Column:
     """Visible text: comments, scripts, styles and tags go, block tags break lines, references
     are resolved and white space is collapsed. An unclosed comment or script hides the rest."""
-    out = F.regexp_replace(html, r"(?is)<!--.*?(-->|\z)", " ")
+    out = F.regexp_replace(markup, r"(?is)<!--.*?(-->|\z)", " ")
     out = F.regexp_replace(out, r"(?is)<(script|style|noscript|template)\b.*?(</\1\s*>|\z)", " ")
     out = F.regexp_replace(out, rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>", "\n")
     out = F.regexp_replace(out, r"<[/!?A-Za-z][^>]*>", "")
-    for name, character in REFERENCES.items():
-        out = F.replace(out, F.lit(name), F.lit(character))
+    out = resolved(out)
     out = F.regexp_replace(out, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
     return F.btrim(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
@@ -103,7 +154,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
             ),
             "",
         ),
-        F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), F.replace(x, F.lit("&amp;"), F.lit("&")), F.lit("\r\n"))), ""),
+        F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), resolved(x), F.lit("\r\n"))), ""),
     )
     both = F.array(
         F.struct(F.lit("metadata").alias("kind"), F.lit("application/warc-fields").alias("content_type"), lines.alias("block")),
