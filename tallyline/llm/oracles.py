@@ -184,3 +184,81 @@ SELECT kind, record_id, refers_to, target_uri, '{warc.PAGE_DATE}' AS date, conte
        || block || {_CRLF} || {_CRLF} AS record
 FROM named
 """
+
+# crc32 bit by bit, over the ASCII digits of doc_id
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+  list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+    lambda x, round: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _leaf_sql(n_chars: str) -> str:
+    named = ["n_chars_used" if x == "n_chars" else x for x in _FIELDS]
+    texts = [f"CAST({n_chars if x == 'n_chars_used' else x} AS VARCHAR)" for x in named]
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in texts) + ")"
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, {_leaf_sql("n_chars")} AS leaf,
+         {_leaf_sql(f"(CASE WHEN {_CRC} % 7 = 0 THEN n_chars + 1 ELSE n_chars END)")} AS changed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM docs),
+nodes(tree, level, n, h) AS (
+  SELECT tree, 0, i, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, n // 2, sha256(string_agg(h, '' ORDER BY n))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS many FROM nodes) WHERE many > 1
+  GROUP BY tree, level, n // 2),
+subroots AS (SELECT tree, arg_max(h, level) AS subroot, max(level) AS top FROM nodes GROUP BY tree),
+upper_nodes(level, n, h) AS (
+  SELECT 0, tree, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, n // 2, sha256(string_agg(h, '' ORDER BY n))
+  FROM (SELECT *, count(*) OVER () AS many FROM upper_nodes) WHERE many > 1
+  GROUP BY level, n // 2),
+upper_top AS (SELECT arg_max(h, level) AS root, max(level) AS top FROM upper_nodes),
+folds(tree, i, level, h, beside) AS (
+  SELECT tree, i, 0, changed, '' FROM leaves
+  UNION ALL
+  SELECT f.tree, f.i, f.level + 1,
+         sha256(CASE WHEN (f.i >> f.level) % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END), f.beside || coalesce(s.h, '')
+  FROM folds f JOIN subroots r ON r.tree = f.tree
+  LEFT JOIN nodes s ON s.tree = f.tree AND s.level = f.level AND s.n = xor(f.i >> f.level, 1)
+  WHERE f.level < r.top),
+done AS (SELECT f.* FROM folds f JOIN subroots r ON r.tree = f.tree AND r.top = f.level),
+upper_folds(tree, i, level, h, beside) AS (
+  SELECT tree, i, 0, h, beside FROM done
+  UNION ALL
+  SELECT f.tree, f.i, f.level + 1,
+         sha256(CASE WHEN (f.tree >> f.level) % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END), f.beside || coalesce(s.h, '')
+  FROM upper_folds f JOIN upper_top t ON f.level < t.top
+  LEFT JOIN upper_nodes s ON s.level = f.level AND s.n = xor(f.tree >> f.level, 1))
+SELECT doc_id, leaf, subroot, root, sha256(f.beside) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN upper_top ON true
+JOIN upper_folds f ON f.tree = leaves.tree AND f.i = leaves.i AND f.level = upper_top.top
+"""
+
+HARD_NEGATIVES = """
+WITH candidates AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = c.label AS same, c.r, c.vec_id,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM candidates a JOIN candidates c ON a.vec_id % 100 = 0 AND a.r <> c.r AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS FIRST, r) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id NULLS FIRST, n.r) AS INTEGER) AS rank
+  FROM positives p JOIN scores n
+    ON n.anchor = p.anchor AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""

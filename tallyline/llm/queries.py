@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyline.llm import oracles, warc
 from tallyline.llm.chat import rendered_chats
 from tallyline.llm.decontaminate import hit_digest
+from tallyline.llm.inner_products import hard_negatives
 from tallyline.llm.language_id import learn_and_predict
+from tallyline.llm.merkle import manifest
 from tallyline.llm.ngram_join import jaccard_groups
 from tallyline.llm.packing import packed_pieces
 from tallyline.llm.suffix_dedup import removal_digest
 from tallyline.llm.token_counts import token_counts
+from tallyline.llm.token_files import read_token_files, write_token_files
 from tallyline.llm.toxicity import learn_and_score
 from tallyline.llm.vector_dedup import near_vectors
 
@@ -71,6 +75,27 @@ def op10_levenshtein_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn_and_score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree per lang: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
+    docs = _table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    longer = F.when(chosen, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered={"n_chars": longer})
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read back from the files: doc_id, start, n_tokens, ids_crc32."""
+    return read_token_files(write_token_files(_table(spark, sf_dir, "documents")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """anchor_id, positive_id, rank, negative_id, positive_score, negative_score."""
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_mixture": op2_language_mixture,
@@ -82,6 +107,9 @@ QUERIES = {
     "op8_suffix_array": op8_suffix_array,
     "op9_snapshot_collapse": op9_snapshot_collapse,
     "op10_levenshtein_lexicon": op10_levenshtein_lexicon,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_files": op12_token_files,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL = {
     "op1_warc_derivatives": oracles.WARC_DERIVATIVES,
@@ -90,4 +118,6 @@ SQL = {
     "op6_product_quantisation": oracles.NEAR_VECTORS,
     "op8_suffix_array": oracles.SUFFIX_ARRAY,
     "op9_snapshot_collapse": oracles.CHATS,
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }

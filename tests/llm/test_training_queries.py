@@ -23,6 +23,7 @@ def test_matches_sql(spark, duck, small, name):
         ("op2_language_mixture", ["doc_id", "held_out", "lang_pred", "score", "languages"]),
         ("op7_piece_counts", ["doc_id", "n_words", "n_tokens"]),
         ("op10_levenshtein_lexicon", ["doc_id", "held_out", "score", "predicted"]),
+        ("op12_token_files", ["doc_id", "start", "n_tokens", "ids_crc32"]),
     ],
 )
 def test_one_row_per_document(spark, duck, small, name, columns):
@@ -34,6 +35,6 @@ def test_one_row_per_document(spark, duck, small, name, columns):
 def test_registered(spark):
     import __spark_entry__ as entry
 
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.SQL) <= set(entry.oracle_sql())
