@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.session import work_dir
+
 
 SMALL_ROWS = 10_000
 
@@ -25,3 +27,16 @@ def once(value: Column) -> Column:
     a parse would run again for each of them. Nothing is copied below a generator.
     """
     return F.explode(F.array(value))
+
+
+def stored(table: DataFrame) -> DataFrame:
+    """Rows that several steps read, written once to the shared folder where the session has one.
+
+    Without `spark.checkpoint.dir` they are computed again by each step.
+    """
+    spark = table.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        return table
+    path = work_dir(spark, "stored")
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import HOT_ROWS, in_pages, sequence_slice
+from tallyline.functions.prefix import in_pages
+from tallyline.functions.skew import sequence_slice
 from tallyline.functions.text import BROWSER_SPACE, SERVER_SPACE, decode_lenient, trim_all
 
 # Publish batch size, stream line prefix, code fences.
@@ -87,18 +88,11 @@ def _joined(order: str, text: str) -> Column:
 
 
 def chunk_batches(
-    deltas: DataFrame,
-    size: int = BATCH_EVENTS,
-    hot_rows: int = HOT_ROWS,
-    slice_events: int = 1_000_000,
-    key: str = "request_id",
+    deltas: DataFrame, size: int = BATCH_EVENTS, key: str = "request_id", parts: int | None = None
 ) -> DataFrame:
     """Pack each request's deltas, in order, into batches of `size`; the last may be shorter."""
     texts = F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda e: e["text"])
-    slices = sequence_slice("seq", slice_events)
-    return in_pages(
-        deltas, [key], ["seq"], slices, "batch", size, texts.alias("texts"), hot_rows=hot_rows
-    )
+    return in_pages(deltas, [key], ["seq"], "batch", size, texts.alias("texts"), parts=parts)
 
 
 def final_usage(requests: DataFrame, model_events: DataFrame, key: str = "request_id") -> DataFrame:

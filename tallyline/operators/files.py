@@ -6,15 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.defaults import if_empty
-from tallyline.functions.skew import (
-    HOT_ROWS,
-    SLICE,
-    earlier_slices,
-    hot_keys,
-    sequence_slice,
-    slice_window,
-    with_slices,
-)
+from tallyline.functions.prefix import cut, slice_window, sliced
 
 # Status codes of a file request.
 LISTED, WRITTEN, BAD_REQUEST, NOT_FOUND, FAILED = 200, 201, 400, 404, 500
@@ -81,30 +73,20 @@ def final_changes(ops: DataFrame) -> DataFrame:
     return changes.join(last, ["name", "seq"], "left_semi").select("name", "method", "content", "seq")
 
 
-def file_op_status(
-    ops: DataFrame, hot_rows: int = HOT_ROWS, slice_rows: int = 1_000_000
-) -> DataFrame:
+def file_op_status(ops: DataFrame, parts: int | None = None) -> DataFrame:
     """The status each operation gets when the log is replayed in `seq` order.
 
-    Whether a name exists is decided by the last change before the operation. Operations
-    without a name (listings, bad requests) need no replay and are spread by `seq`. The
-    file bodies take no part: they are not in the result.
+    Whether a name exists is decided by the last change before the operation. The file bodies
+    take no part: they are not in the result.
     """
     named = F.col("name").isNotNull()
     readable = F.col("size").isNotNull()
     wrote = (F.col("method") == "PUT") & readable
     change = F.when(named & (wrote | (F.col("method") == "DELETE")), F.col("method"))
     rows = ops.drop("content").withColumn("_change", change)
-    hot = hot_keys(rows.filter(named), ["name"], hot_rows)
-    slices = with_slices(rows, ["name"], sequence_slice("seq", slice_rows), hot).withColumn(
-        SLICE, F.when(named, F.col(SLICE)).otherwise(F.col("seq").cast("bigint"))
-    )
-    carried = earlier_slices(
-        slices,
-        ["name"],
-        _last=(F.max_by("_change", F.when(F.col("_change").isNotNull(), F.col("seq"))), _last_known),
-    )
-    before = slice_window(["name"], "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    last = F.max_by("_change", F.when(F.col("_change").isNotNull(), F.col("seq")))
+    cuts = cut(rows, ["name"], ["seq"], uses=("_change",), parts=parts, _last=(last, _last_known))
+    before = slice_window(cuts).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     exists = F.coalesce(F.last("_change", ignorenulls=True).over(before), F.col("_last")) == "PUT"
     hit = F.when(exists, LISTED).otherwise(NOT_FOUND)
     status = (
@@ -114,7 +96,7 @@ def file_op_status(
         .otherwise(BAD_REQUEST)
     )
     return (
-        slices.join(carried, ["name", SLICE], "left")
+        sliced(rows, cuts)
         .withColumn("status", status)
         .select(*[c for c in ops.columns if c != "content"], "status")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.compute import broadcast_if_small, once
-from tallyline.functions.skew import HOT_ROWS, in_pages, sequence_slice
+from tallyline.functions.prefix import in_pages
 
 # The three tools, their required arguments, and the default list length.
 TOOLS = [
@@ -166,7 +166,7 @@ def customer_statements(
     start: str | None = None,
     end: str | None = None,
     page_rows: int = 1000,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Per customer, the invoices of the range in date order with count and total.
 
@@ -179,11 +179,10 @@ def customer_statements(
         rows,
         ["customer_name"],
         ["invoice_date", "invoice_id"],
-        sequence_slice("unix_date(invoice_date)", 1),
         "page",
         page_rows,
         listed.alias("invoices"),
-        hot_rows=hot_rows,
+        parts=parts,
     )
     return pages.join(customer_totals(invoices, start, end), "customer_name")
 

@@ -1,13 +1,24 @@
-"""Memory recall: the best records of an actor's namespaces for each query vector."""
+"""Memory recall: the best records of an actor's namespaces for each query vector.
+
+A namespace of more records than a block holds gets a metric index. Some of its records are
+pivots; every record belongs to the block of the nearest pivot by angle, and a block knows its
+largest angle. No record of a block is nearer to a query than the angle to its pivot less that
+radius, so a query leaves out blocks that cannot reach the threshold. It first looks into its
+best block, and then only into those that can beat the score of rank `k` found there.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.functions.compute import stored
+
 # The three namespaces of an actor and the recall settings.
 NAMESPACES = ["/facts/{actor}", "/preferences/{actor}", "/summaries/{actor}/{session}"]
 TOP_K = 3
@@ -16,6 +27,10 @@ THRESHOLD = 0.5
 BLOCK_ROWS = 20_000
 SCORE_PLACES = 6
 SCORES_AT_ONCE = 4_000_000
+MAX_PIVOTS = 1024
+_SPACE = ["namespace", "_length"]
+# Angles of nearly equal vectors are uncertain by the root of the precision; scores are rounded.
+_ANGLE_SLACK, _SCORE_SLACK = 1e-7, 1e-6
 
 
 def actor_namespaces(queries: DataFrame) -> DataFrame:
@@ -57,63 +72,196 @@ def recall_in_namespace(
     """Exact top `k` records (namespace, record_id, embedding) per query (query_id,
     namespace, embedding), by cosine rounded to six places and then record id.
 
-    Both sides of a namespace with more than `block_rows` rows are cut into blocks, and each
-    pair of blocks is one matrix product in its own task, which keeps only the best `k` per
-    query. So no pair of rows is ever a row, and a large namespace is spread over tasks.
-    Vectors meet vectors of their own length only; empty ones and those with a NULL element
-    take no part.
+    Each block of records meets its queries in one matrix product, which keeps only the best
+    `k` per query, so no pair of rows is ever a row. Namespaces of more than `block_rows`
+    records are searched through an index of blocks. Vectors meet vectors of their own length
+    only; empty ones and those with a NULL element take no part.
     """
     # Records nobody asks for stay out of the shuffle; the asked namespaces are usually few.
-    records = records.join(queries.select("namespace").distinct(), "namespace", "left_semi")
-    q_blocks = _blocks(queries, "q_blocks", block_rows)
-    r_blocks = _blocks(records, "r_blocks", block_rows)
-    # Only namespaces above block_rows are listed; Spark picks the join by their measured size.
-    blocks = q_blocks.join(r_blocks, "namespace", "full_outer").select(
-        "namespace",
-        F.coalesce("q_blocks", F.lit(1)).alias("q_blocks"),
-        F.coalesce("r_blocks", F.lit(1)).alias("r_blocks"),
-    )
-    left = _in_blocks(queries, blocks, "query_id", "q", "r")
-    right = _in_blocks(records, blocks, "record_id", "r", "q")
+    records = _usable(records.join(queries.select("namespace").distinct(), "namespace", "left_semi"))
+    queries = _usable(queries)
+    sizes = records.groupBy(*_SPACE).agg(F.count(F.lit(1)).alias("_rows"))
+    large = sizes.filter(F.col("_rows") > block_rows)
+    if large.isEmpty():
+        return _ranked(_scored(_whole(queries, block_rows), _whole(records), queries, records, k, threshold), k)
+    small_found = _scored(
+        _whole(queries.join(large, _SPACE, "left_anti"), block_rows),
+        _whole(records.join(large, _SPACE, "left_anti")),
+        queries, records, k, threshold,
+    )
+    index = block_index(records, large, block_rows)
+    asking = queries.join(large, _SPACE, "left_semi").withColumn("_floor", F.lit(threshold))
+    first = _searched(asking, index, k, threshold, block_rows, home=True)
+    # a query with k records by now wants nothing below the last of them
+    known = first.groupBy("query_id", "namespace").agg(F.min("score").alias("_kth"), F.count(F.lit(1)).alias("_n"))
+    known = known.filter(F.col("_n") >= k).select("query_id", "namespace", "_kth")
+    rest = asking.join(known, ["query_id", "namespace"], "left").withColumn("_floor", F.greatest("_floor", "_kth"))
+    found = first.unionByName(_searched(rest.drop("_kth"), index, k, threshold, block_rows, home=False))
+    return _ranked(small_found.unionByName(found), k)
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
+    return topk_per_namespace(scored, ["query_id", "namespace"], [F.desc("score"), F.asc("record_id")], k)
+
+
+def _usable(df: DataFrame) -> DataFrame:
+    usable = "embedding IS NOT NULL AND size(embedding) > 0 AND NOT exists(embedding, x -> x IS NULL)"
+    return df.filter(usable).withColumn("_length", F.size("embedding"))
+
+
+def _whole(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """All rows of a namespace as block 0, the queries dealt over packs of about `rows`."""
+    if rows is None:
+        return df.withColumn("_block", F.lit(0))
+    packs = df.groupBy(*_SPACE).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("_packs")).filter("_packs > 1")
+    pack = F.pmod(F.xxhash64("query_id"), F.coalesce("_packs", F.lit(1))).cast("int")
+    return df.join(packs, _SPACE, "left").withColumn("_pack", pack).withColumn("_block", F.lit(0)).drop("_packs")
+
+
+def _scored(
+    asking: DataFrame, blocks: DataFrame, queries: DataFrame, records: DataFrame, k: int, threshold: float
+) -> DataFrame:
+    """The best `k` of each block for the queries (with `_block` and `_pack`) that ask for it."""
+    keys = [*_SPACE, "_block", "_pack"]
+    # a block is repeated only for the packs that ask for it
+    calls = asking.select(*keys).distinct()
+    answering = blocks.join(calls, [*_SPACE, "_block"])
     types = dict(queries.dtypes) | dict(records.dtypes)
 
     def best(block_q: pa.Table, block_r: pa.Table) -> pa.Table:
         return _best_in_block(block_q, block_r, k, threshold)
 
-    keys = ["namespace", "_length", "q_block", "r_block"]
-    scored = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
+    return (
+        asking.select(*keys, "query_id", "embedding")
+        .groupBy(*keys)
+        .cogroup(answering.select(*keys, "record_id", "embedding").groupBy(*keys))
         .applyInArrow(
             best,
             f"namespace string, query_id {types['query_id']}, record_id {types['record_id']}, score double",
         )
     )
-    return topk_per_namespace(scored, ["query_id", "namespace"], [F.desc("score"), F.asc("record_id")], k)
 
 
-def _blocks(df: DataFrame, name: str, block_rows: int) -> DataFrame:
-    return (
-        df.groupBy("namespace")
-        .agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
-        .filter(F.col(name) > 1)
+class BlockIndex(NamedTuple):
+    """Records of large namespaces with their `_block`, and per namespace its pivots and radii."""
+
+    records: DataFrame
+    pivots: DataFrame
+
+
+def block_index(records: DataFrame, large: DataFrame, block_rows: int = BLOCK_ROWS) -> BlockIndex:
+    """The index of the namespaces in `large` (namespace, _length, _rows).
+
+    Pivots are the records of least hash, one for each `block_rows` records and at most
+    `MAX_PIVOTS`; a block of more than `block_rows` records is dealt over several of one radius.
+    """
+    count = F.least(F.lit(MAX_PIVOTS), F.ceil(F.col("_rows") / block_rows)).cast("int")
+    mine = records.join(large.withColumn("_count", count), _SPACE)
+    by_hash = Window.partitionBy(*_SPACE).orderBy(F.xxhash64("record_id"), "record_id")
+    chosen = mine.withColumn("_n", F.row_number().over(by_hash)).filter(F.col("_n") <= MAX_PIVOTS).filter("_n <= _count")
+    pivots = chosen.groupBy(*_SPACE).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_n", "embedding"))), lambda x: x["embedding"]).alias("_pivots")
+    )
+    pivots = stored(pivots)
+    salts = F.ceil(F.col("_rows") / block_rows).cast("int")
+    dealt = mine.withColumn("_salt", F.pmod(F.xxhash64("record_id"), salts).cast("int"))
+    repeated = pivots.join(large, _SPACE).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    kind = dict(records.dtypes)["record_id"]
+    vector = dict(records.dtypes)["embedding"]
+    placed = stored(
+        dealt.select(*_SPACE, "_salt", "record_id", "embedding")
+        .groupBy(*_SPACE, "_salt")
+        .cogroup(repeated.select(*_SPACE, "_salt", "_pivots").groupBy(*_SPACE, "_salt"))
+        .applyInArrow(
+            _nearest_pivot,
+            f"namespace string, _length int, record_id {kind}, embedding {vector}, _pivot int, _angle double",
+        )
+    )
+    blocks = placed.groupBy(*_SPACE, "_pivot").agg(
+        F.max("_angle").alias("_radius"), F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_parts")
+    )
+    blocks = stored(blocks)
+    known = blocks.groupBy(*_SPACE).agg(F.collect_list(F.struct("_pivot", "_radius", "_parts")).alias("_blocks"))
+    part = F.pmod(F.xxhash64("record_id"), F.col("_parts")).cast("int")
+    members = placed.join(blocks, [*_SPACE, "_pivot"]).withColumn("_block", F.col("_pivot") + part * MAX_PIVOTS)
+    return BlockIndex(members.select(*_SPACE, "_block", "record_id", "embedding"), pivots.join(known, _SPACE))
+
+
+def _pivot_matrix(table: pa.Table) -> np.ndarray:
+    return _unit_rows(pa.chunked_array([table["_pivots"].combine_chunks().flatten()]))
+
+
+def _angles(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(rows @ pivots.T, -1, 1))
+
+
+def _nearest_pivot(records: pa.Table, pivots: pa.Table) -> pa.Table:
+    angles = _angles(_unit_rows(records["embedding"]), _pivot_matrix(pivots))
+    near = angles.argmin(1)
+    own = records.select(["namespace", "_length", "record_id", "embedding"])
+    return own.append_column("_pivot", pa.array(near.astype(np.int32))).append_column(
+        "_angle", pa.array(angles[np.arange(len(near)), near])
     )
 
 
-def _in_blocks(df: DataFrame, blocks: DataFrame, id_column: str, own: str, other: str) -> DataFrame:
-    """Rows with their own block, repeated for each block of the other side."""
-    n_own = F.coalesce(f"{own}_blocks", F.lit(1))
-    n_other = F.coalesce(f"{other}_blocks", F.lit(1))
+def block_visits(queries: DataFrame, index: BlockIndex, home: bool) -> DataFrame:
+    """Queries (with `_floor`, the least score wanted) and the blocks they must look into: `_visits`
+    and `_known`, the number of blocks. With `home` it is the best block alone, else all others
+    that can reach `_floor`."""
+    salts = 64
+    dealt = queries.withColumn("_salt", F.pmod(F.xxhash64("query_id"), F.lit(salts)).cast("int"))
+    wanted = dealt.select(*_SPACE, "_salt").distinct()
+    types = dict(queries.dtypes)
+
+    def visits(asking: pa.Table, pivots: pa.Table) -> pa.Table:
+        return _visits(asking, pivots, home)
+
     return (
-        df.filter("embedding IS NOT NULL AND size(embedding) > 0 AND NOT exists(embedding, x -> x IS NULL)")
-        .withColumn("_length", F.size("embedding"))
-        .join(blocks, "namespace", "left")
-        .withColumn(f"{own}_block", F.pmod(F.xxhash64(id_column), n_own).cast("int"))
-        .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0), n_other - 1)))
-        .select(*[F.col(c).alias(c) for c in ("namespace", "_length", "q_block", "r_block", id_column, "embedding")])
+        dealt.select(*_SPACE, "_salt", "query_id", "embedding", "_floor")
+        .groupBy(*_SPACE, "_salt")
+        .cogroup(index.pivots.join(wanted, _SPACE).groupBy(*_SPACE, "_salt"))
+        .applyInArrow(
+            visits,
+            f"namespace string, _length int, query_id {types['query_id']}, embedding {types['embedding']}, _floor double, "
+            "_visits array<int>, _known int",
+        )
+    )
+
+
+def _visits(asking: pa.Table, pivots: pa.Table, home: bool) -> pa.Table:
+    own = asking.drop_columns("_salt")
+    lists, known = [], 0
+    if len(asking) and len(pivots):
+        blocks = pivots["_blocks"][0].as_py()
+        number = np.array([b["_pivot"] for b in blocks])
+        radius = np.array([b["_radius"] for b in blocks])
+        known = sum(b["_parts"] for b in blocks)
+        angles = _angles(_unit_rows(asking["embedding"]), _pivot_matrix(pivots)[number])
+        bound = np.cos(np.maximum(angles - radius - _ANGLE_SLACK, 0)) + _SCORE_SLACK
+        best = bound.argmax(1)
+        reach = np.zeros(bound.shape, bool)
+        if not home:
+            reach = bound >= asking["_floor"].to_numpy()[:, None]
+        reach[np.arange(len(best)), best] = home
+        parts = [[b["_pivot"] + p * MAX_PIVOTS for p in range(b["_parts"])] for b in blocks]
+        lists = [[x for n in np.flatnonzero(row) for x in parts[n]] for row in reach]
+    lists = lists or [[] for _ in range(len(asking))]
+    return own.append_column("_visits", pa.array(lists, pa.list_(pa.int32()))).append_column(
+        "_known", pa.array([known] * len(asking), pa.int32())
     )
 
 
+def _searched(
+    asking: DataFrame, index: BlockIndex, k: int, threshold: float, block_rows: int, home: bool
+) -> DataFrame:
+    """The best `k` of the blocks to look into."""
+    went = block_visits(asking, index, home).withColumn("_block", F.explode("_visits"))
+    packs = went.groupBy(*_SPACE, "_block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_packs"))
+    pack = F.pmod(F.xxhash64("query_id"), F.col("_packs")).cast("int")
+    went = stored(went.join(packs, [*_SPACE, "_block"]).withColumn("_pack", pack))
+    return stored(_scored(went, index.records, asking, index.records, k, threshold))
+
+
 def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
     flat = pc.list_flatten(vectors).to_numpy().astype(np.float64)
     matrix = flat.reshape(len(vectors), -1)

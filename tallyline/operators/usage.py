@@ -7,18 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.compute import once
 from tallyline.functions.defaults import if_empty, if_missing
-from tallyline.functions.skew import (
-    HOT,
-    HOT_ROWS,
-    SLICE,
-    WHOLE_KEY,
-    earlier_slices,
-    hot_keys,
-    same_key_join,
-    seconds_slice,
-    slice_window,
-    with_slices,
-)
+from tallyline.functions.prefix import SLICE, SPLIT, Cuts, cut, per_slice, slice_window, sliced
+from tallyline.functions.skew import same_key_join
 from tallyline.schemas import CHAT_BODY, ORDER_BODY, PUBLISH_EVENT
 
 # Defaults and formats the metered service is defined by.
@@ -182,9 +172,8 @@ def budget_admission(
     requests: DataFrame,
     limit: int = MONTHLY_TOKEN_LIMIT,
     opening: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    slice_seconds: int = 60,
     key: str = "request_id",
+    parts: int | None = None,
 ) -> DataFrame:
     """Accept or reject each request (user_id, request_id, ts, tokens_in, tokens_out) in order.
 
@@ -192,34 +181,35 @@ def budget_admission(
     the last accepted one may overshoot. Because token counts are never negative, the sum
     over *all* earlier requests reaches the limit exactly when the accepted sum does, so a
     running sum decides. `opening` (user_id, period, used) holds tokens charged before.
-    A very active tenant-month is cut into time slices (see `functions.skew`). Requests of one
-    time are ordered by `key`, which must tell them apart: `prompt_id` for routed prompts.
+    Requests of one time are ordered by `key`, which must tell them apart: `prompt_id` for
+    routed prompts. Requests without a tenant are those of one tenant. Sums are carried over
+    the ranges of a tenant-month (`functions.prefix`); `parts` sets the number of ranges.
     """
-    keys = TENANT_MONTH
     order = ["ts", key]
     rows = requests.withColumn("period", period_of("ts")).withColumn(
         "_tokens", _tokens("tokens_in") + _tokens("tokens_out")
     )
-    hot = hot_keys(rows, keys, hot_rows)
-    sliced = with_slices(rows, keys, seconds_slice("ts", slice_seconds), hot)
-    carried = _carried_usage(sliced, keys, order, limit, opening, hot)
-
-    before = slice_window(keys, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    cuts = cut(rows, TENANT_MONTH, order, uses=("_tokens",), parts=parts, _earlier=(F.sum("_tokens"), F.sum))
+    placed = sliced(rows, cuts)
+    if opening is None:
+        placed = placed.withColumn("_used", F.lit(0).cast("bigint"))
+    else:
+        used = opening.select(*TENANT_MONTH, F.col("used").cast("bigint").alias("_used"))
+        placed = same_key_join(placed, per_slice(used, cuts), [*TENANT_MONTH, SLICE], "left")
+    placed = placed.withColumn("_used", F.coalesce("_used", F.lit(0))).withColumn(
+        "_base", F.col("_used") + F.coalesce("_earlier", F.lit(0))
+    )
+    placed = _with_stops(placed, cuts, limit)
+    before = slice_window(cuts).rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     limit_ = F.lit(limit).cast("bigint")
+    total_then = F.when(F.col("accepted"), F.col("_before") + F.col("_tokens"))
     return (
-        same_key_join(sliced, carried, [*keys, SLICE], "left")
-        .withColumn("_base", F.coalesce("_base", F.lit(0)))
-        .withColumn("_before", F.col("_base") + F.coalesce(F.sum("_tokens").over(before), F.lit(0)))
+        placed.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_tokens").over(before), F.lit(0)))
         .withColumn("accepted", F.col("_before") < limit_)
-        .withColumn(
-            "_reached",
-            F.max(F.when(F.col("accepted"), F.col("_before") + F.col("_tokens"))).over(before),
-        )
+        .withColumn("_reached", F.max(total_then).over(before))
         .withColumn(
             "used",
-            F.when(F.col("accepted"), F.col("_before")).otherwise(
-                F.coalesce("_reached", "_frozen", "_base")
-            ),
+            F.when(F.col("accepted"), F.col("_before")).otherwise(F.coalesce("_reached", "_stop", "_used")),
         )
         .select(
             *requests.columns,
@@ -235,43 +225,23 @@ def budget_admission(
     )
 
 
-def _carried_usage(sliced, keys, order, limit, opening, hot) -> DataFrame:
-    """Per slice: tokens before it (`_base`) and, past the limit, the total it froze at."""
-    slices = earlier_slices(sliced, keys, own=True, _earlier=(F.sum("_tokens"), F.sum))
-    if opening is None:
-        based = slices.withColumn("_used", F.lit(0).cast("bigint"))
-    else:
-        used = opening.select(*keys, F.col("used").cast("bigint").alias("_used"))
-        based = slices.join(used, keys, "left").withColumn("_used", F.coalesce("_used", F.lit(0)))
-    based = based.withColumn("_base", F.col("_used") + F.coalesce("_earlier", F.lit(0)))
-    crossing = based.filter(
-        (F.col("_base") < limit) & (F.col("_base") + F.col("_earlier_own") >= limit)
-    )
-    # One slice of each hot tenant at most, so the crossing slices are as few as the hot tenants.
-    through = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    frozen = (
-        sliced.filter(HOT)
-        .join(F.broadcast(crossing.select(*keys, SLICE, "_base")), [*keys, SLICE])
+def _with_stops(placed: DataFrame, cuts: Cuts, limit: int) -> DataFrame:
+    """Add `_stop`, the total at which a tenant-month of several ranges stopped in an earlier one.
+
+    It stops in one range, known from the carried sums, whose rows are looked at once more.
+    """
+    if cuts.table is None:
+        return placed.withColumn("_stop", F.lit(None).cast("bigint"))
+    through = slice_window(cuts).rowsBetween(Window.unboundedPreceding, 0)
+    stops = (
+        placed.filter(F.col(SPLIT) & (F.col("_base") < limit) & (F.col("_base") + F.col("_earlier_own") >= limit))
         .withColumn("_total", F.col("_base") + F.sum("_tokens").over(through))
         .filter(F.col("_total") >= limit)
-        .groupBy(*keys)
+        .groupBy(*TENANT_MONTH)
         .agg(F.min("_total").alias("_stop"))
     )
-    carried = based.join(frozen, keys, "left").select(
-        *keys,
-        SLICE,
-        "_base",
-        F.when(F.col("_base") >= limit, F.coalesce("_stop", "_used")).alias("_frozen"),
-    )
-    if opening is None:
-        return carried
-    ordinary = used.join(F.broadcast(hot), keys, "left_anti").select(
-        *keys,
-        F.lit(WHOLE_KEY).alias(SLICE),
-        F.col("_used").alias("_base"),
-        F.lit(None).cast("bigint").alias("_frozen"),
-    )
-    return carried.unionByName(ordinary)
+    # no more rows than keys that span ranges
+    return same_key_join(placed, F.broadcast(stops), TENANT_MONTH, "left")
 
 
 def usage_counters(accepted: DataFrame, counter_days: int = COUNTER_DAYS) -> DataFrame:

@@ -80,7 +80,7 @@ def customer_statements(spark, sf):
 
 
 def customer_statements_sliced(spark, sf):
-    return _statements(spark, sf, hot_rows=8)
+    return _statements(spark, sf, parts=300)
 
 
 def recent_invoices(spark, sf):

@@ -41,7 +41,7 @@ def chunk_batches(spark, sf):
 
 
 def chunk_batches_sliced(spark, sf):
-    return _batches(spark, sf, hot_rows=50, slice_events=32)
+    return _batches(spark, sf, parts=40)
 
 
 def final_usage(spark, sf):
@@ -93,7 +93,7 @@ def file_op_status(spark, sf):
 
 
 def file_op_status_sliced(spark, sf):
-    return plain(FI.file_op_status(_ops(spark, sf), hot_rows=12, slice_rows=1000))
+    return plain(FI.file_op_status(_ops(spark, sf), parts=40))
 
 
 def _stored(spark, sf) -> str:

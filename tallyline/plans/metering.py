@@ -71,7 +71,7 @@ def budget_admission(spark, sf):
 
 
 def budget_admission_sliced(spark, sf):
-    return plain(_admission(spark, sf, hot_rows=40, slice_seconds=86400))
+    return plain(_admission(spark, sf, parts=300))
 
 
 def current_usage(spark, sf):
@@ -131,8 +131,15 @@ def normalize_rejects(spark, sf):
     return U.normalize_requests(_bodies(spark, sf), "chat", key=["event_id"])[1]
 
 
+def _stored(spark, rows, label):
+    """Rows that several steps read, written once."""
+    path = work_dir(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _asked(spark, sf):
-    return U.route_prompts(V.publishes(spark, sf))[0]
+    return _stored(spark, U.route_prompts(V.publishes(spark, sf))[0], "prompts")
 
 
 def _model_events(asked):
@@ -150,26 +157,26 @@ def _model_events(asked):
     return deltas.unionByName(usage, allowMissingColumns=True)
 
 
-def _decided(spark, sf):
-    prompts = _asked(spark, sf)
+def _decided(spark, prompts):
     asked = A.final_usage(prompts, _model_events(prompts), key="prompt_id")
     asked = asked.select("user_id", "request_id", "prompt_id", "ts", "tokens_in", "tokens_out")
     cost = U.cost_of(F.col("tokens_in"), F.col("tokens_out"), U.PRICE_IN_PER_1K, U.PRICE_OUT_PER_1K)
-    return U.budget_admission(asked, LIMIT, key="prompt_id").withColumn("cost_usd", cost)
+    decided = U.budget_admission(_stored(spark, asked, "asked"), LIMIT, key="prompt_id")
+    return decided.withColumn("cost_usd", cost)
 
 
 def out_events(spark, sf):
     """Tokens of the answers, errors and done events; decisions are stored before the feed reads them."""
-    path = work_dir(spark, "decided")
-    _decided(spark, sf).write.parquet(path)
-    deltas = A.text_deltas(_model_events(_asked(spark, sf)))
-    return plain(A.out_events(deltas, spark.read.parquet(path), key="prompt_id"))
+    prompts = _asked(spark, sf)
+    decided = _stored(spark, _decided(spark, prompts), "decided")
+    deltas = A.text_deltas(_model_events(prompts))
+    return plain(A.out_events(deltas, decided, key="prompt_id"))
 
 
 def metered_chat(spark, sf):
     """The flagship: publishes are routed, answered, admitted by what their answers use, and
     recorded in the lake as JSON lines; the bill is read from the lake."""
-    accepted = _decided(spark, sf).filter("accepted")
+    accepted = _decided(spark, _asked(spark, sf)).filter("accepted")
     records = U.usage_records(
         accepted.withColumnRenamed("ts", "started").withColumn("ended", F.col("started")), "model-a"
     )

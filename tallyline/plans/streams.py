@@ -8,13 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.lifecycle import assignment_epochs
 from tallyline.plans import views as V
 from tallyline.plans.commerce import order_decisions_sql
 from tallyline.plans.common import USAGE_MONTHS_SQL, USAGE_SQL, plain, work_dir
 from tallyline.plans.content import BATCHES_SQL, WORDS_SQL
 from tallyline.plans.metering import LIMIT, admission_sql
-from tallyline.plans.sessions import REGISTRY_SQL, registry_inputs
+from tallyline.plans.sessions import REGISTRY_SQL, registry_inputs_from
 from tallyline.sources.usage_lake import parse_usage, read_usage_errors, read_usage_lake
 from tallyline.sources.usage_lake import usage_ingest as ingest
 from tallyline.streaming import answers as SA
@@ -25,6 +24,7 @@ from tallyline.streaming import usage as SU
 NOW = {"availableNow": True}
 FROM_DT, TO_DT = "2024-01-10", "2024-01-20"
 GAP, DELAY = "6 hours", "1 hour"
+BATCHES = 3
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,22 +33,45 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")
 
 
+def in_batches(rows: DataFrame, path: str, batches: int = BATCHES, ts: str = "ts") -> DataFrame:
+    """A table as a stream of `batches` micro-batches in the order of time, one file each.
+
+    The bounds are quantiles of all rows; rows without a time come first. This is a feed for
+    queries that must see state across batches: each file is written by one task.
+    """
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    shares = [k / batches for k in range(1, batches)]
+    bounds = rows.agg(F.percentile_approx(at, shares, 1000)).first()[0] or []
+    number = F.lit(0)
+    for bound in bounds:
+        number = number + F.coalesce((at > bound).cast("int"), F.lit(0))
+    for k in range(batches):
+        rows.filter(number == k).coalesce(1).write.parquet(f"{path}/batch={k}")
+    source = rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+    return source.parquet(f"{path}/batch=*")
+
+
 def _cores(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _requests_in_batches(spark, sf, home) -> DataFrame:
+    """The requests of all months in the order of their time, in several batches."""
+    return in_batches(V.requests_from(V.table(spark, sf, "events"), months=True), f"{home}/in")
+
+
 def stream_usage_counters(spark, sf):
     home = work_dir(spark, "counters")
-    requests = V.requests_from(stream(spark, sf, "events"), months=True)
-    SU.stream_usage_counters(requests, f"{home}/table", f"{home}/checkpoint").awaitTermination()
+    SU.stream_usage_counters(
+        _requests_in_batches(spark, sf, home), f"{home}/table", f"{home}/checkpoint"
+    ).awaitTermination()
     return plain(SU.read_counters(spark, f"{home}/table"))
 
 
 def stream_budget_admission(spark, sf):
     home = work_dir(spark, "admission")
-    requests = V.requests_from(stream(spark, sf, "events"), months=True)
     SU.stream_budget_admission(
-        requests, LIMIT, f"{home}/decisions", f"{home}/counters", f"{home}/checkpoint"
+        _requests_in_batches(spark, sf, home), LIMIT, f"{home}/decisions", f"{home}/counters", f"{home}/checkpoint"
     ).awaitTermination()
     return plain(spark.read.parquet(f"{home}/decisions").drop("batch_id"))
 
@@ -74,12 +97,12 @@ def stream_sessions(spark, sf):
 
 
 def stream_session_registry(spark, sf):
-    """Offers with the epoch the failures before them put their session in."""
+    """Assignments and failures as two streams, in several batches."""
     home = work_dir(spark, "registry")
-    offers = assignment_epochs(*registry_inputs(spark, sf))
-    offers.write.parquet(f"{home}/offers")
-    source = spark.readStream.schema(offers.schema).parquet(f"{home}/offers")
-    SS.stream_session_registry(source, f"{home}/table", f"{home}/checkpoint").awaitTermination()
+    events = in_batches(V.table(spark, sf, "events"), f"{home}/in")
+    SS.stream_session_registry(
+        *registry_inputs_from(events), f"{home}/table", f"{home}/checkpoint", partitions=_cores(spark)
+    ).awaitTermination()
     return plain(SS.read_registry(spark, f"{home}/table"))
 
 

@@ -5,33 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.skew import HOT_ROWS
 from tallyline.operators.keyed import keyed_merge
 from tallyline.operators.usage import (
     COUNTER_DAYS,
     TENANT_MONTH,
     budget_admission,
+    period_of,
     ttl_filter,
     usage_counters,
 )
 from tallyline.schemas import COUNTERS
-from tallyline.sources.usage_lake import in_areas, parse_usage
-from tallyline.streaming.versions import (
-    batch_folder,
-    before_batch,
-    read_newest,
-    start_batches,
-    write_version,
-)
+from tallyline.sources.key_table import BUCKETS, KeyTable
+from tallyline.sources.usage_lake import compact_usage_lake, in_areas, parse_usage, write_commit
+from tallyline.streaming.versions import batch_folder, start_batches
 
 LAKE_TRIGGER = {"processingTime": "60 seconds"}
+COMPACT_EVERY = 60
+
+
+def counter_table(spark: SparkSession, counters: str, buckets: int = BUCKETS) -> KeyTable:
+    """The counters of all tenant-months, stored by key."""
+    return KeyTable(spark, counters, TENANT_MONTH, COUNTERS, buckets)
 
 
-def add_to_counters(counters: DataFrame, accepted: DataFrame) -> DataFrame:
+def _charge(counters: DataFrame, accepted: DataFrame) -> DataFrame:
     """Counters after charging accepted requests; the expiry stays that of the first write."""
     return keyed_merge(
         counters,
-        usage_counters(accepted).withColumn("_no", F.lit(0)),
+        accepted.withColumn("_no", F.lit(0)),
         TENANT_MONTH,
         ["_no"],
         add=["total_tokens", "tokens_in", "tokens_out", "requests"],
@@ -39,31 +40,39 @@ def add_to_counters(counters: DataFrame, accepted: DataFrame) -> DataFrame:
     )
 
 
-def _alive(counters: DataFrame, batch: DataFrame) -> DataFrame:
-    """Counters not expired at the newest request of the batch."""
+def _charge_alive(batch: DataFrame):
+    """`_charge` that drops counters which had expired at the newest request of the batch."""
     newest = batch.agg(F.max("ts")).first()[0]
-    return counters if newest is None else ttl_filter(counters, F.lit(newest).cast("timestamp"), COUNTER_DAYS)
+    if newest is None:
+        return _charge
+    now = F.lit(newest).cast("timestamp")
+    return lambda counters, accepted: _charge(ttl_filter(counters, now, COUNTER_DAYS), accepted)
 
 
 def stream_usage_counters(
-    accepted: DataFrame, counters: str, checkpoint: str, trigger: dict | None = None, purge: bool = False
+    accepted: DataFrame,
+    counters: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    purge: bool = False,
+    buckets: int = BUCKETS,
 ):
     """Keep the counter table at `counters` up to date with a stream of accepted requests.
 
-    A micro-batch is summed per tenant-month before it meets the table, so neither state nor
-    work depends on how active a tenant is. With `purge`, expired counters leave the table.
+    A micro-batch is summed per tenant-month before it meets the table, and only the buckets of
+    its tenant-months are read and written again (`sources.key_table`). With `purge`, expired
+    counters leave a bucket when it is written.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        base = before_batch(batch.sparkSession, counters, batch_id, COUNTERS)
-        base = _alive(base, batch) if purge else base
-        write_version(add_to_counters(base, batch), counters, batch_id)
+        change = _charge_alive(batch) if purge else _charge
+        counter_table(batch.sparkSession, counters, buckets).apply(batch_id, usage_counters(batch), change)
 
     return start_batches(accepted, each, checkpoint, trigger)
 
 
 def read_counters(spark: SparkSession, counters: str) -> DataFrame:
-    return read_newest(spark, counters, COUNTERS)
+    return counter_table(spark, counters).read()
 
 
 def stream_budget_admission(
@@ -73,26 +82,32 @@ def stream_budget_admission(
     counters: str,
     checkpoint: str,
     trigger: dict | None = None,
-    hot_rows: int = HOT_ROWS,
+    purge: bool = False,
+    buckets: int = BUCKETS,
+    parts: int | None = None,
 ):
     """Admit or reject a stream of requests against the counters of the batches before.
 
     Decisions go to `decisions`, one folder per batch. Inside a batch the batch operator
-    decides in time order, a busy tenant being sliced. Requests that arrive in a later batch
-    count as later: the answer equals the batch answer when arrival is in order.
+    decides in time order, a busy tenant being cut into ranges. Of the counters, only the
+    buckets of the batch's tenant-months are read, and written again if it was charged.
+    Requests that arrive in a later batch count as later: the answer equals the batch answer
+    when arrival is in order. With `purge`, a counter ends with its month's expiry.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        table = counter_table(spark, counters, buckets)
         batch = batch.persist()
         try:
-            base = before_batch(spark, counters, batch_id, COUNTERS)
+            asking = batch.select("user_id", period_of("ts").alias("period"))
+            base = table.read(batch_id - 1, table.touched(asking, batch_id - 1))
             used = base.select(*TENANT_MONTH, F.col("total_tokens").alias("used"))
             out = batch_folder(decisions, batch_id)
-            decided = budget_admission(batch, limit, used, hot_rows)
+            decided = budget_admission(batch, limit, used, parts=parts)
             decided.write.mode("overwrite").parquet(out)
             accepted = spark.read.schema(decided.schema).parquet(out).filter("accepted")
-            write_version(add_to_counters(base, accepted), counters, batch_id)
+            table.apply(batch_id, usage_counters(accepted), _charge_alive(batch) if purge else _charge)
         finally:
             batch.unpersist()
 
@@ -122,24 +137,24 @@ def usage_lake_write(
 
 
 def stream_usage_lake(
-    lines: DataFrame, path: str, checkpoint: str, dt_from: str = "event", trigger: dict | None = None
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    dt_from: str = "event",
+    trigger: dict | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ):
     """A stream of usage JSON lines to the lake, bad lines to its error area.
 
-    Each batch owns its `batch_id=` folders and overwrites only those, so a repeated batch
-    leaves no duplicates. Rebalancing by day aims at files of the advisory size. When
+    Each batch owns its commit folders and overwrites only those, so a repeated batch leaves
+    no duplicates; its files follow the advisory size. Every `compact_every` batches, days
+    with more than as many commits are compacted, so the files of a day stay few. When
     repeated after midnight, `arrival` days may differ; use `event` where that matters.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        (
-            in_areas(parse_usage(batch), dt_from)
-            .withColumn("batch_id", F.lit(batch_id))
-            .hint("rebalance", "area", "dt")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("area", "dt", "batch_id")
-            .parquet(path)
-        )
+        write_commit(parse_usage(batch), path, f"s-{batch_id:012d}", dt_from)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_usage_lake(batch.sparkSession, path, compact_every)
 
     return start_batches(lines, each, checkpoint, trigger or LAKE_TRIGGER)

@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _VERSION = "_version"
+# Keyed state of any shape needs the store that keeps it on disk and logs its changes.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _slot(path: str, version: int) -> str:
@@ -44,24 +49,27 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 
 @contextmanager
-def stateful_start(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+def stateful_start(spark: SparkSession, partitions: int | None, more: dict | None = None) -> Iterator[None]:
     """The settings a stateful query is started with.
 
     A query keeps its number of state partitions for as long as its checkpoint lives, so it
     is chosen by the size of the state rather than left to the session. Sessions are merged
     before the shuffle, so that a busy one arrives as few rows.
     """
-    wanted = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+    wanted = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"} | (more or {})
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {name: spark.conf.get(name) for name in wanted}
+    before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
     try:
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def start_batches(

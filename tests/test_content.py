@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tallyline.operators import answers as A
 from tallyline.operators import files as FI
 from tallyline.operators import memory as M
@@ -47,7 +48,7 @@ def test_deltas_and_usage(spark):
     assert usage == {"a": (7, 0), "b": (0, 0), "c": (0, 0), "d": (0, 0)}
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 20, "slice_events": 16}])
+@pytest.mark.parametrize("options", [{}, {"parts": 12}])
 def test_batches_put_the_answer_back_together(spark, options):
     rng = random.Random(5)
     words = {r: [f"{r}{i} " for i in range(n)] for r, n in (("a", 143), ("b", 5), ("c", 1), ("d", 11))}
@@ -119,7 +120,7 @@ def file_ops(spark, log):
     return FI.file_ops_normalize(raw)
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 2, "slice_rows": 5}])
+@pytest.mark.parametrize("options", [{}, {"parts": 9}])
 def test_file_log_by_hand(spark, options):
     ops = file_ops(spark, LOG)
     got = {r["seq"]: (r["name"], r["content"]) for r in ops.collect()}
@@ -203,6 +204,26 @@ def test_recall_equals_brute_force(spark, block_rows, threshold):
     assert got == brute_recall(queries, records, 3, threshold)
 
 
+@pytest.mark.parametrize("threshold", [-1.0, 0.3, 0.9])
+def test_recall_in_a_large_namespace_leaves_blocks_out(spark, threshold):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 6))
+    vectors = lambda n: (centres[rng.integers(0, 20, n)] + 0.1 * rng.normal(size=(n, 6))).round(3)
+    records = [("/big", f"m{i:03d}", [float(x) for x in v]) for i, v in enumerate(vectors(400))]
+    records += [("/big", f"same{i}", records[0][2]) for i in range(30)] + [("/small", "s", [1.0] * 6), ("/big", "zero", [0.0] * 6)]
+    queries = [(i, "/big", [float(x) for x in v]) for i, v in enumerate(vectors(30))] + [(40, "/big", [0.0] * 6), (41, "/small", [1.0] * 6)]
+    asked = spark.createDataFrame(queries, "query_id BIGINT, namespace STRING, embedding ARRAY<FLOAT>")
+    stored = spark.createDataFrame(records, "namespace STRING, record_id STRING, embedding ARRAY<FLOAT>")
+    found = M.recall_in_namespace(asked, stored, 3, threshold, 16)
+    got = {(r["query_id"], r["namespace"], r["record_id"], r["score"] + 0.0, r["rank"]) for r in found.collect()}
+    assert got == brute_recall(queries, records, 3, threshold)
+    usable = M._usable(stored)
+    index = M.block_index(usable, usable.groupBy("namespace", "_length").count().filter("count > 16").withColumnRenamed("count", "_rows"), 16)
+    large = M._usable(asked).filter("namespace = '/big' AND query_id < 40").withColumn("_floor", F.lit(0.9))
+    looked = M.block_visits(large, index, home=False).selectExpr("sum(size(_visits)) AS into", "sum(_known) AS known").first()
+    assert looked["known"] > 30 * 20 and looked["into"] < looked["known"] / 3
+
+
 def test_vectors_of_other_lengths_do_not_meet(spark):
     queries = spark.createDataFrame([(1, "n", [1.0, 0.0]), (2, "n", [])], "query_id INT, namespace STRING, embedding ARRAY<FLOAT>")
     records = [("n", "a", [1.0, 0.0]), ("n", "b", [1.0, 0.0, 0.0]), ("n", "c", [1.0]), ("n", "d", [1.0, None]), ("n", "e", None)]

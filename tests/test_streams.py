@@ -6,9 +6,11 @@ import os
 import random
 
 import pytest
+from tallyline.operators import lifecycle as L
 from tallyline.operators import usage as U
 from tallyline.schemas import MODEL_EVENT
 from tallyline.sources import usage_lake as UL
+from tallyline.sources.key_table import KeyTable
 from tallyline.streaming import answers as SA
 from tallyline.streaming import approvals as SP
 from tallyline.streaming import sessions as SS
@@ -84,14 +86,14 @@ def test_counters_purge(spark, folder):
     assert [r["period"] for r in SU.read_counters(spark, f"{folder}/counters").collect()] == ["2025-09"]
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
-def test_admission_in_batches_equals_the_whole(spark, folder, requests, hot_rows):
+@pytest.mark.parametrize("parts", [6, None])
+def test_admission_in_batches_equals_the_whole(spark, folder, requests, parts):
     source, rows = requests
     for again in (False, True):
         if again:
             forget_last_commit(f"{folder}/cp")
         SU.stream_budget_admission(
-            source.stream(), 600, f"{folder}/out", f"{folder}/counters", f"{folder}/cp", hot_rows=hot_rows
+            source.stream(), 600, f"{folder}/out", f"{folder}/counters", f"{folder}/cp", parts=parts
         ).awaitTermination()
         want = U.budget_admission(rows, 600)
         got = spark.read.parquet(f"{folder}/out").select(*want.columns)
@@ -124,6 +126,67 @@ def test_lake(spark, folder):
         assert {r["value"] for r in errors.collect()} == {"broken", '{"tokens_in": "x"}', '{"ts": "soon"}'} and errors.count() == 3
 
 
+LINE = '{"user_id":"u","request_id":"%s","tokens_in":1,"ts":"2025-06-0%d 10:00:00"}'
+
+
+def requests_in(spark, lake, *days):
+    return sorted(r["request_id"] for r in UL.read_usage_lake(spark, lake, *days).collect())
+
+
+def test_files_are_ingested_once(spark, folder):
+    paths = []
+    for k in range(3):
+        paths.append(f"file:{folder}/in{k}.txt")
+        with open(f"{folder}/in{k}.txt", "w") as out:
+            out.write("\n".join(LINE % (f"{k}{d}", d) for d in (1, 2)))
+    lake = f"{folder}/lake"
+    assert UL.usage_ingest_files(spark, paths[:2], lake) == paths[:2]
+    assert UL.usage_ingest_files(spark, paths[:2], lake) == []
+    assert UL.usage_ingest_files(spark, paths, lake) == paths[2:]
+    assert requests_in(spark, lake) == ["01", "02", "11", "12", "21", "22"]
+    lines = spark.read.text(paths[0])
+    for _ in range(2):
+        UL.usage_ingest(lines, lake, batch="again")
+    assert len(requests_in(spark, lake)) == 8
+    # a job that ended before its commit leaves nothing that counts
+    UL.write_commit(UL.parse_usage(lines), lake, "i-lost")
+    assert len(requests_in(spark, lake)) == 8
+
+
+def test_compaction_shows_every_record_once(spark, folder, monkeypatch):
+    lines = Source(spark, f"{folder}/in", "value STRING")
+    for k in range(7):
+        lines.add([(LINE % (f"{k}{d}", d),) for d in range(1, 1 + k % 3 + 1)] + [(f"broken {k}",)])
+    lake = f"{folder}/lake"
+    for again in (False, True):
+        if again:
+            forget_last_commit(f"{folder}/cp")
+        SU.stream_usage_lake(lines.stream(), lake, f"{folder}/cp", trigger=NOW, compact_every=3).awaitTermination()
+        want = sorted(f"{k}{d}" for k in range(7) for d in range(1, 1 + k % 3 + 1))
+        assert requests_in(spark, lake) == want
+        assert len(UL.live_commits(lake, "usage", "2025-06-01", set())) <= 4
+        assert UL.read_usage_errors(spark, lake).count() == 7
+    before = UL.read_usage_lake(spark, lake)
+    switched, write = [], UL.write_json
+    monkeypatch.setattr(UL, "write_json", lambda p, c: (switched.append(requests_in(spark, lake)), write(p, c)))
+    assert UL.compact_usage_lake(spark, lake, commits=1) and all(x == want for x in switched)
+    assert sorted(r["request_id"] for r in before.collect()) == want  # a reader that had begun
+    monkeypatch.undo()
+    UL.forget_replaced(lake)
+    assert requests_in(spark, lake) == want and UL.compact_usage_lake(spark, lake, commits=1) == []
+    assert len(glob.glob(f"{lake}/area=usage/dt=2025-06-01/*")) == 1
+
+
+def test_only_the_asked_days_are_looked_into(spark, folder, monkeypatch):
+    lake = f"{folder}/lake"
+    UL.usage_ingest(spark.createDataFrame([(LINE % (d, d),) for d in range(1, 8)], "value STRING"), lake)
+    looked, names = [], UL.names_in
+    monkeypatch.setattr(UL, "names_in", lambda p: (looked.append(p), names(p))[1])
+    rows = UL.read_usage_lake(spark, lake, "2025-06-03", "2025-06-04")
+    assert [p[-10:] for p in looked if "/dt=" in p] == ["2025-06-03", "2025-06-04"]
+    assert {p.split("/dt=")[1][:10] for p in rows.inputFiles()} == {"2025-06-03", "2025-06-04"} and rows.count() == 2
+
+
 def test_late_decisions_count_by_the_log(spark, folder):
     orders = Source(spark, f"{folder}/orders", "order_id BIGINT, submitted TIMESTAMP")
     orders.add([(1, at(0))]).add([(4, at(30 * 86400))])
@@ -175,15 +238,53 @@ def test_sessions_close_after_the_gap(spark, folder):
     assert got == [(1, at(0), at(600), 2), (1, at(901), at(1201), 1), (2, at(10), at(310), 1)]
 
 
-def test_registry_keeps_the_first_resource(spark, folder):
-    source = Source(spark, f"{folder}/in", "session_id BIGINT, epoch BIGINT, ts TIMESTAMP, resource BIGINT")
-    source.add([(1, 0, at(5), 11), (1, 0, at(4), 10)]).add([(1, 0, at(9), 12), (1, 1, at(9), 13), (2, 0, at(9), 14)])
+def test_registry_takes_failures_as_they_happen(spark, folder):
+    rng = random.Random(11)
+    rows = [(rng.choice([1, 1, 1, 2, None]), at(30 * i), rng.choice([0, 1, 1]), 1000 - i if i % 7 else 2**60 + i) for i in range(300)]
+    source = Source(spark, f"{folder}/in", "session_id BIGINT, ts TIMESTAMP, held INT, resource BIGINT")
+    for part in range(0, len(rows), 100):
+        batch = rows[part : part + 100]
+        source.add(rng.sample(batch, len(batch)))
+    got, stream = (source.stream() for _ in range(2))
     for again in (False, True):
         if again:
             forget_last_commit(f"{folder}/cp")
-        SS.stream_session_registry(source.stream(), f"{folder}/t", f"{folder}/cp").awaitTermination()
-        rows = SS.read_registry(spark, f"{folder}/t").collect()
-        assert sorted((r["session_id"], r["epoch"], r["resource"]) for r in rows) == [(1, 0, 10), (1, 1, 13), (2, 0, 14)]
+        SS.stream_session_registry(
+            got.filter("held = 1").drop("held"), stream.filter("held = 0").select("session_id", "ts"), f"{folder}/t", f"{folder}/cp", partitions=2
+        ).awaitTermination()
+        every = spark.createDataFrame(rows, source.schema)
+        want = L.session_registry(every.filter("held = 1"), every.filter("held = 0"), parts=7)
+        rows_of = lambda df: sorted(str(tuple(r)) for r in df.select("session_id", "epoch", "since", "resource").collect())
+        assert rows_of(SS.read_registry(spark, f"{folder}/t")) == rows_of(want)
+
+
+def test_untouched_buckets_keep_their_files(spark, folder):
+    table = KeyTable(spark, f"{folder}/t", ["k"], "k BIGINT, n BIGINT", buckets=8)
+    files = lambda: {p for p in glob.glob(f"{folder}/t/data/*/*/*.parquet")}
+    log = "k BIGINT, n BIGINT, no INT"
+    table.merge(0, spark.createDataFrame([(k, k, 0) for k in range(40)], log), ["no"], add=["n"])
+    first = files()
+    change = spark.createDataFrame([(3, 100, 1), (3, 5, 2)], log)
+    for _ in range(2):  # a repeated version changes nothing
+        table.merge(1, change, ["no"], add=["n"])
+        second = files()
+        assert len(second - first) == 1 and len(first) == 8 and first < second
+        assert {r["k"]: r["n"] for r in table.read().collect()} == {k: k + 105 * (k == 3) for k in range(40)}
+    assert {r["n"] for r in table.read(0).filter("k = 3").collect()} == {3}
+    table.merge(2, spark.createDataFrame([(50, 1, 0)], log), ["no"], add=["n"])
+    assert len(files()) <= 10 and table.versions() == [1, 2]
+    assert table.read().count() == 41 and table.read(1).count() == 40
+    gone = spark.createDataFrame([(k, None, 0, True) for k in range(51)], "k BIGINT, n BIGINT, no INT, gone BOOLEAN")
+    table.merge(3, gone, ["no"], add=["n"], delete_flag="gone")
+    assert table.read().count() == 0 and table.read(2).count() == 41
+
+
+def test_a_batch_reads_only_its_buckets(spark, folder):
+    table = SU.counter_table(spark, f"{folder}/c", 16)
+    rows = spark.createDataFrame(usage_rows(), REQUESTS)
+    table.apply(0, U.usage_counters(rows), SU._charge)
+    touched = table.touched(spark.createDataFrame([("a", "2025-05")], "user_id STRING, period STRING"))
+    assert len(touched) == 1 and 0 < len(table.read(0, touched).inputFiles()) < len(table.read(0).inputFiles())
 
 
 def test_text_assembly(spark, folder):

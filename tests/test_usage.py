@@ -33,7 +33,7 @@ def generate(seed, n=400):
     rng = random.Random(seed)
     return [
         (
-            "hot" if rng.random() < 0.6 else f"u{rng.randrange(6)}",
+            None if rng.random() < 0.6 else f"u{rng.randrange(6)}",
             f"r{i:04d}",
             START + datetime.timedelta(seconds=rng.randrange(0, 7200)),
             rng.choice([None, 0, 1, rng.randrange(30)]),
@@ -45,22 +45,22 @@ def generate(seed, n=400):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("limit", [1, 500, 2500])
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_admission_equals_simulation(spark, seed, limit, hot_rows):
+@pytest.mark.parametrize("parts", [9, None])
+def test_admission_equals_simulation(spark, seed, limit, parts):
     rows = generate(seed)
-    decided = U.budget_admission(spark.createDataFrame(rows, SCHEMA), limit, hot_rows=hot_rows, slice_seconds=60)
+    decided = U.budget_admission(spark.createDataFrame(rows, SCHEMA), limit, parts=parts)
     got = {r["request_id"]: (r["accepted"], r["used"], r["remaining"]) for r in decided.collect()}
     assert got == simulate(rows, limit)
 
 
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_admission_with_opening_balances(spark, hot_rows):
+@pytest.mark.parametrize("parts", [9, None])
+def test_admission_with_opening_balances(spark, parts):
     rows = generate(9)
-    opening = {("hot", "2025-05"): 700, ("u1", "2025-05"): 5000, ("u2", "2025-06"): 40, ("gone", "2025-05"): 3}
+    opening = {(None, "2025-05"): 700, ("u1", "2025-05"): 5000, ("u2", "2025-06"): 40, ("gone", "2025-05"): 3}
     used = spark.createDataFrame([(*k, v) for k, v in opening.items()], "user_id STRING, period STRING, used BIGINT")
     for limit in (600, 1500):
         decided = U.budget_admission(
-            spark.createDataFrame(rows, SCHEMA), limit, used, hot_rows=hot_rows, slice_seconds=60
+            spark.createDataFrame(rows, SCHEMA), limit, used, parts=parts
         )
         got = {r["request_id"]: (r["accepted"], r["used"], r["remaining"]) for r in decided.collect()}
         assert got == simulate(rows, limit, opening)
@@ -144,11 +144,11 @@ def test_prompts_of_one_publish_keep_apart(spark):
     assert {r["prompt_id"]: r["answer"] for r in answers} == {"i1#0": "a", "i1#1": "b", "i1#2": "c"}
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1000])
-def test_rows_without_a_tenant_can_be_hot(spark, hot_rows):
+@pytest.mark.parametrize("parts", [4, None])
+def test_rows_without_a_tenant_can_be_hot(spark, parts):
     at = datetime.datetime(2025, 1, 1)
     rows = [(None if k % 2 else "a", f"{k:02d}", at + datetime.timedelta(minutes=k), 10, 0) for k in range(18)]
-    decided = U.budget_admission(spark.createDataFrame(rows, SCHEMA), 45, hot_rows=hot_rows, slice_seconds=120).collect()
+    decided = U.budget_admission(spark.createDataFrame(rows, SCHEMA), 45, parts=parts).collect()
     assert sorted((str(r["user_id"]), r["request_id"]) for r in decided if r["accepted"]) == sorted(
         (str(None if k % 2 else "a"), f"{k:02d}") for k in range(10)
     )
