@@ -257,7 +257,7 @@ def _widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _pack(shared, kind: pa.DataType):
+def _pack(shared, kind: pa.DataType, leaf_rows: int):
     """One row for the rows of a block: sorted by id within leaves, with the block's tree."""
 
     def pack(table: pa.Table) -> pa.Table:
@@ -265,7 +265,7 @@ def _pack(shared, kind: pa.DataType):
         _, _, norm = shared.value[dim]
         table = table.sort_by([("rid", "ascending")])
         points = lifted(_matrix(table.column("vector"), dim), norm)
-        found = nets(points, -(-len(points) // LEAF_ROWS))
+        found = nets(points, -(-len(points) // leaf_rows))
         away = distances(points, points[found.centres])
         leaf = away.argmin(1)
         order = np.argsort(leaf, kind="stable")
@@ -366,7 +366,7 @@ def _search(shared, same: bool, k: int, kind: pa.DataType):
     return search
 
 
-def _index(rows: DataFrame, kind: str) -> tuple:
+def _index(rows: DataFrame, kind: str, block_rows: int, leaf_rows: int) -> tuple:
     """Blocks with their trees, the upper tree (broadcast), and the number of blocks of each cell."""
     spark = rows.sparkSession
     dims = rows.groupBy("dim").agg(F.max("norm").alias("norm"), F.count(F.lit(1)).alias("rows")).collect()
@@ -379,7 +379,7 @@ def _index(rows: DataFrame, kind: str) -> tuple:
     for x in dims:
         own = np.frombuffer(b"".join(sample.get(x.dim, [])), np.float64).reshape(-1, x.dim)
         points = lifted(own if len(own) else np.zeros((1, x.dim)), x.norm)
-        found = nets(points, min(MAX_CELLS, -(-x.rows // BLOCK_ROWS)))
+        found = nets(points, min(MAX_CELLS, -(-x.rows // block_rows)))
         model[x.dim] = found, points[found.centres], x.norm
     shared = spark.sparkContext.broadcast(model)
     names = f"rid bigint, vec_id {kind}, label string, anchor boolean, vector binary, dim int"
@@ -390,14 +390,14 @@ def _index(rows: DataFrame, kind: str) -> tuple:
         own = np.frombuffer(row.far, np.float64)
         far[row.dim] = np.maximum(far[row.dim], own) if row.dim in far else own
     upper = spark.sparkContext.broadcast({d: (*x, _cut(far[d], x[0].counts)) for d, x in model.items()})
-    sizes = placed.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    sizes = placed.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
     sizes = small_side(kept(sizes))
     block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int").alias("block")
     dealt = placed.join(sizes, ["dim", "cell"]).select("rid", "vec_id", "label", "vector", "dim", "cell", block)
     arrow = _arrow_kind(placed, "vec_id")
     blocks = kept(
         dealt.groupBy("dim", "cell", "block").applyInArrow(
-            _pack(shared, arrow),
+            _pack(shared, arrow, leaf_rows),
             f"dim int, cell int, block int, rids array<bigint>, vec_ids array<{kind}>, labels array<string>, vectors binary, "
             "cuts binary, centres binary, counts binary, parents binary, radii binary",
         )
@@ -462,6 +462,8 @@ def hard_negatives(
     least: int = 30,
     most: int = 90,
     scale: int = 256,
+    block_rows: int = BLOCK_ROWS,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
 
@@ -495,7 +497,7 @@ def hard_negatives(
             f"rid bigint, vec_id {kind}, label string, anchor boolean, vector binary, dim int, norm double",
         )
     )
-    index = _index(usable, kind)
+    index = _index(usable, kind, block_rows, leaf_rows)
     anchors = kept(index[0].filter("anchor").select("rid", "vec_id", "label", "vector", "dim"))
     bounds = lambda x: F.array(F.lit(x).cast("bigint"))
     asking = anchors.drop("vec_id").withColumns({"floors": bounds(-ENDLESS), "tops": bounds(ENDLESS)})

@@ -9,13 +9,14 @@ and pairs can matter.
   with k = min(3, ceil(t * a)) only the first a - ceil(t * a) + k n-grams of a set, in an order
   that puts rare ones first, need columns, and a pair shares at least k of them. The order
   comes from a count table of fixed size over all documents.
-* At places i and j of one of the first k shared columns the overlap is at most
-  k + min(a - i - 1, b - j - 1); pairs below their bound are discarded.
-* Columns of few classes are multiplied out and overlaps added up; pairs that share k of them
-  stay. A column of many classes is first met with one of its members only, the one with the
-  fewest rarer n-grams. Pairs of that column whose classes are connected by then are not needed;
-  the others, however few columns they share, are taken up in a second product. A pair
-  shares k light columns or a heavy one, so no link between components is lost.
+* At places i and j of the first shared column the overlap is at most 1 + min(a - i - 1, b - j - 1);
+  a pair that no column allows so much is discarded. The m-th shared one allows m - 1 more.
+* Columns of few classes are multiplied out and overlaps added up; pairs that share k of them, or
+  fewer where both have columns of many classes, stay. A column of many classes is first met
+  with one of its members only, the one with the fewest rarer n-grams. Pairs of that column
+  whose classes are connected by then are not needed; the others are taken up in a second
+  product. The first shared column of a pair is of one kind or the other, so no link between
+  components is lost.
 * The remaining pairs get their exact overlap from the full sets.
 """
 
@@ -143,12 +144,12 @@ def _set_batch(batch, rows, sigs, sizes, lists) -> pa.RecordBatch:
     )
 
 
-def _may_link(a: str, b: str, num: int, den: int) -> str:
-    """SQL: the size bounds of two postings of one column."""
+def _may_link(a: str, b: str, num: int, den: int, shared: int = 1) -> str:
+    """SQL: the size bounds of two postings of one column, the pair's `shared`-th or an earlier one."""
     least = f"{num} * ({a}.n + {b}.n)"
     return (
         f"{den} * {a}.n >= {num} * {b}.n and {den} * {b}.n >= {num} * {a}.n and "
-        f"{num + den} * ({SHARED_COLUMNS} + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1)) >= {least}"
+        f"{num + den} * ({shared} + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1)) >= {least}"
     )
 
 
@@ -205,21 +206,32 @@ def jaccard_groups(
     heavy = kept(heavy.join(leaders, "gram"))
     bound = _may_link("l", "r", num, den)
     enough = F.expr(f"least({SHARED_COLUMNS}, cast(ceil({num} * least(a_n, b_n) / {den}) as bigint))")
-    met = (
+    among_first = _may_link("l", "r", num, den, SHARED_COLUMNS)
+    met = kept(
         light.alias("l")
-        .join(light.alias("r"), F.expr(f"l.gram = r.gram and l.sig < r.sig and {bound}"))
+        .join(light.alias("r"), F.expr(f"l.gram = r.gram and l.sig < r.sig and {among_first}"))
         .groupBy(F.col("l.sig").alias("a"), F.col("r.sig").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"), F.first("l.n").alias("a_n"), F.first("r.n").alias("b_n"))
-        .filter(F.col("shared") >= enough)
-        .select("a", "b")
+        .agg(
+            F.count(F.lit(1)).alias("shared"),
+            F.bool_or(F.expr(bound)).alias("first"),
+            F.first("l.n").alias("a_n"),
+            F.first("r.n").alias("b_n"),
+        )
+        .filter("first")
+        .select("a", "b", (F.col("shared") >= enough).alias("enough"))
     )
+    # with fewer light columns, a pair shares heavy ones too
+    crowded = heavy.select("sig").distinct()
+    few = met.filter("not enough")
+    few = few.join(crowded.withColumnRenamed("sig", "a"), "a", "left_semi").join(crowded.withColumnRenamed("sig", "b"), "b", "left_semi")
+    met = met.filter("enough").drop("enough").unionByName(few.select("a", "b"))
     star = (
         heavy.alias("l")
         .select("l.*", F.expr("leader as r"))
-        .filter(F.expr(f"sig <> r.sig and {_may_link('l', 'r', num, den)}".replace("l.", "")))
+        .filter(F.expr(f"sig <> r.sig and {among_first}".replace("l.", "")))
         .groupBy(F.least("sig", "r.sig").alias("a"), F.greatest("sig", "r.sig").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .filter("shared > 1")  # only a head start: the second product misses nothing
+        .agg(F.count(F.lit(1)).alias("shared"), F.bool_or(F.expr(bound.replace("l.", ""))).alias("first"))
+        .filter("first and shared > 1")  # only a head start: the second product misses nothing
         .select("a", "b")
     )
     pairs = kept(met.unionByName(star).distinct())

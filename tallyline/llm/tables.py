@@ -9,6 +9,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.sources.stored import remove
+
 BROADCAST_ROWS = 500_000
 
 
@@ -24,7 +26,17 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         top = _local_folder()
-    return f"{top.rstrip('/')}/tallyline-llm/{uuid.uuid4().hex}"
+    return f"{_own(spark, top)}/{uuid.uuid4().hex}"
+
+
+def _own(spark: SparkSession, top: str) -> str:
+    return f"{top.rstrip('/')}/tallyline-llm/{spark.sparkContext.applicationId}"
+
+
+def drop_kept(spark: SparkSession) -> None:
+    """Remove all tables and files this application has kept; results that read them end with them."""
+    top = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    remove(_own(spark, top))
 
 
 def kept(df: DataFrame) -> DataFrame:

@@ -1,40 +1,60 @@
 """Token ids of whole texts by a byte-level vocabulary of the `tokenizers` library.
 
 Such a vocabulary never joins a token over a single space or line end between two other
-characters, nor a letter or digit with a mark. Texts are cut there into parts, and a worker asks the library for the ids of each
-distinct part, many parts in one call; the ids of parts seen lately are kept.
+characters, nor a letter or digit with a mark. Texts are cut there into parts, and a worker asks
+the library for the ids of each distinct part, many parts in one call; the ids of parts seen
+lately are kept.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-KNOWN_PARTS = 200_000
+KNOWN_PARTS = 250_000
 LONG_PART = 64
 CHUNK_CHARACTERS = 1 << 18
 _SIDE_BY_SIDE = re.compile(r"\s\s")
-_PARTS = re.compile(r"\n| ?[A-Za-z0-9À-ÖØ-öø-ÿ]+(?=[.,;:!?])| ?[^ \n]+| ")
-_BEFORE_SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_MARKED = re.compile(r"([A-Za-z0-9À-ÖØ-öø-ÿ]+)([.,;:!?]\S*)")
 _SPACE = re.compile(r"\s")
 
 
-def parts_of(text: str) -> list[str]:
-    """The text in parts whose ids do not depend on each other; joined, they are the text."""
+def lines_of(text: str) -> list[list[str]]:
+    """The text in parts whose ids do not depend on each other: lines, to be joined by line ends,
+    of parts, to be joined by spaces, each of which belongs to the part behind it."""
     if _SIDE_BY_SIDE.search(text):
-        return _BEFORE_SINGLE_SPACE.split(text)
-    return _PARTS.findall(text)
+        return [_SINGLE_SPACE.split(text)]
+    return [line.split(" ") for line in text.split("\n")]
+
+
+class _Known:
+    """Ids of parts, as bytes, in two generations: the older one is given up when the newer is full."""
+
+    def __init__(self, limit: int):
+        self.limit, self.recent, self.older = limit, {}, {}
+
+    def missing(self, parts: set[str]) -> set[str]:
+        """The parts without known ids; the others are in `recent` then."""
+        if len(self.recent) > self.limit:
+            self.older, self.recent = self.recent, {}
+        recent, older = self.recent, self.older
+        new = parts.difference(recent)
+        if older:
+            seen = {x: older[x] for x in new if x in older}
+            recent.update(seen)
+            new.difference_update(seen)
+        return new
 
 
 class TokenIds:
     """The ids of `tokenizers` for whole texts, without special tokens added."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_parts: int = KNOWN_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         special = {k: len(x.content.encode()) for k, x in self.tokenizer.get_added_tokens_decoder().items()}
@@ -42,8 +62,8 @@ class TokenIds:
         sizes = {k: special.get(k, len(token)) for token, k in self.tokenizer.get_vocab().items()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)
         self.sizes[list(sizes)] = list(sizes.values())
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.bare, self.spaced = _Known(known_parts), _Known(known_parts)
+        self.line_end = self._ids("\n").tobytes()
 
     def many(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text; an empty text has none."""
@@ -54,44 +74,62 @@ class TokenIds:
             while high < len(texts) and (high == low or characters + len(texts[high]) <= CHUNK_CHARACTERS):
                 characters += len(texts[high])
                 high += 1
-            found += self._chunk([parts_of(x) for x in texts[low:high]])
+            found += self._chunk([lines_of(x) for x in texts[low:high]])
             low = high
         return found
 
-    def _chunk(self, texts: list[list[str]]) -> list[np.ndarray]:
-        if len(self.recent) > KNOWN_PARTS:
-            self.older, self.recent = self.recent, {}
-        new = set(chain.from_iterable(texts)).difference(self.recent)
-        seen = {x: self.older[x] for x in new if x in self.older}
-        known = self.recent
-        known.update(seen)
-        known.update(self._encoded(new.difference(seen)))
-        ids = [np.frombuffer(b"".join([known[x] for x in parts]), "<u4") for parts in texts]
-        for x in new:
-            if len(x) > LONG_PART:
+    def _chunk(self, texts: list[list[list[str]]]) -> list[np.ndarray]:
+        first, rest = set(), set()
+        for lines in texts:
+            for line in lines:
+                first.add(line[0])
+                rest.update(line)  # the first part may be asked for in vain
+        self._learn(first, rest)
+        bare, spaced = self.bare.recent, self.spaced.recent
+        out = []
+        for lines in texts:
+            found = []
+            for line in lines:
+                parts = list(map(spaced.__getitem__, line))
+                parts[0] = bare[line[0]]
+                found.append(b"".join(parts))
+            out.append(np.frombuffer(self.line_end.join(found), "<u4"))
+        for known, parts in ((bare, first), (spaced, rest)):
+            for x in [x for x in parts if len(x) > LONG_PART]:
                 del known[x]
-        return ids
-
-    def _encoded(self, parts: set[str]) -> dict[str, bytes]:
-        spaced, bare, other = [], [], []
-        for x in parts:
-            if _SPACE.search(x, x[0] == " ") or x == " ":
-                other.append(x)
-            else:
-                (spaced if x[0] == " " else bare).append(x)
-        found = {x: self._ids(x).tobytes() for x in other}
-        return found | self._joined(spaced, "") | self._joined(bare, "\n")
-
-    def _joined(self, parts: list[str], between: str) -> dict[str, bytes]:
-        """Ids of parts without inner white space, from one call; their sizes in bytes part them."""
-        if not parts:
-            return {}
-        ids = self._ids(between.join(parts))
-        sizes = np.array([len(x.encode()) for x in parts])
-        ends = np.cumsum(sizes + len(between)) - len(between)
+        return out
+
+    def _learn(self, first: set[str], rest: set[str]) -> None:
+        """Find the ids of the parts that are not known; a part with a mark behind a word is two."""
+        new = self.spaced.missing(rest)
+        marked = {x: m.groups() for x in new if (m := _MARKED.fullmatch(x))}
+        words = {word for word, _ in marked.values()}
+        new_bare = self.bare.missing(first | {mark for _, mark in marked.values()})
+        new.difference_update(marked)
+        new |= self.spaced.missing(words - new)
+        spaced, bare = self.spaced.recent, self.bare.recent
+        spaced.update(self._encoded(new, " "))
+        bare.update(self._encoded(new_bare, ""))
+        spaced.update({x: spaced[word] + bare[mark] for x, (word, mark) in marked.items()})
+
+    def _encoded(self, parts: set[str], before: str) -> dict[str, bytes]:
+        """Ids of parts with a character before each."""
+        odd = [x for x in parts if not x or _SPACE.search(x)]
+        found = {x: self._ids(before + x).tobytes() for x in odd}
+        even = list(parts.difference(odd))
+        if not even:
+            return found
+        # one call for all: spaces or line ends between them keep them apart, sizes in bytes find them
+        between = before or "\n"
+        ids = self._ids(between + between.join(even))
+        sizes = np.array([len(x.encode()) for x in even])
+        ends = np.cumsum(sizes + 1)
         at = np.append(0, np.cumsum(self.sizes[ids]))
-        first, last = np.searchsorted(at, ends - sizes), np.searchsorted(at, ends)
-        return {x: ids[a:b].tobytes() for x, a, b in zip(parts, first.tolist(), last.tolist(), strict=True)}
+        low = np.searchsorted(at, ends - sizes - len(before)).tolist()
+        high = np.searchsorted(at, ends).tolist()
+        body = ids.tobytes()
+        found.update((x, body[4 * a : 4 * b]) for x, a, b in zip(even, low, high, strict=True))
+        return found
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")

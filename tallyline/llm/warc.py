@@ -89,13 +89,39 @@ def plain_text(markup: Column) -> Column:
     are resolved and white space is collapsed. An unclosed comment or script hides the rest."""
     out = F.regexp_replace(markup, r"(?is)<!--.*?(-->|\z)", " ")
     out = F.regexp_replace(out, r"(?is)<(script|style|noscript|template)\b.*?(</\1\s*>|\z)", " ")
-    out = F.regexp_replace(out, rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>", "\n")
-    out = F.regexp_replace(out, r"<[/!?A-Za-z][^>]*>", "")
-    out = resolved(out)
+    closed, rest = _closed(out)
+    closed = F.regexp_replace(closed, rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>", "\n")
+    closed = F.regexp_replace(closed, r"<[/!?A-Za-z][^>]*>", "")
+    out = resolved(F.concat(closed, rest))
     out = F.regexp_replace(out, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
     return F.btrim(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
+def _closed(markup: Column) -> tuple[Column, Column]:
+    """The markup up to its last `>`, and the rest.
+
+    Tags end in the first part, so no search for the end of a tag runs through the rest again and
+    again, however many `<` are in it.
+    """
+    closed = F.regexp_extract(markup, r"(?s)\A.*>", 0)
+    return closed, F.substr(markup, F.length(closed) + 1)
+
+
+def title_of(markup: Column) -> Column:
+    """What stands between the first title tag and the next end of one, or an empty text."""
+    closed, rest = _closed(markup)
+    behind = F.get(F.split(closed, r"(?i)<title[^>]*>", 2), F.lit(1))
+    parts = F.split(F.concat(behind, rest), r"(?i)</title", 2)
+    return F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).otherwise("")
+
+
+def links_of(markup: Column) -> Column:
+    """The last quoted `href` of each anchor tag that has one."""
+    tags = F.regexp_extract_all(markup, F.lit(r"(?i)<a\s[^>]*"), F.lit(0))
+    href = r"(?is)\A.*href=[\"']([^\"'>]*)[\"']"
+    return F.transform(F.filter(tags, lambda x: F.rlike(x, F.lit(href))), lambda x: F.regexp_extract(x, href, 1))
+
+
 def header(text: Column, name: str) -> Column:
     """The value of an HTTP header, or null."""
     found = F.regexp_extract(text, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
@@ -129,7 +155,6 @@ def derivatives(responses: DataFrame) -> DataFrame:
     """
     payload, headers = F.coalesce("payload", F.lit("")), F.coalesce("http_headers", F.lit(""))
     status = F.regexp_extract(headers, r"^HTTP/[0-9.]+ ([0-9]+)", 1)
-    title = F.regexp_extract(payload, r"(?is)<title[^>]*>(.*?)</title", 1)
     source = responses.select(
         F.col("record_id").alias("refers_to"),
         "target_uri",
@@ -140,8 +165,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
         header(headers, "Content-Type").alias("source_content_type"),
         headers.alias("headers"),
         plain_text(payload).alias("text"),
-        plain_text(title).alias("title"),
-        F.regexp_extract_all(payload, F.lit(r"(?i)<a\s[^>]*href=[\"']([^\"'>]*)[\"']"), F.lit(1)).alias("links"),
+        plain_text(title_of(payload)).alias("title"),
+        links_of(payload).alias("links"),
     )
     lines = F.concat(
         _field("title", F.regexp_replace("title", r"\s+", " ")),
