@@ -106,7 +106,7 @@ def score_bounds(away: np.ndarray, radius: np.ndarray, total: np.ndarray) -> tup
     slack = 0.25 + 1e-9 * total[:, None]  # scores are whole numbers
     low = (total[:, None] - (away + radius) ** 2) / 2 - slack
     high = (total[:, None] - np.maximum(away - radius, 0) ** 2) / 2 + slack
-    return low, high
+    return np.minimum(low, ENDLESS), np.maximum(high, -ENDLESS)  # scores beyond count as that
 
 
 def reachable(found: Nets, radius: list[np.ndarray], away: np.ndarray, total: np.ndarray, floors: np.ndarray, tops: np.ndarray):

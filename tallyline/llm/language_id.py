@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyline.llm.tables import small_batches
 from tallyline.llm.text_arrays import LOWER, document_chunks, text_buffers
 
 TRIGRAM_BITS = 18
@@ -92,6 +93,7 @@ def learn(
     if there are fewer), chosen by a hash of `sample_key`, and at most the `MAX_LANGUAGES` most
     frequent languages. What reaches the driver is bounded by these two numbers.
     """
+    small_batches(docs.sparkSession)
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), sample_key.alias("key"))
     labelled = labelled.filter("lang is not null and text is not null")
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
@@ -174,11 +176,12 @@ def mixtures(likelihood: np.ndarray, word_doc: np.ndarray, docs: int) -> np.ndar
     return shares
 
 
-def _predictor(shared):
+def _predictor(shared, text: str):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables(shared.value) if shared.value else None
         for batch in batches:
-            body, at = text_buffers(batch.column("text"))
+            rows = batch.column("row")
+            body, at = text_buffers(rows.field(rows.type.get_field_index(text)))
             lettered = batch.column("lettered").to_numpy(zero_copy_only=False)
             for low, high in document_chunks(at, CHUNK):
                 shares = np.zeros((high - low, 1))
@@ -227,9 +230,11 @@ def with_languages(docs: DataFrame, model: dict, text: str = "text") -> DataFram
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), body.alias("text"), body.rlike(r"\p{L}").alias("lettered"))
+    small_batches(docs.sparkSession)
+    # the text is in the row alone, so that it is sent once
+    rows = docs.select(F.struct("*").alias("row"), body.rlike(r"\p{L}").alias("lettered"))
     schema = T.StructType([rows.schema["row"], *T.StructType.fromDDL(_PREDICTED).fields])
-    return rows.mapInArrow(_predictor(shared), schema)
+    return rows.mapInArrow(_predictor(shared, text), schema)
 
 
 def fold_model(docs: DataFrame) -> dict:

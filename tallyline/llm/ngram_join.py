@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
-from tallyline.llm.tables import kept, small_side
+from tallyline.llm.tables import kept, small_batches, small_side
 from tallyline.llm.text_arrays import shingle_sets
 
 SKETCH_BITS = 23
@@ -191,6 +191,7 @@ def jaccard_groups(
     table gives an empty result. Other columns of the input are not used.
     """
     num, den = ratio
+    small_batches(docs.sparkSession)
     levels = gram_levels(docs, text, words)
     sets = kept(gram_sets(docs, doc_id, text, words, ratio, levels))
     some = sets.filter("n > 0")

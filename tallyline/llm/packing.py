@@ -4,13 +4,13 @@ Every document becomes token ids and an end id. Whole windows are cut off its fr
 are packed in groups of a bounded number of tokens that form while a task reads its
 documents, so packing shuffles nothing. In a group, partial partitions with the largest
 imbalance are merged first, the largest part of one with the smallest of the other, until one
-partition of near-equal windows is left. What then exceeds a window is cut off and fills the
-others; the one window that stays short is cut at powers of two, which need no padding.
+partition of near-equal windows is left. While a window exceeds the capacity, their number rises.
+The emptiest windows are then cut to fill the gaps that the others have; what remains of them, less
+than a window, is cut at powers of two, which need no padding.
 """
 
 from __future__ import annotations
 
-import base64
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -18,34 +18,19 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm.tables import small_batches
+from tallyline.llm.token_ids import VOCABULARY, token_ids
+
 CAPACITY = 2048
 GROUP_WINDOWS = 128
 END_ID = 1
-# Fixed value: the one special string of the vocabulary and its id.
-SPECIAL = {"<|endoftext|>": 50256}
-VOCABULARY = "byte_bpe_50k.tiktoken"
-
-_ENCODINGS: dict[str, tiktoken.Encoding] = {}
-
 Piece = tuple[int, int, int]  # number of a document's rest, first id in it, ids
 
 
-def encoding(path: str) -> tiktoken.Encoding:
-    """The vocabulary of `byte_bpe_50k.json` from its rank file: the same ids, found faster."""
-    if path not in _ENCODINGS:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _ENCODINGS[path] = tiktoken.Encoding(
-            "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL
-        )
-    return _ENCODINGS[path]
-
-
 def balanced_windows(lengths: list[int], windows: int) -> list[list[int]]:
     """Items in `windows` parts of near-equal sums, by largest differencing.
 
@@ -77,26 +62,15 @@ def whole_windows(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def cut_windows(lengths: list[int], capacity: int) -> list[list[Piece]]:
-    """Full windows of cut items, and windows of a power of two for what remains."""
-    total = sum(lengths)
-    windows = -(-total // capacity)
-    filled = [[(k, 0, lengths[k]) for k in x] for x in balanced_windows(lengths, windows)] if total else []
-    rooms = [capacity - sum(p[2] for p in x) for x in filled]
-    spare: list[Piece] = []
-    for w, room in enumerate(rooms):
-        if room < 0:
-            filled[w], over = _split(filled[w], capacity)
-            spare += over
-            rooms[w] = 0
-    gaps = sorted((w for w in range(windows) if rooms[w] > 0), key=lambda w: (rooms[w], w))
-    if gaps and total % capacity:  # the emptiest window fills the others
-        last = gaps.pop()
-        spare += filled[last]
-        filled[last] = []
-    for w in gaps:
-        moved, spare = _split(spare, rooms[w])
-        filled[w] += moved
-    full = [x for x in filled if x]
+    """`whole_windows` without gaps: the emptiest are cut to fill the others, and what remains of
+    them makes windows of powers of two."""
+    filled = [[(k, 0, lengths[k]) for k in x] for x in whole_windows(lengths, capacity)] if lengths else []
+    filled.sort(key=lambda x: -sum(p[2] for p in x))
+    full = filled[: sum(lengths) // capacity]
+    spare = [piece for window in filled[len(full) :] for piece in window]
+    for window in full:
+        moved, spare = _split(spare, capacity - sum(p[2] for p in window))
+        window += moved
     size = capacity
     while spare:
         size //= 2
@@ -182,23 +156,24 @@ def packed_pieces(
     A document's ids are those of its text and `END_ID`; each id is in exactly one piece. A
     sequence holds at most `capacity` (a power of two) ids without gaps. With `cut`, sequences
     are full but for a few of smaller powers of two per group; without it only documents
-    longer than a window are cut and the number of windows rises until all rests fit.
+    longer than a window are cut and windows keep their gaps. Either way the number of windows rises
+    until all rests fit.
 
     A null or empty text has its end id alone. Repeated rows are packed each for itself; an
     empty table gives an empty result; other columns are not used. A task holds the ids of one
     text and of one group. Sequence ids are unique, by input partition, not dense.
     """
+    small_batches(docs.sparkSession)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, group = encoding(path), _Group(capacity, group_windows, cut)
+        encoder, group = token_ids(path), _Group(capacity, group_windows, cut)
         kind = None
         for batch in batches:
             kind = batch.column(0).type
-            for k in range(len(batch)):
-                body = batch.column(1)[k].as_py() or ""
-                ids = encode.encode_to_numpy(body, allowed_special="all")
-                group.add(batch.column(0)[k].as_py(), np.append(ids, np.uint32(END_ID)))
+            docs_of = batch.column(0).to_pylist()
+            for doc, ids in zip(docs_of, encoder.column(batch.column(1)), strict=True):
+                group.add(doc, np.append(ids, np.uint32(END_ID)))
                 if len(group.rows) >= 5000:
                     yield group.ready(kind)
         group.pack()

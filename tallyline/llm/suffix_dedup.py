@@ -18,20 +18,22 @@ Documents with equal text are one class and take part once.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b, md5, sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.tables import kept, small_side
+from tallyline.llm.tables import kept, small_batches, small_side
 from tallyline.llm.text_arrays import document_chunks, mixed, text_buffers
 
 GRAM_BYTES = 32
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
+SIGNATURE_BYTES = 16  # of a sha256
 BUCKET_CONTEXTS = 1024
 HEAVY_ANCHOR = 1024
+SALT_PLACES = 14
 EARLIER, LATER, OPEN = 0, 1, 2
 LAST = (1 << 63) - 1
 
@@ -73,6 +75,28 @@ class _Winnower:
         starts = n - self.span + 1
         return (np.minimum(behind[:starts], ahead[w - 1 : w - 1 + starts]) & _PLACE).astype(np.int64), grams
 
+    def steady(self, owner: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        """Owners of one text where a window keeps its neighbour's anchor as long as it can.
+
+        In a repetitive text the same gram is least again and again; any of its places in the
+        window will do, as equal windows still have equal grams.
+        """
+        kept = grams[owner] & ~_PLACE
+        moves = np.flatnonzero((np.diff(owner) != 0) & (np.diff(kept) == 0))
+        if not len(moves):
+            return owner
+        owner, w = owner.copy(), self.span - self.gram + 1
+        edges = np.flatnonzero(np.diff(kept)) + 1
+        for run in np.unique(np.searchsorted(edges, moves, "right")).tolist():
+            low = int(edges[run - 1]) if run else 0
+            high = int(edges[run]) if run < len(edges) else len(owner)
+            places = np.unique(owner[low:high])
+            while low < high:
+                place = int(places[np.searchsorted(places, low + w - 1, "right") - 1])
+                owner[low : min(high, place + 1)] = place
+                low = place + 1
+        return owner
+
     def segments(self, body: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """A document in overlapping segments that together hold each window once."""
         for low in range(0, max(1, len(body) - self.span + 1), SEGMENT):
@@ -90,13 +114,13 @@ def document_anchors(docs: DataFrame, doc_id: str, text: str, span: int) -> Data
             body, at = text_buffers(batch.column(1))
             for low, high in document_chunks(at, SEGMENT):
                 packed = _packed_anchors(winnower, body, at, low, high)
-                views = [memoryview(body[at[d] : at[d + 1]]) for d in range(low, high)]
+                digests = [sha256(memoryview(body[at[d] : at[d + 1]])).digest() for d in range(low, high)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(low, high - low),
-                        "sig": pa.array([md5(x, usedforsecurity=False).digest() for x in views], pa.binary()),
+                        "sig": pa.array([x[:SIGNATURE_BYTES] for x in digests], pa.binary()),
                         "n_bytes": pa.array(np.diff(at[low : high + 1])),
-                        "sha256": pa.array([sha256(x).hexdigest() for x in views]),
+                        "sha256": pa.array([x.hex() for x in digests]),
                         "anchors": pa.array(packed, pa.binary()),
                     }
                 )
@@ -113,7 +137,7 @@ def _packed_anchors(winnower: _Winnower, body: np.ndarray, at: np.ndarray, low:
         found = []
         for begin, part in winnower.segments(body[at[low] : at[high]]):
             owner, grams = winnower.owners(part)
-            places = np.unique(owner)
+            places = np.unique(winnower.steady(owner, grams))
             found.append(_pairs(places + begin, grams[places]))
         whole = np.concatenate(found) if found else np.zeros(0, _ANCHOR)
         return [np.unique(whole).tobytes()]
@@ -123,9 +147,10 @@ def _packed_anchors(winnower: _Winnower, body: np.ndarray, at: np.ndarray, low:
     owner, grams = winnower.owners(part)
     out = []
     for k in range(high - low):
-        mine = owner[edges[k] : max(edges[k], edges[k + 1] - winnower.span + 1)]
+        own = grams[edges[k] :]
+        mine = winnower.steady(owner[edges[k] : max(edges[k], edges[k + 1] - winnower.span + 1)] - edges[k], own)
         places = mine[np.flatnonzero(np.diff(mine, prepend=-1))]
-        out.append(_pairs(places - edges[k], grams[places]).tobytes())
+        out.append(_pairs(places, own[places]).tobytes())
     return out
 
 
@@ -165,14 +190,14 @@ def _contexts(span: int):
                 known = {x["place"]: (x["hash"], x["salts"]) for x in anchors[d]}
                 spots = np.array(sorted(known))
                 for begin, part in winnower.segments(body[at[d] : at[d + 1]]):
-                    owner, _ = winnower.owners(part)
+                    owner = winnower.steady(*winnower.owners(part))
                     good = np.isin(owner + begin, spots)
                     at_start = np.flatnonzero(good)
                     cuts = np.flatnonzero((np.diff(at_start) != 1) | (np.diff(owner[at_start]) != 0)) + 1
                     for run in np.split(at_start, cuts) if len(at_start) else ():
                         lo, hi = int(run[0]), int(run[-1])
                         gram, salts = known[int(owner[lo]) + begin]
-                        salt = int.from_bytes(sigs[d][:4], "little") % salts
+                        salt = (int.from_bytes(sigs[d][:4], "little") + (lo + begin >> SALT_PLACES)) % salts
                         rows.append((gram, salt, salts > 1, sigs[d], first[d], lo + begin, part[lo : hi + span].tobytes()))
                     if len(rows) > 5000:
                         yield _context_batch(rows)
@@ -351,6 +376,10 @@ def _match_open(group: pa.Table) -> pa.Table:
     )
 
 
+def _signature(text: str) -> Column:
+    return F.substring(F.unhex(F.sha2(F.col(text), 256)), 1, SIGNATURE_BYTES)
+
+
 def _class_texts(docs: DataFrame, doc_id: str, text: str, classes: DataFrame) -> DataFrame:
     """(sig, first_id, text) of the given classes, each once; other texts are not shuffled."""
     ids = small_side(classes.select(F.col("first_id").alias("_tallyline_wanted")).distinct())
@@ -359,7 +388,7 @@ def _class_texts(docs: DataFrame, doc_id: str, text: str, classes: DataFrame) ->
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     texts = texts.join(ids, F.col("first_id").eqNullSafe(F.col("_tallyline_wanted")), "left_semi")
-    texts = texts.withColumn("sig", F.unhex(F.md5(F.col("text").cast("binary"))))
+    texts = texts.withColumn("sig", _signature("text"))
     return texts.groupBy("sig").agg(F.first("text").alias("text")).join(classes, "sig")
 
 
@@ -373,6 +402,7 @@ def repeated_passages(
     also begins earlier (kind 0) or later (kind 1) in the corpus, other copies of the same
     class left aside. Text order is the order of (first_id, sig, position).
     """
+    small_batches(docs.sparkSession)
     scanned = kept(document_anchors(docs, doc_id, text, min_bytes))
     grouped = scanned.groupBy("sig").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -510,7 +540,7 @@ def without_repeats(
             )
         )
     )
-    sig = F.unhex(F.md5(F.col(text).cast("binary")))
+    sig = _signature(text)
     marks = kept(changed.withColumnRenamed("sig", "_tallyline_sig").withColumnRenamed("first_id", "_tallyline_first"))
     touched = small_side(marks.select("_tallyline_sig"))
     named = docs.withColumn("_tallyline_key", sig)

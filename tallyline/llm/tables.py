@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.sources.stored import remove
 
 BROADCAST_ROWS = 500_000
+ARROW_BYTES, DEFAULT_BYTES, SMALL_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
 
 
 @cache
@@ -52,3 +53,12 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     For tables of a few fixed-width columns that are already stored, so counting is cheap.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to Python in batches of 8 MB, if it has the default of 64 MB.
+
+    A batch is held by the JVM, on its way, and by the worker, so it counts several times.
+    """
+    if spark.conf.get(ARROW_BYTES).rstrip("b") == str(DEFAULT_BYTES):
+        spark.conf.set(ARROW_BYTES, str(SMALL_BYTES))

@@ -23,13 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.tables import kept, shared_folder, small_side
+from tallyline.llm.tables import kept, shared_folder, small_batches, small_side
 from tallyline.llm.token_ids import VOCABULARY, token_ids
 from tallyline.sources.folder import file_system
 
@@ -38,7 +37,6 @@ BLOCK_IDS = 1 << 16
 BYTE_PLANES, BIT_PLANES = 4, 32
 END_ID = 0
 LEVEL = 3
-TEXTS_CHARACTERS = 1 << 20
 _TAIL = struct.Struct("<QII8s")
 
 
@@ -166,6 +164,7 @@ def write_token_files(
     their own, and the returned index is committed by Spark, so a repeated task leaves at most
     a file that the index does not name. A task holds the ids of one text, and one block.
     """
+    small_batches(docs.sparkSession)
     folder = folder or shared_folder(docs.sparkSession)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     ending = np.array([end_id], "<u4")
@@ -182,11 +181,10 @@ def write_token_files(
                     out = target.open_output_stream(f"{root}/{name}")
                     writer = TokenWriter(out, block, planes)
                 places, counts = [], []
-                for texts in _texts(batch.column(1)):
-                    for ids in encoder.many(texts):
-                        places.append(writer.append(ids))
-                        writer.append(ending)
-                        counts.append(len(ids) + 1)
+                for ids in encoder.column(batch.column(1)):
+                    places.append(writer.append(ids))
+                    writer.append(ending)
+                    counts.append(len(ids) + 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(places, pa.int64()), pa.array(counts, pa.int64()),
                      pa.array([name] * len(batch)), pa.array([shard] * len(batch), pa.int32())],
@@ -220,17 +218,6 @@ def write_token_files(
     )
 
 
-def _texts(column: pa.Array) -> Iterator[list[str]]:
-    """The texts of a column, about a million characters at a time."""
-    sizes = np.cumsum(pa.compute.utf8_length(column).to_numpy(zero_copy_only=False))
-    low = 0
-    while low < len(column):
-        before = int(sizes[low - 1]) if low else 0
-        high = max(low + 1, int(np.searchsorted(sizes, before + TEXTS_CHARACTERS, "right")))
-        yield column.slice(low, high - low).to_pylist()
-        low = high
-
-
 def read_token_files(index: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of the rows of an index, and with `with_ids` their `ids`.
 

@@ -1,54 +1,80 @@
 """Token ids of whole texts by a byte-level vocabulary of the `tokenizers` library.
 
 Such a vocabulary never joins a token over a single space or line end between two other
-characters, nor a letter or digit with a mark. Texts are cut there into parts, and a worker asks
-the library for the ids of each distinct part, many parts in one call; the ids of parts seen
-lately are kept.
+characters, nor a letter or digit with a mark behind it. Texts are cut there into parts, found
+with numpy over the bytes of many texts at once. The library is asked for the ids of each distinct
+part, many in one call; a worker keeps those of parts seen lately. Texts with white space side
+by side, or white space beyond ASCII, are left to the library whole or in safe pieces.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from tallyline.llm.text_arrays import document_chunks, mixed, text_buffers
+
 VOCABULARY = "byte_bpe_50k.json"
-KNOWN_PARTS = 250_000
+KNOWN_PARTS = 300_000
 LONG_PART = 64
-CHUNK_CHARACTERS = 1 << 18
-_SIDE_BY_SIDE = re.compile(r"\s\s")
-_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_MARKED = re.compile(r"([A-Za-z0-9À-ÖØ-öø-ÿ]+)([.,;:!?]\S*)")
+CHUNK_BYTES = 1 << 19
+_SINGLE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 _SPACE = re.compile(r"\s")
 
-
-def lines_of(text: str) -> list[list[str]]:
-    """The text in parts whose ids do not depend on each other: lines, to be joined by line ends,
-    of parts, to be joined by spaces, each of which belongs to the part behind it."""
-    if _SIDE_BY_SIDE.search(text):
-        return [_SINGLE_SPACE.split(text)]
-    return [line.split(" ") for line in text.split("\n")]
-
-
-class _Known:
-    """Ids of parts, as bytes, in two generations: the older one is given up when the newer is full."""
-
-    def __init__(self, limit: int):
-        self.limit, self.recent, self.older = limit, {}, {}
-
-    def missing(self, parts: set[str]) -> set[str]:
-        """The parts without known ids; the others are in `recent` then."""
-        if len(self.recent) > self.limit:
-            self.older, self.recent = self.recent, {}
-        recent, older = self.recent, self.older
-        new = parts.difference(recent)
-        if older:
-            seen = {x: older[x] for x in new if x in older}
-            recent.update(seen)
-            new.difference_update(seen)
-        return new
+_random = np.random.default_rng(20250611)
+_VALUE = _random.integers(1 << 62, 1 << 63, 256, dtype=np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,;:!?"]] = True
+_LATIN = np.zeros(256, bool)  # second bytes of accented letters behind 0xC3: all but the signs × and ÷
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+
+
+def _odd(body: np.ndarray) -> np.ndarray:
+    """Places of white space that follows white space, or lies beyond ASCII."""
+    white = _WHITE[body]
+    found = [np.flatnonzero(white[1:] & white[:-1])]
+    for lead in (0xC2, 0xE1, 0xE2, 0xE3):
+        at = np.flatnonzero(body == lead)
+        at = at[at + 2 < len(body)] if lead != 0xC2 else at[at + 1 < len(body)]
+        second = body[at + 1]
+        third = body[at + 2] if lead != 0xC2 else second
+        if lead == 0xC2:
+            hit = (second == 0x85) | (second == 0xA0)
+        elif lead == 0xE1:
+            hit = (second == 0x9A) & (third == 0x80)
+        elif lead == 0xE2:
+            hit = (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+            hit |= (second == 0x81) & (third == 0x9F)
+        else:
+            hit = (second == 0x80) & (third == 0x80)
+        found.append(at[hit])
+    return np.concatenate(found)
+
+
+def part_starts(body: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where parts begin in texts without odd white space; `edges` are the starts of the texts."""
+    cut = body == 32
+    line = body == 10
+    cut |= line
+    cut[1:] |= line[:-1]
+    if len(body) > 2:
+        before = _WORD[body[1:-1]] | (_LATIN[body[1:-1]] & (body[:-2] == 0xC3))
+        cut[2:] |= _MARK[body[2:]] & before
+    if len(body) > 1:
+        cut[1] |= bool(_MARK[body[1]] & _WORD[body[0]])
+    cut[edges[edges < len(body)]] = True
+    return np.flatnonzero(cut)
 
 
 class TokenIds:
@@ -62,74 +88,121 @@ class TokenIds:
         sizes = {k: special.get(k, len(token)) for token, k in self.tokenizer.get_vocab().items()}
         self.sizes = np.zeros(max(sizes) + 1, np.int64)
         self.sizes[list(sizes)] = list(sizes.values())
-        self.bare, self.spaced = _Known(known_parts), _Known(known_parts)
-        self.line_end = self._ids("\n").tobytes()
+        self.limit = known_parts
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.powers = np.ones(0, np.uint64)
 
-    def many(self, texts: list[str]) -> list[np.ndarray]:
-        """Unsigned 32-bit ids of each text; an empty text has none."""
-        found: list[np.ndarray] = []
-        low = 0
-        while low < len(texts):
-            high, characters = low, 0
-            while high < len(texts) and (high == low or characters + len(texts[high]) <= CHUNK_CHARACTERS):
-                characters += len(texts[high])
-                high += 1
-            found += self._chunk([lines_of(x) for x in texts[low:high]])
-            low = high
-        return found
+    def column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Unsigned 32-bit ids of each text of a column; a null or empty text has none."""
+        body, at = text_buffers(texts)
+        for low, high in document_chunks(at, CHUNK_BYTES):
+            yield from self._chunk(body[at[low] : at[high]], at[low : high + 1] - at[low])
 
-    def _chunk(self, texts: list[list[list[str]]]) -> list[np.ndarray]:
-        first, rest = set(), set()
-        for lines in texts:
-            for line in lines:
-                first.add(line[0])
-                rest.update(line)  # the first part may be asked for in vain
-        self._learn(first, rest)
-        bare, spaced = self.bare.recent, self.spaced.recent
-        out = []
-        for lines in texts:
-            found = []
-            for line in lines:
-                parts = list(map(spaced.__getitem__, line))
-                parts[0] = bare[line[0]]
-                found.append(b"".join(parts))
-            out.append(np.frombuffer(self.line_end.join(found), "<u4"))
-        for known, parts in ((bare, first), (spaced, rest)):
-            for x in [x for x in parts if len(x) > LONG_PART]:
-                del known[x]
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        return list(self.column(pa.array(texts, pa.string())))
+
+    def _chunk(self, body: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
+        odd = np.unique(np.searchsorted(edges, _odd(body), "right") - 1)
+        out: list[np.ndarray | None] = [None] * (len(edges) - 1)
+        for d in odd.tolist():
+            text = body[edges[d] : edges[d + 1]].tobytes().decode()
+            pieces = [x.encode() for x in _SINGLE_SPACE.split(text)]
+            out[d] = np.frombuffer(b"".join(self._known(pieces)), "<u4")
+        plain = [d for d in range(len(out)) if out[d] is None]
+        if len(odd) and plain:
+            sizes = np.diff(edges)[plain]
+            body = np.concatenate([body[edges[d] : edges[d + 1]] for d in plain])
+            edges = np.append(0, np.cumsum(sizes))
+        if plain:
+            for d, ids in zip(plain, self._plain(body, edges), strict=True):
+                out[d] = ids
         return out
 
-    def _learn(self, first: set[str], rest: set[str]) -> None:
-        """Find the ids of the parts that are not known; a part with a mark behind a word is two."""
-        new = self.spaced.missing(rest)
-        marked = {x: m.groups() for x in new if (m := _MARKED.fullmatch(x))}
-        words = {word for word, _ in marked.values()}
-        new_bare = self.bare.missing(first | {mark for _, mark in marked.values()})
-        new.difference_update(marked)
-        new |= self.spaced.missing(words - new)
-        spaced, bare = self.spaced.recent, self.bare.recent
-        spaced.update(self._encoded(new, " "))
-        bare.update(self._encoded(new_bare, ""))
-        spaced.update({x: spaced[word] + bare[mark] for x, (word, mark) in marked.items()})
-
-    def _encoded(self, parts: set[str], before: str) -> dict[str, bytes]:
-        """Ids of parts with a character before each."""
-        odd = [x for x in parts if not x or _SPACE.search(x)]
-        found = {x: self._ids(before + x).tobytes() for x in odd}
-        even = list(parts.difference(odd))
-        if not even:
-            return found
-        # one call for all: spaces or line ends between them keep them apart, sizes in bytes find them
-        between = before or "\n"
-        ids = self._ids(between + between.join(even))
-        sizes = np.array([len(x.encode()) for x in even])
-        ends = np.cumsum(sizes + 1)
+    def _plain(self, body: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
+        if not len(body):
+            return [np.zeros(0, "<u4")] * (len(edges) - 1)
+        starts = part_starts(body, edges[:-1])
+        number, first = self._distinct(body, starts)
+        ends = np.append(starts[1:], len(body))
+        held = body.tobytes()
+        found = self._known([held[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        begins = np.cumsum(sizes) - sizes
+        counts = sizes[number]
+        stops = np.cumsum(counts)
+        at = np.arange(stops[-1]) + np.repeat(begins[number] - (stops - counts), counts)
+        ids = flat[at]
+        cuts = np.append(0, stops)[np.searchsorted(starts, edges)]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def _distinct(self, body: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each part the number of its bytes among the distinct ones, and a part with these.
+
+        Parts are grouped by a hash and then compared, byte by byte, with the one that stands for
+        them; what differs stands for itself.
+        """
+        lengths = np.diff(np.append(starts, len(body)))
+        if len(self.powers) < lengths.max():
+            self.powers = np.cumprod(np.full(int(lengths.max()) * 2, _BASE, np.uint64))
+        place = np.arange(len(body)) - np.repeat(starts, lengths)
+        hashes = np.add.reduceat(_VALUE[body] * self.powers[place], starts)
+        hashes = mixed(hashes + lengths.astype(np.uint64))
+        _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+        same = np.repeat(starts[first[number]], lengths) + place
+        differs = np.flatnonzero((body[np.minimum(same, len(body) - 1)] != body) | (np.repeat(lengths[first[number]] != lengths, lengths)))
+        if len(differs):
+            alone = np.unique(np.searchsorted(starts, differs, "right") - 1)
+            number = number.copy()
+            number[alone] = len(first) + np.arange(len(alone))
+            first = np.append(first, alone)
+        return number, first
+
+    def _known(self, parts: list[bytes]) -> list[bytes]:
+        """The ids of each part, as bytes."""
+        if len(self.recent) > self.limit:
+            self.older, self.recent = self.recent, {}
+        found = list(map(self.recent.get, parts))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        fresh = {}
+        for k in missing:
+            if (ids := self.older.get(parts[k])) is None:
+                fresh[parts[k]] = b""
+            else:
+                found[k] = self.recent[parts[k]] = ids
+        if fresh:
+            fresh = self._encoded(list(fresh))
+            for k in missing:
+                if found[k] is None:
+                    found[k] = fresh[parts[k]]
+            self.recent.update((x, ids) for x, ids in fresh.items() if len(x) <= LONG_PART)
+        return found
+
+    def _encoded(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of parts, from one call for those behind a space and one for those without white space."""
+        spaced, bare, found = [], [], {}
+        for x in parts:
+            text = x.decode()
+            if not text:
+                found[x] = b""
+            elif text == " " or _SPACE.search(text, text[0] == " "):
+                found[x] = self._ids(text).tobytes()
+            else:
+                (spaced if text[0] == " " else bare).append(x)
+        return found | self._joined(spaced, b"") | self._joined(bare, b"\n")
+
+    def _joined(self, parts: list[bytes], between: bytes) -> dict[bytes, bytes]:
+        """The sizes of tokens in bytes tell where parts end."""
+        if not parts:
+            return {}
+        ids = self._ids(between.join(parts).decode())
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(sizes + len(between)) - len(between)
         at = np.append(0, np.cumsum(self.sizes[ids]))
-        low = np.searchsorted(at, ends - sizes - len(before)).tolist()
-        high = np.searchsorted(at, ends).tolist()
+        low, high = np.searchsorted(at, ends - sizes).tolist(), np.searchsorted(at, ends).tolist()
         body = ids.tobytes()
-        found.update((x, body[4 * a : 4 * b]) for x, a, b in zip(even, low, high, strict=True))
-        return found
+        return {x: body[4 * a : 4 * b] for x, a, b in zip(parts, low, high, strict=True)}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")

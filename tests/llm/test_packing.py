@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallyline.llm.packing import balanced_windows, cut_windows, encoding, packed_pieces, whole_windows
+from tallyline.llm.packing import balanced_windows, cut_windows, packed_pieces, whole_windows
 
 EDGES = [(900, None), (901, ""), (902, "<|endoftext|> a <|endoftext|>"), (903, " \n\t\x85 é日本 🙂"), (904, "a"), (904, "a"), (None, "none"), (905, "long " * 3000)]
 
@@ -50,13 +50,6 @@ def test_empty_table(make_docs):
     assert packed_pieces(make_docs([])).count() == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=60))
-def test_ids_are_those_of_the_tokenizer(text):
-    made = encoding(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_to_numpy(text, allowed_special="all")
-    assert made.tolist() == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
-
-
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 100), max_size=40), st.integers(1, 9))
 def test_differencing(lengths, windows):

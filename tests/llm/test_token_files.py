@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallyline.llm import token_files as TF
-from tallyline.llm.token_ids import TokenIds, parts_of, token_ids
+from tallyline.llm import token_ids as TI
+from tallyline.llm.token_ids import TokenIds, token_ids
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 EDGES = [
@@ -21,11 +22,6 @@ EDGES = [
 ]
 
 
-@pytest.fixture(scope="module")
-def tokenizer():
-    return Tokenizer.from_file(PATH)
-
-
 class Source:
     def __init__(self, body):
         self.body = body
@@ -72,24 +68,26 @@ PIECES = st.sampled_from([" ", "  ", "\n", "\t", "\r", "\x1c", "\x85", "　", "a
 @settings(max_examples=400, deadline=None)
 @given(st.one_of(st.text(max_size=40), st.lists(PIECES, max_size=30).map("".join)))
 def test_ids_are_those_of_the_tokenizer(text):
-    assert "".join(parts_of(text)) == text
-    assert token_ids(PATH).many([text])[0].tolist() == Tokenizer_ids(text)
+    assert token_ids(PATH).many(["", text, "a b.", text])[1].tolist() == plain_ids(text)
 
 
 _TOKENIZER = Tokenizer.from_file(PATH)
 
 
-def Tokenizer_ids(text):
+def plain_ids(text):
     return _TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 def test_few_known_parts_change_nothing(texts, monkeypatch):
-    import tallyline.llm.token_ids as module
-
-    monkeypatch.setattr(module, "KNOWN_PARTS", 50)
-    monkeypatch.setattr(module, "CHUNK_CHARACTERS", 2000)
+    monkeypatch.setattr(TI, "CHUNK_BYTES", 2000)
     bodies = [t for _, t in texts[:60]]
-    assert [x.tolist() for x in TokenIds(PATH).many(bodies)] == [Tokenizer_ids(t) for t in bodies]
+    assert [x.tolist() for x in TokenIds(PATH, 50).many(bodies)] == [plain_ids(t) for t in bodies]
+
+
+def test_equal_hashes_are_told_apart(texts, monkeypatch):
+    monkeypatch.setattr(TI, "mixed", lambda x: x & np.uint64(7))
+    bodies = [t for _, t in texts[:20]]
+    assert [x.tolist() for x in TokenIds(PATH).many(bodies)] == [plain_ids(t) for t in bodies]
 
 
 @pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "ab " * 400_000, "<a " * 300_000])
@@ -104,7 +102,7 @@ def test_files_hold_all_documents_in_order(make_docs, texts, planes, block):
     rows = texts[:80] + EDGES
     index = TF.write_token_files(make_docs(rows), planes=planes, block=block)
     got = TF.read_token_files(index, with_ids=True).collect()
-    want = sorted((([*Tokenizer_ids(t or ""), 0], d) for d, t in rows), key=lambda x: (x[1] is not None, x[1] or 0))
+    want = sorted((([*plain_ids(t or ""), 0], d) for d, t in rows), key=lambda x: (x[1] is not None, x[1] or 0))
     got.sort(key=lambda r: r.start)
     assert [r.doc_id for r in got] == [d for _, d in want]
     assert sorted((str(r.doc_id), r.ids) for r in got) == sorted((str(d), ids) for ids, d in want)
