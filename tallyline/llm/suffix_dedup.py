@@ -133,14 +133,16 @@ _ANCHOR = np.dtype([("place", "<i8"), ("hash", "<i8")])
 
 
 def _packed_anchors(winnower: _Winnower, body: np.ndarray, at: np.ndarray, low: int, high: int) -> list[bytes]:
+    """Packed anchors of each text; one that serves windows that may be equal is there twice."""
     if high == low + 1:  # perhaps a long one
-        found = []
+        once, twice = [], []
         for begin, part in winnower.segments(body[at[low] : at[high]]):
             owner, grams = winnower.owners(part)
-            places = np.unique(winnower.steady(owner, grams))
-            found.append(_pairs(places + begin, grams[places]))
-        whole = np.concatenate(found) if found else np.zeros(0, _ANCHOR)
-        return [np.unique(whole).tobytes()]
+            places, merged = _served(winnower, owner, grams)
+            once.append(_pairs(places + begin, grams[places]))
+            twice.append(_pairs(merged + begin, grams[merged]))
+        parts = [np.unique(np.concatenate(x)) for x in (once, twice) if x]
+        return [b"".join(x.tobytes() for x in parts)]
     part, edges = body[at[low] : at[high]], at[low : high + 1] - at[low]
     if len(part) < winnower.span:
         return [b""] * (high - low)
@@ -148,12 +150,20 @@ def _packed_anchors(winnower: _Winnower, body: np.ndarray, at: np.ndarray, low:
     out = []
     for k in range(high - low):
         own = grams[edges[k] :]
-        mine = winnower.steady(owner[edges[k] : max(edges[k], edges[k + 1] - winnower.span + 1)] - edges[k], own)
-        places = mine[np.flatnonzero(np.diff(mine, prepend=-1))]
-        out.append(_pairs(places, own[places]).tobytes())
+        places, merged = _served(winnower, owner[edges[k] : max(edges[k], edges[k + 1] - winnower.span + 1)] - edges[k], own)
+        out.append(_pairs(places, own[places]).tobytes() + _pairs(merged, own[merged]).tobytes())
     return out
 
 
+def _served(winnower: _Winnower, owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors of a text, and those among them that took the place of several."""
+    steady = winnower.steady(owner, grams)
+    places = steady[np.flatnonzero(np.diff(steady, prepend=-1))]
+    if steady is owner:
+        return places, places[:0]
+    return places, np.unique(steady[np.flatnonzero((np.diff(owner) != 0) & (np.diff(steady) == 0))])
+
+
 def _pairs(places: np.ndarray, grams: np.ndarray) -> np.ndarray:
     pairs = np.empty(len(places), _ANCHOR)
     pairs["place"], pairs["hash"] = places, grams.view(np.int64)

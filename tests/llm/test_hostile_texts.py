@@ -35,7 +35,7 @@ def test_repetitive_texts_have_few_anchors(unit):
 def test_runs_are_removed_whole(make_docs):
     rng = np.random.default_rng(1)
     own = "".join(chr(97 + x) for x in rng.integers(0, 26, 3000))
-    rows = [(1, "-" * LONG), (2, own + "ab" * 5000 + own[::-1]), (3, "x" + "-" * 199), (4, "x" + "-" * 200), (5, "ab" * 100)]
+    rows = [(1, "-" * LONG), (2, own + "ab" * 5000 + own[::-1]), (3, "x" + "-" * 199), (4, "x" + "-" * 200), (5, "ab" * 100), (6, own[:500] + "cd" * 110 + own[500:0:-1])]
     where, hit = Counter(), {}
     bodies = {d: t.encode() for d, t in rows}
     for body in bodies.values():
