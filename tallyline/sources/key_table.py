@@ -1,7 +1,7 @@
 """A stored table with one row per key, in hash buckets, of which a merge rewrites only those it touches.
 
     data/version=<n>/bucket=<b>/   rows of a bucket, as version n left them
-    manifest/<n>.json              for each bucket the version that holds its rows
+    manifest/<n>.json              for each bucket the version that holds its rows, and its first expiry
 
 A version is there once its manifest is, and manifests appear whole. Applying a version that has
 its manifest already changes nothing, so a repeated micro-batch is harmless; one that was cut
@@ -11,6 +11,7 @@ off before writes the same folders again. The last two versions stay readable, o
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +29,17 @@ class KeyTable:
     A bucket is written by one task, so choose buckets by rows / rows that suit a task.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], schema: str, buckets: int = BUCKETS):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: list[str],
+        schema: str,
+        buckets: int = BUCKETS,
+        expires: str | None = None,
+    ):
         self.spark, self.path, self.keys, self.schema = spark, path.rstrip("/"), keys, schema
-        self.buckets = buckets
+        self.buckets, self.expires = buckets, expires
 
     def versions(self) -> list[int]:
         return sorted(int(x.removesuffix(".json")) for x in names_in(f"{self.path}/manifest") if x.endswith(".json"))
@@ -39,7 +48,7 @@ class KeyTable:
         """The manifest of the newest version, or of the newest one up to `version`."""
         found = [v for v in self.versions() if version is None or v <= version]
         content = read_json(f"{self.path}/manifest/{found[-1]}.json") if found else None
-        return content or {"buckets": self.buckets, "of": {}}
+        return content or {"buckets": self.buckets, "of": {}, "until": {}}
 
     def bucket(self, manifest: dict) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(manifest["buckets"])).cast("int")
@@ -62,19 +71,39 @@ class KeyTable:
         """The buckets that hold the keys of some rows."""
         return {x[0] for x in rows.select(self.bucket(self.manifest(version))).distinct().collect()}
 
-    def apply(self, version: int, changes: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        """Make `version` (above all before) by `change(rows, changes)` of the touched buckets."""
+    def apply(
+        self,
+        version: int,
+        changes: DataFrame,
+        change: Callable[[DataFrame, DataFrame], DataFrame],
+        now: datetime | None = None,
+    ) -> None:
+        """Make `version` (above all before) by `change(rows, changes)` of the touched buckets.
+
+        With `now`, buckets that hold a row which has expired by then are touched as well, so that
+        `change` can drop it.
+        """
         if version in self.versions():
             return
         before = self.manifest(version - 1)
         touched = self.touched(changes, version - 1)
+        if now is not None:
+            at = self.spark.range(1).select(F.unix_micros(F.lit(now).cast("timestamp"))).first()[0]
+            touched |= {int(b) for b, until in before["until"].items() if until <= at}
         rows = change(self._rows(before, touched), changes).withColumn(_BUCKET, self.bucket(before))
         folder = f"{self.path}/data/version={version}"
         if touched:
             rows.repartition(len(touched), _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(folder)
         written = {x.removeprefix(f"{_BUCKET}=") for x in names_in(folder) if x.startswith(f"{_BUCKET}=")}
         of = {b: v for b, v in before["of"].items() if int(b) not in touched} | {b: version for b in written}
-        write_json(f"{self.path}/manifest/{version}.json", {"buckets": before["buckets"], "of": of})
+        until = {b: x for b, x in before["until"].items() if int(b) not in touched}
+        if self.expires and written:
+            paths = [f"{folder}/{_BUCKET}={b}" for b in written]
+            rows = self.spark.read.schema(self.schema).option("basePath", folder).parquet(*paths)
+            first = rows.groupBy(F.expr(f"regexp_extract(_metadata.file_path, '{_BUCKET}=([0-9]+)', 1)").alias("b"))
+            found = first.agg(F.min(F.unix_micros(self.expires)).alias("x")).filter("x IS NOT NULL").collect()
+            until |= {r["b"]: r["x"] for r in found}
+        write_json(f"{self.path}/manifest/{version}.json", {"buckets": before["buckets"], "of": of, "until": until})
         self._forget(version, before["of"], of)
 
     def merge(self, version: int, changes: DataFrame, order_by: list[str], **columns) -> None:

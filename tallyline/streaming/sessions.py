@@ -70,7 +70,7 @@ class _Registry(StatefulProcessor):
         if len(offers):
             yield pd.DataFrame(
                 {
-                    "session_id": [key[0]] * len(offers),
+                    "session_id": [None if key[1] else key[0]] * len(offers),
                     "epoch": epochs[offers.index].to_list(),
                     "since": offers["at"].to_list(),
                     "resource": offers["resource"].to_list(),
@@ -106,13 +106,15 @@ def stream_session_registry(
     """
     resource = assignments.schema["resource"].dataType
     session = assignments.schema["session_id"].dataType.simpleString()
+    # state is kept by values that are not null: one column for the session, one for its absence
+    key = F.coalesce("session_id", F.lit(0).cast(session)).alias("session"), F.col("session_id").isNull().alias("none")
     at = F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
     given = assignments.filter("resource IS NOT NULL")
     # no null in the column, which pandas would make floats of
-    events = given.select("session_id", at, F.lit(1).alias("held"), "resource").unionByName(
-        failures.select("session_id", at, F.lit(0).alias("held"), F.lit(0).cast(resource).alias("resource"))
+    events = given.select(*key, at, F.lit(1).alias("held"), "resource").unionByName(
+        failures.select(*key, at, F.lit(0).alias("held"), F.lit(0).cast(resource).alias("resource"))
     )
-    found = events.groupBy("session_id").transformWithStateInPandas(
+    found = events.groupBy("session", "none").transformWithStateInPandas(
         _Registry(),
         f"session_id {session}, epoch BIGINT, since BIGINT, resource {resource.simpleString()}",
         "append",

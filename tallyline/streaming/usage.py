@@ -25,7 +25,7 @@ COMPACT_EVERY = 60
 
 def counter_table(spark: SparkSession, counters: str, buckets: int = BUCKETS) -> KeyTable:
     """The counters of all tenant-months, stored by key."""
-    return KeyTable(spark, counters, TENANT_MONTH, COUNTERS, buckets)
+    return KeyTable(spark, counters, TENANT_MONTH, COUNTERS, buckets, expires="expires_at")
 
 
 def _charge(counters: DataFrame, accepted: DataFrame) -> DataFrame:
@@ -40,13 +40,19 @@ def _charge(counters: DataFrame, accepted: DataFrame) -> DataFrame:
     )
 
 
-def _charge_alive(batch: DataFrame):
-    """`_charge` that drops counters which had expired at the newest request of the batch."""
-    newest = batch.agg(F.max("ts")).first()[0]
+def _charge_batch(table: KeyTable, batch_id: int, batch: DataFrame, accepted: DataFrame, purge: bool) -> None:
+    """Charge accepted requests; with `purge`, drop counters expired at the batch's newest request."""
+    newest = batch.agg(F.max("ts")).first()[0] if purge else None
     if newest is None:
-        return _charge
+        table.apply(batch_id, usage_counters(accepted), _charge)
+        return
     now = F.lit(newest).cast("timestamp")
-    return lambda counters, accepted: _charge(ttl_filter(counters, now, COUNTER_DAYS), accepted)
+    table.apply(
+        batch_id,
+        usage_counters(accepted),
+        lambda counters, charged: _charge(ttl_filter(counters, now, COUNTER_DAYS), charged),
+        now=newest,
+    )
 
 
 def stream_usage_counters(
@@ -61,12 +67,11 @@ def stream_usage_counters(
 
     A micro-batch is summed per tenant-month before it meets the table, and only the buckets of
     its tenant-months are read and written again (`sources.key_table`). With `purge`, expired
-    counters leave a bucket when it is written.
+    counters leave the table: a bucket knows its first expiry and is written again by then.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        change = _charge_alive(batch) if purge else _charge
-        counter_table(batch.sparkSession, counters, buckets).apply(batch_id, usage_counters(batch), change)
+        _charge_batch(counter_table(batch.sparkSession, counters, buckets), batch_id, batch, batch, purge)
 
     return start_batches(accepted, each, checkpoint, trigger)
 
@@ -107,7 +112,7 @@ def stream_budget_admission(
             decided = budget_admission(batch, limit, used, parts=parts)
             decided.write.mode("overwrite").parquet(out)
             accepted = spark.read.schema(decided.schema).parquet(out).filter("accepted")
-            table.apply(batch_id, usage_counters(accepted), _charge_alive(batch) if purge else _charge)
+            _charge_batch(table, batch_id, batch, accepted, purge)
         finally:
             batch.unpersist()
 
