@@ -89,10 +89,7 @@ def plain_text(markup: Column) -> Column:
     are resolved and white space is collapsed. An unclosed comment or script hides the rest."""
     out = F.regexp_replace(markup, r"(?is)<!--.*?(-->|\z)", " ")
     out = F.regexp_replace(out, r"(?is)<(script|style|noscript|template)\b.*?(</\1\s*>|\z)", " ")
-    closed, rest = _closed(out)
-    closed = F.regexp_replace(closed, rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>", "\n")
-    closed = F.regexp_replace(closed, r"<[/!?A-Za-z][^>]*>", "")
-    out = resolved(F.concat(closed, rest))
+    out = resolved(F.element_at(F.transform(F.array(out), _without_tags), 1))
     out = F.regexp_replace(out, r"[ \t\r\f]{2,}|[\t\r\f]", " ")
     return F.btrim(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
@@ -103,23 +100,28 @@ def _closed(markup: Column) -> tuple[Column, Column]:
     Tags end in the first part, so no search for the end of a tag runs through the rest again and
     again, however many `<` are in it.
     """
-    closed = F.regexp_extract(markup, r"(?s)\A.*>", 0)
-    return closed, F.substr(markup, F.length(closed) + 1)
+    rest = F.substring_index(markup, ">", -1)
+    return F.left(markup, F.length(markup) - F.length(rest)), rest
+
+
+def _without_tags(markup: Column) -> Column:
+    closed, rest = _closed(markup)
+    closed = F.regexp_replace(closed, rf"(?i)</?({BLOCKS})(\s[^>]*)?/?>", "\n")
+    return F.concat(F.regexp_replace(closed, r"<[/!?A-Za-z][^>]*>", ""), rest)
 
 
 def title_of(markup: Column) -> Column:
     """What stands between the first title tag and the next end of one, or an empty text."""
     closed, rest = _closed(markup)
-    behind = F.get(F.split(closed, r"(?i)<title[^>]*>", 2), F.lit(1))
-    parts = F.split(F.concat(behind, rest), r"(?i)</title", 2)
-    return F.when(F.size(parts) > 1, F.get(parts, F.lit(0))).otherwise("")
+    behind = F.concat(F.get(F.split(closed, r"(?i)<title[^>]*>", 2), F.lit(1)), rest)
+    return F.coalesce(F.regexp_extract(behind, r"(?is)\A(.*?)</title", 1), F.lit(""))
 
 
 def links_of(markup: Column) -> Column:
     """The last quoted `href` of each anchor tag that has one."""
     tags = F.regexp_extract_all(markup, F.lit(r"(?i)<a\s[^>]*"), F.lit(0))
-    href = r"(?is)\A.*href=[\"']([^\"'>]*)[\"']"
-    return F.transform(F.filter(tags, lambda x: F.rlike(x, F.lit(href))), lambda x: F.regexp_extract(x, href, 1))
+    href = F.lit(r"(?is)\A.*href=[\"']([^\"'>]*)[\"']")
+    return F.flatten(F.transform(tags, lambda x: F.regexp_extract_all(x, href, F.lit(1))))
 
 
 def header(text: Column, name: str) -> Column:
