@@ -134,7 +134,7 @@ def _scored(
     return (
         asking.select(*keys, "query_id", "embedding")
         .groupBy(*keys)
-        .cogroup(answering.select(*keys, "record_id", "embedding").groupBy(*keys))
+        .cogroup(answering.select(*_renamed(*keys, "record_id", "embedding")).groupBy(*keys))
         .applyInArrow(
             best,
             f"namespace string, query_id {types['query_id']}, record_id {types['record_id']}, score double",
@@ -142,6 +142,11 @@ def _scored(
     )
 
 
+def _renamed(*names: str) -> list[Column]:
+    """Columns told apart from those of a table they come from, which the other side may share."""
+    return [F.col(x).alias(x) for x in names]
+
+
 class BlockIndex(NamedTuple):
     """Records of large namespaces with their `_block`, and per namespace its pivots and radii."""
 
@@ -171,7 +176,7 @@ def block_index(records: DataFrame, large: DataFrame, block_rows: int = BLOCK_RO
     placed = stored(
         dealt.select(*_SPACE, "_salt", "record_id", "embedding")
         .groupBy(*_SPACE, "_salt")
-        .cogroup(repeated.select(*_SPACE, "_salt", "_pivots").groupBy(*_SPACE, "_salt"))
+        .cogroup(repeated.select(*_renamed(*_SPACE, "_salt", "_pivots")).groupBy(*_SPACE, "_salt"))
         .applyInArrow(
             _nearest_pivot,
             f"namespace string, _length int, record_id {kind}, embedding {vector}, _pivot int, _angle double",
@@ -219,7 +224,7 @@ def block_visits(queries: DataFrame, index: BlockIndex, home: bool) -> DataFrame
     return (
         dealt.select(*_SPACE, "_salt", "query_id", "embedding", "_floor")
         .groupBy(*_SPACE, "_salt")
-        .cogroup(index.pivots.join(wanted, _SPACE).groupBy(*_SPACE, "_salt"))
+        .cogroup(index.pivots.join(wanted, _SPACE).select(*_renamed(*_SPACE, "_salt", "_pivots", "_blocks")).groupBy(*_SPACE, "_salt"))
         .applyInArrow(
             visits,
             f"namespace string, _length int, query_id {types['query_id']}, embedding {types['embedding']}, _floor double, "
