@@ -47,44 +47,51 @@ def stream_sessions(
         return writer.start()
 
 
-class _Registry(StatefulProcessor):
-    """Per session: the epoch, and whether a resource is held in it.
-
-    Of a batch's events, in order, only failures and the first assignment after each can matter;
-    the rest is dropped as the rows come in, so a busy session holds no more than its failures.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("held", "epoch BIGINT, held BOOLEAN")
-
-    def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:  # noqa: N802
-        mattering = None
-        for part in rows:
-            part = part[["at", "held", "resource"]]
-            mattering = _mattering(part if mattering is None else pd.concat([mattering, part]))
-        epoch, held = self.state.get() if self.state.exists() else (0, False)
-        epochs = epoch + (mattering["held"] == 0).cumsum()
-        offers = mattering[(mattering["held"] == 1) & ~((epochs == epoch) & held)]
-        now = int(epochs.iloc[-1])
-        self.state.update((now, bool(mattering["held"].iloc[-1] == 1) or (now == epoch and bool(held))))
-        if len(offers):
-            yield pd.DataFrame(
-                {
-                    "session_id": [None if key[1] else key[0]] * len(offers),
-                    "epoch": epochs[offers.index].to_list(),
-                    "since": offers["at"].to_list(),
-                    "resource": offers["resource"].to_list(),
-                }
-            )
-
-    def close(self) -> None:
-        pass
-
-
-def _mattering(events: pd.DataFrame) -> pd.DataFrame:
-    """Events in order (a failure first at equal times), without assignments that follow one."""
-    events = events.sort_values(["at", "held", "resource"], kind="stable", ignore_index=True)
-    return events[(events["held"] == 0) | (events["held"].shift() != 1)].reset_index(drop=True)
+def _registry() -> StatefulProcessor:
+    """The registry's state function. It is made here, so that it travels whole: Spark also loads it
+    in a process of the driver that need not find this package."""
+
+    class Registry(StatefulProcessor):
+        """Per session: the epoch, and whether a resource is held in it.
+
+        Of a batch's events, in order, only failures and the first assignment after each can
+        matter; the rest is dropped as the rows come in, so a busy session holds no more than
+        its failures.
+        """
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("held", "epoch BIGINT, held BOOLEAN")
+
+        def handleInputRows(self, key, rows, timers) -> Iterator[pd.DataFrame]:  # noqa: N802
+            mattering = None
+            for part in rows:
+                part = part[["at", "held", "resource"]]
+                mattering = self.mattering(part if mattering is None else pd.concat([mattering, part]))
+            epoch, held = self.state.get() if self.state.exists() else (0, False)
+            epochs = epoch + (mattering["held"] == 0).cumsum()
+            offers = mattering[(mattering["held"] == 1) & ~((epochs == epoch) & held)]
+            now = int(epochs.iloc[-1])
+            self.state.update((now, bool(mattering["held"].iloc[-1] == 1) or (now == epoch and bool(held))))
+            if len(offers):
+                yield pd.DataFrame(
+                    {
+                        "session_id": [None if key[1] else key[0]] * len(offers),
+                        "epoch": epochs[offers.index].to_list(),
+                        "since": offers["at"].to_list(),
+                        "resource": offers["resource"].to_list(),
+                    }
+                )
+
+        @staticmethod
+        def mattering(events: pd.DataFrame) -> pd.DataFrame:
+            """Events in order (a failure first at equal times), without assignments that follow one."""
+            events = events.sort_values(["at", "held", "resource"], kind="stable", ignore_index=True)
+            return events[(events["held"] == 0) | (events["held"].shift() != 1)].reset_index(drop=True)
+
+        def close(self) -> None:
+            pass
+
+    return Registry()
 
 
 def stream_session_registry(
@@ -115,7 +122,7 @@ def stream_session_registry(
         failures.select(*key, at, F.lit(0).alias("held"), F.lit(0).cast(resource).alias("resource"))
     )
     found = events.groupBy("session", "none").transformWithStateInPandas(
-        _Registry(),
+        _registry(),
         f"session_id {session}, epoch BIGINT, since BIGINT, resource {resource.simpleString()}",
         "append",
         "none",
