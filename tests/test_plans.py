@@ -76,6 +76,15 @@ def test_one_shuffle_of_the_rows_when_nothing_is_hot(spark, small, name):
     assert final.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize(
+    ("name", "scans"),
+    [("budget_admission_sliced", 2), ("idle_lifecycle_hours", 2), ("session_registry_sliced", 2), ("file_op_status_sliced", 1)],
+)
+def test_keys_over_several_ranges_are_read_twice_at_most(spark, small, name, scans):
+    text = plan(catalog.QUERIES[name](spark, small))  # the registry reads assignments and failures
+    assert "_groups" in text and text.count("FileScan parquet") <= scans
+
+
 def test_totals_are_combined_before_the_shuffle(spark, small):
     for name in ("customer_totals", "usage_report", "usage_counters", "first_decision", "tool_call_audit"):
         assert "partial_" in plan(catalog.QUERIES[name](spark, small))
