@@ -26,7 +26,7 @@ MAX_LANGUAGES = 256
 SMOOTHING = 2.0
 ROUNDS = 12
 UNKNOWN = "und"
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 _PREDICTED = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
 
 _LETTER = np.zeros(256, np.uint8)
