@@ -2,6 +2,7 @@
 
 import base64
 import datetime
+import glob
 import pathlib
 import random
 
@@ -224,6 +225,46 @@ def test_recall_in_a_large_namespace_leaves_blocks_out(spark, threshold):
     assert looked["known"] > 30 * 20 and looked["into"] < looked["known"] / 3
 
 
+def clustered(rng, n):
+    centres = np.random.default_rng(5).normal(size=(20, 6))
+    return (centres[rng.integers(0, 20, n)] + 0.1 * rng.normal(size=(n, 6))).round(3)
+
+
+@pytest.mark.parametrize("threshold", [-1.0, 0.3, 0.9])
+def test_recall_over_several_shelves(spark, monkeypatch, threshold):
+    monkeypatch.setattr(M, "SHELF_VALUES", 6 * 40)
+    rng = np.random.default_rng(6)
+    records = [("/big", f"m{i:03d}", [float(x) for x in v]) for i, v in enumerate(clustered(rng, 300))]
+    records += [("/big", f"same{i}", records[0][2]) for i in range(90)] + [("/big", "zero", [0.0] * 6)]
+    records += [("/mid", f"n{i:02d}", [float(x) for x in v]) for i, v in enumerate(clustered(rng, 30))] + [("/small", "s", [1.0] * 6)]
+    spaces = ["/big"] * 100 + ["/mid"] * 60 + ["/small", "/none"]
+    queries = [(i, s, [float(x) for x in v]) for i, (s, v) in enumerate(zip(spaces, clustered(rng, len(spaces)), strict=True))]
+    queries.append((500, "/big", [0.0] * 6))
+    asked = spark.createDataFrame(queries, "query_id BIGINT, namespace STRING, embedding ARRAY<FLOAT>")
+    stored = spark.createDataFrame(records, "namespace STRING, record_id STRING, embedding ARRAY<FLOAT>")
+    found = M.recall_in_namespace(asked, stored, 3, threshold, 8)
+    got = {(r["query_id"], r["namespace"], r["record_id"], r["score"] + 0.0, r["rank"]) for r in found.collect()}
+    assert got == brute_recall(queries, records, 3, threshold)
+
+
+def test_recall_does_not_repeat_vectors_for_every_block(spark):
+    """Random vectors, for which no block can be left out: each is stored a few times at most."""
+    rng = np.random.default_rng(7)
+    vectors = lambda n: [[float(x) for x in v] for v in rng.normal(size=(n, 8))]
+    records = [("/big", i, v) for i, v in enumerate(vectors(400))]
+    queries = [(i, "/big", v) for i, v in enumerate(vectors(300))]
+    home = f"{spark.conf.get('spark.checkpoint.dir')}/tallyline"
+    before = set(glob.glob(f"{home}/stored-*"))
+    found = M.recall_in_namespace(
+        spark.createDataFrame(queries, "query_id BIGINT, namespace STRING, embedding ARRAY<FLOAT>"),
+        spark.createDataFrame(records, "namespace STRING, record_id BIGINT, embedding ARRAY<FLOAT>"),
+        3, -1.0, 4,
+    )
+    assert found.count() == 900
+    kept = set(glob.glob(f"{home}/stored-*")) - before
+    assert sum(spark.read.parquet(x).count() for x in kept) <= 3 * (len(records) + len(queries))
+
+
 def test_vectors_of_other_lengths_do_not_meet(spark):
     queries = spark.createDataFrame([(1, "n", [1.0, 0.0]), (2, "n", [])], "query_id INT, namespace STRING, embedding ARRAY<FLOAT>")
     records = [("n", "a", [1.0, 0.0]), ("n", "b", [1.0, 0.0, 0.0]), ("n", "c", [1.0]), ("n", "d", [1.0, None]), ("n", "e", None)]
