@@ -230,6 +230,24 @@ def test_earliest_decision_wins_in_any_arrival(spark, folder, late_first, salts)
     }
 
 
+def test_settled_orders_are_no_state(spark, folder):
+    """What waits is kept beside the table: nothing in a state store, and settled rows go."""
+    orders = Source(spark, f"{folder}/orders", "order_id BIGINT, submitted TIMESTAMP")
+    calls = Source(spark, f"{folder}/calls", "cb BIGINT, ts TIMESTAMP, line INT, decision STRING")
+    orders.add([(1, at(0)), (2, at(0)), (None, at(0)), (8, None)]).add([(3, at(86400)), (4, at(30 * 86400))])
+    calls.add([(1, at(10 + k), k, "approve") for k in range(9)] + [(3, at(86400 + 5), 0, "reject"), (7, None, 0, "approve")])
+    calls.add([(1, at(5), 0, "reject"), (9, at(40 * 86400), 0, "approve")])
+    SP.stream_order_decisions(
+        orders.stream(), calls.stream(), f"{folder}/t", f"{folder}/cp", salts=3, hot_rows=4
+    ).awaitTermination()
+    every = spark.read.schema(orders.schema).parquet(f"{folder}/orders/*").filter("order_id < 8")
+    status = {r["order_id"]: (r["status"], r["timed_out"]) for r in SP.read_order_status(spark, f"{folder}/t", every).collect()}
+    assert status == {1: ("REJECTED", False), 2: ("PENDING_APPROVAL", True), 3: ("REJECTED", False), 4: ("PENDING_APPROVAL", False)}
+    assert not glob.glob(f"{folder}/cp/state/*/*/*")
+    left = [spark.read.parquet(f"{folder}/t-{x}/slot=1") for x in ("orders", "calls")]
+    assert [r["order_id"] for r in left[0].collect()] == [4] and [r["cb"] for r in left[1].collect()] == [9]
+
+
 def test_sessions_close_after_the_gap(spark, folder):
     source = Source(spark, f"{folder}/in", "session_id BIGINT, request_id BIGINT, ts TIMESTAMP")
     source.add([(1, 1, at(0)), (1, 2, at(300)), (2, 3, at(10))]).add([(1, 4, at(901)), (9, 5, at(90000))])
