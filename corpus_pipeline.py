@@ -49,8 +49,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of windows of 2048 ids."""
-    return packed_pieces(docs)
+    """Pieces of windows of 2048 ids, each window in one language, with that `lang`."""
+    return packed_pieces(docs, by="lang")
 
 
 STAGES: list[tuple[str, Stage]] = [

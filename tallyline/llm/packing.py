@@ -12,6 +12,7 @@ than a window, is cut at powers of two, which need no padding.
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -27,6 +28,8 @@ from tallyline.llm.token_ids import VOCABULARY, token_ids
 
 CAPACITY = 2048
 GROUP_WINDOWS = 128
+# A task holds the tokens of so many full groups while it fills windows of several kinds.
+OPEN_GROUPS = 32
 END_ID = 1
 Piece = tuple[int, int, int]  # number of a document's rest, first id in it, ids
 
@@ -96,19 +99,17 @@ def _split(pieces: list[Piece], size: int) -> tuple[list[Piece], list[Piece]]:
 class _Group:
     """Rests of documents until they are packed, and the rows that are ready."""
 
-    def __init__(self, capacity: int, group_windows: int, cut: bool):
+    def __init__(self, capacity: int, group_windows: int, cut: bool, kind, sequences: Iterator[int], rows: list[tuple]):
         self.capacity, self.limit, self.cut = capacity, capacity * group_windows, cut
+        self.kind, self.sequences, self.rows = kind, sequences, rows
         self.rests: list[tuple] = []
         self.held = 0
-        self.rows: list[tuple] = []
-        self.next_sequence = TaskContext.get().partitionId() << 32
 
     def add(self, doc, ids: np.ndarray) -> None:
         total = len(ids)
         whole = total - total % self.capacity
         for begin in range(0, whole, self.capacity):
-            self._row(doc, begin, ids[begin : begin + self.capacity], total, 0)
-            self.next_sequence += 1
+            self._row(doc, begin, ids[begin : begin + self.capacity], total, next(self.sequences), 0)
         if whole < total:
             self.rests.append((doc, whole, ids[whole:], total))
             self.held += total - whole
@@ -122,24 +123,50 @@ class _Group:
         else:
             windows = [[(k, 0, lengths[k]) for k in x] for x in whole_windows(lengths, self.capacity)] if lengths else []
         for window in windows:
-            place = 0
+            place, sequence = 0, next(self.sequences)
             for k, begin, n in window:
                 doc, start, ids, total = self.rests[k]
-                self._row(doc, start + begin, ids[begin : begin + n], total, place)
+                self._row(doc, start + begin, ids[begin : begin + n], total, sequence, place)
                 place += n
-            self.next_sequence += 1
         self.rests, self.held = [], 0
 
-    def _row(self, doc, start: int, ids: np.ndarray, total: int, place: int) -> None:
-        self.rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, self.next_sequence, place))
+    def _row(self, doc, start: int, ids: np.ndarray, total: int, sequence: int, place: int) -> None:
+        self.rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total, sequence, place, self.kind))
+
+
+class _Groups:
+    """A group for each kind of document, of which none shares a window with another."""
+
+    def __init__(self, capacity: int, group_windows: int, cut: bool):
+        self.rows: list[tuple] = []
+        self.of: dict = {}
+        self.limit = capacity * group_windows * OPEN_GROUPS
+        first = TaskContext.get().partitionId() << 32
+        self.settings = capacity, group_windows, cut
+        self.sequences = itertools.count(first)
+        self.held = 0
+
+    def add(self, kind, doc, ids: np.ndarray) -> None:
+        group = self.of.get(kind)
+        if group is None:
+            group = self.of[kind] = _Group(*self.settings, kind, self.sequences, self.rows)
+        before = group.held
+        group.add(doc, ids)
+        self.held += group.held - before
+        if self.held >= self.limit:
+            self.pack()
 
-    def ready(self, kind: pa.DataType) -> pa.RecordBatch:
-        names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
-        columns = list(zip(*self.rows, strict=True))
-        self.rows = []
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, kind if k == 0 else pa.int64()) for k, c in enumerate(columns)], names
-        )
+    def pack(self) -> None:
+        for group in self.of.values():
+            group.pack()
+        self.of, self.held = {}, 0
+
+    def ready(self, kinds: list[pa.DataType]) -> pa.RecordBatch:
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "kind"]
+        types = [kinds[0], *[pa.int64()] * 6, *kinds[1:]]
+        columns = [pa.array(c, t) for c, t in zip(zip(*self.rows, strict=True), types, strict=False)]
+        self.rows.clear()
+        return pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
 
 def packed_pieces(
@@ -150,6 +177,7 @@ def packed_pieces(
     group_windows: int = GROUP_WINDOWS,
     cut: bool = True,
     vocabulary: str | None = None,
+    by: str | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -161,25 +189,32 @@ def packed_pieces(
 
     A null or empty text has its end id alone. Repeated rows are packed each for itself; an
     empty table gives an empty result; other columns are not used. A task holds the ids of one
-    text and of one group. Sequence ids are unique, by input partition, not dense.
+    text and of its open groups. Sequence ids are unique, by input partition, not dense.
+
+    With `by`, a sequence holds documents of one value of that column alone, which is added to
+    each row; null is a value. Each value has groups of its own, and so a few shorter sequences.
     """
     small_batches(docs.sparkSession)
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, group = token_ids(path), _Group(capacity, group_windows, cut)
-        kind = None
+        encoder, groups = token_ids(path), _Groups(capacity, group_windows, cut)
+        kinds: list[pa.DataType] = []
         for batch in batches:
-            kind = batch.column(0).type
+            kinds = [c.type for k, c in enumerate(batch.columns) if k != 1]
             docs_of = batch.column(0).to_pylist()
-            for doc, ids in zip(docs_of, encoder.column(batch.column(1)), strict=True):
-                group.add(doc, np.append(ids, np.uint32(END_ID)))
-                if len(group.rows) >= 5000:
-                    yield group.ready(kind)
-        group.pack()
-        if group.rows:
-            yield group.ready(kind)
+            kinds_of = batch.column(2).to_pylist() if by else [None] * len(docs_of)
+            for doc, ids, kind in zip(docs_of, encoder.column(batch.column(1)), kinds_of, strict=True):
+                groups.add(kind, doc, np.append(ids, np.uint32(END_ID)))
+                if len(groups.rows) >= 5000:
+                    yield groups.ready(kinds)
+        groups.pack()
+        if groups.rows:
+            yield groups.ready(kinds)
 
     kind = docs.schema[doc_id].dataType.simpleString()
     longs = ", ".join(f"{x} bigint" for x in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text)).mapInArrow(pack, f"doc_id {kind}, {longs}")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *[F.col(x).alias("kind") for x in [by] if x])
+    if by is None:
+        return rows.mapInArrow(pack, f"doc_id {kind}, {longs}")
+    return rows.mapInArrow(pack, f"doc_id {kind}, {longs}, kind {docs.schema[by].dataType.simpleString()}").withColumnRenamed("kind", by)
