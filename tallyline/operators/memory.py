@@ -342,6 +342,8 @@ def _visits(asking: pa.Table, pivots: pa.Table, home: bool) -> pa.Table:
 
 
 def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+    if not len(vectors):
+        return np.empty((0, 0))
     flat = pc.list_flatten(vectors).to_numpy().astype(np.float64)
     matrix = flat.reshape(len(vectors), -1)
     length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))

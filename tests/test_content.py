@@ -7,6 +7,7 @@ import pathlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tallyline.operators import answers as A
@@ -247,6 +248,12 @@ def test_recall_over_several_shelves(spark, monkeypatch, threshold):
     assert got == brute_recall(queries, records, 3, threshold)
 
 
+def test_a_part_without_records_has_no_blocks():
+    kinds = pa.schema([("namespace", pa.string()), ("_length", pa.int32()), ("record_id", pa.int64()), ("embedding", pa.list_(pa.float32()))])
+    pivots = pa.table({"_pivots": [[[1.0, 0.0], [0.0, 1.0]]]})
+    assert M._nearest_pivot(kinds.empty_table(), pivots).num_rows == 0
+
+
 def test_recall_does_not_repeat_vectors_for_every_block(spark):
     """Random vectors, for which no block can be left out: each is stored a few times at most."""
     rng = np.random.default_rng(7)
