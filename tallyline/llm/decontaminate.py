@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.llm.tables import kept
+from tallyline.llm.tables import kept, small_batches
 from tallyline.llm.text_arrays import text_buffers
 
 WINDOW_WORDS = 10
@@ -68,15 +68,18 @@ def _automaton(name: str, windows: list[tuple[bytes, list[str]]]) -> ahocorasick
     return _AUTOMATA[name]
 
 
-def _scan(windows: list[tuple[bytes, list[str]]], docs: DataFrame) -> DataFrame:
-    """Add the matches of these windows to the columns n_words, hits and items."""
+def _scan(windows: list[tuple[bytes, list[str]]], docs: DataFrame, place: int) -> DataFrame:
+    """Add the matches of these windows to the columns n_words, hits and items.
+
+    `place` is that of the text among the fields of `row`.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(windows)
     name = uuid.uuid4().hex
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _automaton(name, shared.value) if shared.value else None
         for batch in batches:
-            body, at = text_buffers(batch.column("text"))
+            body, at = text_buffers(batch.column("row").field(place))
             hits, items = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
             sizes = []
             for d in range(len(batch)):
@@ -96,12 +99,11 @@ def _scan(windows: list[tuple[bytes, list[str]]], docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
-                    batch.column("text"),
                     pa.array(sizes, pa.int64()),
                     pa.array(hits, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
                     pa.array(items, pa.list_(pa.string())),
                 ],
-                ["row", "text", "n_words", "hits", "items"],
+                ["row", "n_words", "hits", "items"],
             )
 
     return docs.mapInArrow(scan, docs.schema)
@@ -117,16 +119,20 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _offsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _offsets(place: int):
     """Word ranges as character ranges of the original text."""
-    for batch in batches:
-        spans = []
-        for text, hits in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist(), strict=True):
-            places = [m.span() for m in _WORD.finditer(text)] if hits else []
-            spans.append([{"begin": places[x["begin"]][0], "end": places[x["end"] - 1][1]} for x in hits])
-        kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        names = [x for x in batch.schema.names if x != "text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(spans, kind)], [*names, "spans"])
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column("row").field(place), []
+            for text, hits in zip(texts.to_pylist(), batch.column("hits").to_pylist(), strict=True):
+                places = [m.span() for m in _WORD.finditer(text)] if hits else []
+                spans.append([{"begin": places[x["begin"]][0], "end": places[x["end"] - 1][1]} for x in hits])
+            kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spans, kind)], [*names, "spans"])
+
+    return locate
 
 
 def _shards(benchmark: DataFrame, item_id: str, text: str, words: int) -> Iterator[list[tuple[bytes, list[str]]]]:
@@ -140,23 +146,30 @@ def _shards(benchmark: DataFrame, item_id: str, text: str, words: int) -> Iterat
         yield [(bytes(r.pattern), list(r.items)) for r in part.filter(F.col("shard") == shard).select("pattern", F.col("items")).toLocalIterator()]
 
 
+def _place(docs: DataFrame, text: str) -> int:
+    """The number of a column, by Spark's own rules for names."""
+    return docs.columns.index(text) if text in docs.columns else [x.lower() for x in docs.columns].index(text.lower())
+
+
 def _scanned(
     docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, words: int
 ) -> DataFrame:
-    """row (all columns of the document), text, n_words, hits, items."""
+    """row (all columns of the document), n_words, hits, items."""
+    # the text is in the row alone, so that it is sent once
+    place = _place(docs, text)
+    small_batches(docs.sparkSession)
     found = docs.select(
         F.struct("*").alias("row"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.lit(0).cast("bigint").alias("n_words"),
         F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)").alias("hits"),
         F.expr("cast(array() as array<string>)").alias("items"),
     )
     passes = 0
     for windows in _shards(benchmark, item_id, item_text, words):
-        found = _scan(windows, kept(found) if passes else found)
+        found = _scan(windows, kept(found) if passes else found, place)
         passes += 1
     if not passes:
-        found = _scan([], found)
+        found = _scan([], found, place)
     return found
 
 
@@ -196,13 +209,13 @@ def benchmark_hits(
     One automaton holds about `SHARD_BYTES` bytes of windows at most; a larger benchmark is
     scanned in several passes with a stored table between them.
     """
-    found = _scanned(docs.select(doc_id, text), benchmark, text, item_id, item_text, words)
-    kinds = [x for x in found.schema if x.name != "text"]
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    found = _scanned(docs, benchmark, "text", item_id, item_text, words)
     spans = T.StructType.fromDDL("spans array<struct<begin: bigint, end: bigint>>")
-    located = found.mapInArrow(_offsets, T.StructType([*kinds, *spans.fields]))
+    located = found.mapInArrow(_offsets(_place(docs, "text")), T.StructType([*found.schema, *spans.fields]))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["begin"])
     return located.select(
-        F.col("row").getField(doc_id).alias("doc_id"), "n_words", n_hit.alias("n_hit"), "items", "spans", (F.size("hits") > 0).alias("contaminated")
+        "row.doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans", (F.size("hits") > 0).alias("contaminated")
     )
 
 

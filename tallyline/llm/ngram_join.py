@@ -35,6 +35,7 @@ from tallyline.llm.components import connected_components
 from tallyline.llm.tables import kept, small_batches, small_side
 from tallyline.llm.text_arrays import shingle_sets
 
+BATCH_GRAMS = 1 << 17
 SKETCH_BITS = 23
 SKETCH_BLOCK = 1 << 17
 LIGHT_COLUMN = 32
@@ -119,7 +120,7 @@ def gram_sets(
                 sizes.append(size)
                 lists.append(grams.view(np.int64))
                 held += len(grams)
-                if held > 500_000:
+                if held > BATCH_GRAMS:
                     yield _set_batch(batch, rows, sigs, sizes, lists)
                     rows, sigs, sizes, lists, held = [], [], [], [], 0
             if rows:

@@ -111,7 +111,8 @@ class _Group:
         for begin in range(0, whole, self.capacity):
             self._row(doc, begin, ids[begin : begin + self.capacity], total, next(self.sequences), 0)
         if whole < total:
-            self.rests.append((doc, whole, ids[whole:], total))
+            # a copy, so that the whole windows are not held with it
+            self.rests.append((doc, whole, ids[whole:].copy() if whole else ids, total))
             self.held += total - whole
         if self.held >= self.limit:
             self.pack()

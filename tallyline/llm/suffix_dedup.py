@@ -30,6 +30,7 @@ from tallyline.llm.text_arrays import document_chunks, mixed, text_buffers
 
 GRAM_BYTES = 32
 SEGMENT = 1 << 17
+BATCH_ANCHORS = 1 << 15
 SIGNATURE_BYTES = 16  # of a sha256
 BUCKET_CONTEXTS = 1024
 HEAVY_ANCHOR = 1024
@@ -176,7 +177,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = 0
         while low < len(packed):
             high, held = low, 0
-            while high < len(packed) and (high == low or held < 200_000):
+            while high < len(packed) and (high == low or held < BATCH_ANCHORS):
                 held += len(packed[high])
                 high += 1
             flat = np.concatenate(packed[low:high])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.sources.stored import remove
 
 BROADCAST_ROWS = 500_000
-ARROW_BYTES, DEFAULT_BYTES, SMALL_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
+ARROW_BYTES, DEFAULT_BYTES, SMALL_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 1 << 20
 
 
 @cache
@@ -56,7 +56,7 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let the session hand texts to Python in batches of 8 MB, if it has the default of 64 MB.
+    """Let the session hand texts to Python in batches of 1 MB, if it has the default of 64 MB.
 
     A batch is held by the JVM, on its way, and by the worker, so it counts several times.
     """

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _random = np.random.default_rng(20240817)
 _BYTE = _random.integers(1 << 62, 1 << 63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x5851F42D4C957F2D)
